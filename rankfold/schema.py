@@ -1,0 +1,27 @@
+"""Table schemas used throughout the library."""
+
+from pyspark.sql import types as T
+
+RATINGS = T.StructType([
+    T.StructField("user_id", T.LongType()),
+    T.StructField("item_id", T.LongType()),
+    T.StructField("rating", T.DoubleType()),
+    T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("seq", T.LongType()),
+])
+
+RATING_EVENTS = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("user_id", T.LongType()),
+    T.StructField("item_id", T.LongType()),
+    T.StructField("rating", T.DoubleType()),
+    T.StructField("ts", T.TimestampNTZType()),
+])
+
+MOVIES_SOURCE = T.StructType([
+    T.StructField("item_id", T.LongType()),
+    T.StructField("title", T.StringType()),
+    T.StructField("genres", T.StringType()),
+])
+
+FACTORS = "id long, bias double, n long, factors array<double>"
