@@ -112,7 +112,8 @@ def _group_reduce(me: str, rank: int, reg: float, solve: bool):
         return ids[starts], salts[starts], ns[starts], cnt, xtx, xty
 
     def emit(ids, salts, ns, cnt, xtx, xty):
-        rows = {me: ids, "_salt": salts, "kind": np.zeros(len(ids), np.int32), "n": cnt}
+        rows = {me: ids, "_salt": salts, "_ns": ns, "kind": np.zeros(len(ids), np.int32),
+                "n": cnt}
         fin = (ns == 1) if solve else np.zeros(len(ids), bool)
         fac = np.full(len(ids), None, dtype=object)
         tri = np.full(len(ids), None, dtype=object)
@@ -152,7 +153,7 @@ def _group_reduce(me: str, rank: int, reg: float, solve: bool):
     return fn
 
 
-_STAGE_SCHEMA = ("{me} long, _salt long, kind int, n long, xtx array<double>, "
+_STAGE_SCHEMA = ("{me} long, _salt long, _ns long, kind int, n long, xtx array<double>, "
                  "xty array<double>, factors array<double>")
 
 
@@ -198,10 +199,15 @@ def normal_equations(rows: DataFrame, fixed: DataFrame, side: str, rank: int,
     is ``(other_id, factors)``.  The regularisation term is not included.
     """
     me = SIDES[side][0]
-    st = _stage(rows, fixed, side, rank, 0.0, False, max_rows)
-    return st.groupBy(me).applyInPandas(
-        _sum_partials(me, rank, None),
-        f"{me} long, n long, xtx array<double>, xty array<double>")
+    st = _stage(rows, fixed, side, rank, 0.0, False, max_rows).persist()
+    whole = st.filter("_ns = 1").select(me, "n", "xtx", "xty")
+    split = (st.filter("_ns > 1").select(me, "n", "xtx", "xty")
+             .groupBy(me).applyInPandas(
+                 _sum_partials(me, rank, None),
+                 f"{me} long, n long, xtx array<double>, xty array<double>"))
+    out = whole.unionByName(split)
+    out._rf_cached = st
+    return out
 
 
 def half_step(rows: DataFrame, fixed: DataFrame, side: str, rank: int,

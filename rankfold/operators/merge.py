@@ -27,6 +27,13 @@ def with_source(df: DataFrame, name: str, priority: int) -> DataFrame:
                      F.lit(name).alias("source"), F.lit(priority).alias("priority"))
 
 
+def merge_tagged(tagged: DataFrame) -> DataFrame:
+    """Keep-last merge of rows already tagged with ``source`` and ``priority``
+    (one scan when all sources live in one table)."""
+    return keep_last(valid_ratings(tagged).select(
+        "user_id", "item_id", "rating", "ts", "seq", "source", "priority")).drop("priority")
+
+
 def merge_ratings(base: DataFrame | None, feedback: DataFrame | None,
                   feedback_only: bool = False) -> DataFrame:
     """Union base and feedback ratings and keep the last row per (user, item).

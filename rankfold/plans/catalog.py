@@ -45,7 +45,12 @@ def r6(c):
 
 # ---------------------------------------------------------------- shared data
 def merged(spark, d) -> DataFrame:
-    return merge.merge_ratings(td.base_ratings(spark, d), td.feedback_ratings(spark, d))
+    """The ratings store: base and feedback merged (one scan), materialised
+    once per data folder with a reliable checkpoint."""
+    def build():
+        ensure_checkpoint_dir(spark)
+        return merge.merge_tagged(td.tagged_ratings(spark, d)).checkpoint(eager=True)
+    return _memo(spark, d, "merged", build)
 
 
 def train_holdout(spark, d):
@@ -103,7 +108,9 @@ def q_rating_rejects(spark, d):
 
 
 def q_ratings_merged(spark, d):
-    return merged(spark, d).select("user_id", "item_id", "rating", "seq", "source")
+    """Two separate sources (base, feedback) merged by the library."""
+    return merge.merge_ratings(td.base_ratings(spark, d), td.feedback_ratings(spark, d)).select(
+        "user_id", "item_id", "rating", "seq", "source")
 
 
 def q_ratings_feedback_only(spark, d):

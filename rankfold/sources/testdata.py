@@ -49,6 +49,15 @@ def feedback_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_ratings(spark, sf_dir).filter(F.year("ts") >= 2000)
 
 
+def tagged_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rating rows in one scan, tagged ``base`` (priority 0) or
+    ``feedback`` (priority 1) by the same year rule."""
+    fb = F.year("ts") >= 2000
+    return raw_ratings(spark, sf_dir).select(
+        "*", F.when(fb, F.lit("feedback")).otherwise(F.lit("base")).alias("source"),
+        F.when(fb, F.lit(1)).otherwise(F.lit(0)).alias("priority"))
+
+
 def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     return p.select(F.col("p_partkey").alias("item_id"),
