@@ -37,6 +37,10 @@ MAX_ROWS_PER_SOLVE_GROUP = 200_000
 # block scorer.  Larger models are scored chunk by chunk (exact merge).
 MAX_SCORER_BROADCAST_BYTES = 256 * 1024 * 1024
 
+# Upper bound, in bytes, for broadcasting the fixed factor table in a
+# least-squares half step (above it the rows are shuffled to the factors).
+MAX_FACTOR_BROADCAST_BYTES = 512 * 1024 * 1024
+
 # Score rounding used for ranking, so that mathematically equal scores tie in
 # every engine; ties are then broken on the lower item id.
 RANK_DECIMALS = 9

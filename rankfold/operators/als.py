@@ -167,12 +167,37 @@ def _salted_rows(rows: DataFrame, fixed: DataFrame, side: str, max_rows: int) ->
             .select(me, "_salt", "_ns", "y", "factors"))
 
 
+def layout(rows: DataFrame, side: str, max_rows: int = config.MAX_ROWS_PER_SOLVE_GROUP
+           ) -> DataFrame:
+    """Residual rows of one side, hash-partitioned by (entity, salt) and sorted.
+
+    Checkpointed once by ``fit_exact``; every later half step of that side
+    then reads the rows in place (like MLlib's in-blocks) and only the fixed
+    factors travel, by broadcast.
+    """
+    me, other, ncol = SIDES[side]
+    ns = F.greatest(F.lit(1), F.ceil(F.col(ncol) / F.lit(max_rows))).cast("long")
+    return (rows.select(me, other, "y", ncol).withColumn("_ns", ns)
+            .withColumn("_salt", F.pmod(F.xxhash64(other), F.col("_ns")))
+            .select(me, other, "_salt", "_ns", "y")
+            .repartition(me, "_salt").sortWithinPartitions(me, "_salt"))
+
+
+def factor_bytes(n: int, rank: int) -> int:
+    return n * (8 * rank + 48)
+
+
 def _stage(rows: DataFrame, fixed: DataFrame, side: str, rank: int, reg: float,
-           solve: bool, max_rows: int) -> DataFrame:
-    me = SIDES[side][0]
+           solve: bool, max_rows: int, laid_out: DataFrame | None = None) -> DataFrame:
+    me, other, _ = SIDES[side]
     ship_package(rows.sparkSession)
-    s = _salted_rows(rows, fixed, side, max_rows)
-    s = s.repartition(me, "_salt").sortWithinPartitions(me, "_salt")
+    if laid_out is not None:
+        # broadcast hash join: keeps the (entity, salt) partitioning and order of the rows
+        fx = F.broadcast(fixed.select(F.col(fixed.columns[0]).alias(other), "factors"))
+        s = laid_out.join(fx, other).select(me, "_salt", "_ns", "y", "factors")
+    else:
+        s = _salted_rows(rows, fixed, side, max_rows)
+        s = s.repartition(me, "_salt").sortWithinPartitions(me, "_salt")
     return s.mapInPandas(_group_reduce(me, rank, reg, solve), _STAGE_SCHEMA.format(me=me))
 
 
@@ -212,17 +237,20 @@ def normal_equations(rows: DataFrame, fixed: DataFrame, side: str, rank: int,
 
 def half_step(rows: DataFrame, fixed: DataFrame, side: str, rank: int,
               reg: float = config.REG,
-              max_rows: int = config.MAX_ROWS_PER_SOLVE_GROUP) -> DataFrame:
+              max_rows: int = config.MAX_ROWS_PER_SOLVE_GROUP,
+              laid_out: DataFrame | None = None) -> DataFrame:
     """Solve ``(X^T X + reg * n * I) f = X^T y`` for every entity of ``side``.
 
     Returns ``(<side>_id, n, factors)``.  Entities with one salt are solved
     inside the sorted reduce; split (hot) entities have their partial sums
-    added per entity and are solved there.
+    added per entity and are solved there.  ``laid_out`` (from ``layout``,
+    only when the fixed factors passed a broadcast size check) skips the
+    shuffle of the rating rows.
     """
     if reg <= 0:
         raise ValueError("reg must be positive (the system is then positive definite)")
     me = SIDES[side][0]
-    st = _stage(rows, fixed, side, rank, reg, True, max_rows).persist()
+    st = _stage(rows, fixed, side, rank, reg, True, max_rows, laid_out).persist()
     done = st.filter("kind = 0").select(me, "n", "factors")
     hot = (st.filter("kind = 1").select(me, "n", "xtx", "xty")
            .groupBy(me).applyInPandas(_sum_partials(me, rank, reg),
@@ -277,13 +305,20 @@ def fit_exact(train: DataFrame, rank: int = config.RANK,
     ib = _checkpoint(bias_ops.item_bias(train, mu, ub, bias_reg))
     rows = _checkpoint(bias_ops.residuals(train, mu, ub, ib))
     q = _checkpoint(init_factors(ib.select("item_id"), "item_id", rank))
+    # in-place layouts when the other side's factors pass the broadcast bound
+    n_users, n_items = ub.count(), ib.count()
+    lim = config.MAX_FACTOR_BROADCAST_BYTES
+    by_user = (_checkpoint(layout(rows, "user", max_rows))
+               if factor_bytes(n_items, rank) <= lim else None)
+    by_item = (_checkpoint(layout(rows, "item", max_rows))
+               if factor_bytes(n_users, rank) <= lim else None)
     hist = []
     p = None
     for it in range(1, iterations + 1):
-        p_st = half_step(rows, q, "user", rank, reg, max_rows)
+        p_st = half_step(rows, q, "user", rank, reg, max_rows, by_user)
         p = _checkpoint(p_st.select("user_id", "factors"))
         _release(p_st)
-        q_st = half_step(rows, p, "item", rank, reg, max_rows)
+        q_st = half_step(rows, p, "item", rank, reg, max_rows, by_item)
         q = _checkpoint(q_st.select("item_id", "factors"))
         _release(q_st)
         if history:
