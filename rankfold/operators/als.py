@@ -21,6 +21,8 @@ Two solvers reach the same objective:
 
 from __future__ import annotations
 
+import time
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -270,10 +272,17 @@ def _release(df: DataFrame) -> None:
 # model assembly
 # --------------------------------------------------------------------------
 def train_metrics(rows: DataFrame, mu: float, p: DataFrame, q: DataFrame,
-                  reg: float) -> DataFrame:
-    """One row: clipped train RMSE and the regularised objective."""
-    j = (rows.join(p.select("user_id", F.col("factors").alias("_p")), "user_id")
-         .join(q.select("item_id", F.col("factors").alias("_q")), "item_id"))
+                  reg: float, broadcast_factors: bool = False) -> DataFrame:
+    """One row: clipped train RMSE and the regularised objective.
+
+    ``broadcast_factors`` (set only after a size check of both factor
+    tables) joins them by broadcast, so the rating rows are not shuffled.
+    """
+    pf = p.select("user_id", F.col("factors").alias("_p"))
+    qf = q.select("item_id", F.col("factors").alias("_q"))
+    if broadcast_factors:
+        pf, qf = F.broadcast(pf), F.broadcast(qf)
+    j = rows.join(pf, "user_id").join(qf, "item_id")
     d = dot("_p", "_q")
     pred = clip_rating(F.lit(mu) + F.col("b_u") + F.col("b_i") + d)
     sq = lambda a: F.aggregate(F.col(a), F.lit(0.0), lambda acc, v: acc + v * v)
@@ -315,6 +324,7 @@ def fit_exact(train: DataFrame, rank: int = config.RANK,
     hist = []
     p = None
     for it in range(1, iterations + 1):
+        t0 = time.time()
         p_st = half_step(rows, q, "user", rank, reg, max_rows, by_user)
         p = _checkpoint(p_st.select("user_id", "factors"))
         _release(p_st)
@@ -322,12 +332,15 @@ def fit_exact(train: DataFrame, rank: int = config.RANK,
         q = _checkpoint(q_st.select("item_id", "factors"))
         _release(q_st)
         if history:
-            m = train_metrics(rows, mu, p, q, reg).first()
-            hist.append((it, float(m["train_rmse"]), float(m["objective"])))
+            m = train_metrics(rows, mu, p, q, reg,
+                              by_user is not None and by_item is not None).first()
+            hist.append((it, float(m["train_rmse"]), float(m["objective"]),
+                         round(time.time() - t0, 3)))
     uf = ub.join(p, "user_id").select("user_id", "bias", "n", "factors")
     itf = ib.join(q, "item_id").select("item_id", "bias", "n", "factors")
     hist_df = spark.createDataFrame(
-        hist, "iteration int, train_rmse double, objective double") if history else None
+        hist, "iteration int, train_rmse double, objective double, seconds double"
+    ) if history else None
     return Model(mu=mu, user_factors=uf, item_factors=itf, rank=rank, reg=reg,
                  bias_reg=bias_reg, iterations=iterations, solver="exact",
                  history=hist_df)
