@@ -100,3 +100,33 @@ def test_fold_in_equals_user_half_step(spark):
     f = {r.user_id: r for r in als.fold_in(new, m).collect()}
     assert set(f) == {1000, 1001, 1002, 1003, 1004}
     assert all(len(r.factors) == 2 for r in f.values())
+
+
+def test_mllib_ids_beyond_int32_are_remapped(spark):
+    df = _synthetic(spark, seed=5, users=12, items=10, n=80).select(
+        (F.col("user_id") + 3_000_000_000).alias("user_id"),
+        (F.col("item_id") + 5_000_000_000).alias("item_id"), "rating")
+    m = als.fit_mllib(df, rank=2, iterations=3)
+    users = {r.user_id for r in m.user_factors.collect()}
+    items = {r.item_id for r in m.item_factors.collect()}
+    assert users == {r.user_id for r in df.select("user_id").distinct().collect()}
+    assert items == {r.item_id for r in df.select("item_id").distinct().collect()}
+    assert all(len(r.factors) == 2 for r in m.item_factors.collect())
+
+
+def test_laid_out_half_step_moves_no_rating_rows(spark):
+    tr = _synthetic(spark, seed=6, n=200)
+    _, _, ib, rows = _residual_rows(tr)
+    rows = rows.checkpoint()
+    q0 = als.init_factors(ib.select("item_id"), "item_id", 2).checkpoint()
+    lo = als.layout(rows, "user").checkpoint()
+    st = als._stage(rows, q0, "user", 2, 0.1, True, 200_000, lo)
+    plan = st._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    assert "Exchange hashpartitioning" not in plan
+    a = {r.user_id: r.factors for r in als.half_step(rows, q0, "user", 2, 0.1).collect()}
+    b = {r.user_id: r.factors for r in als.half_step(rows, q0, "user", 2, 0.1, laid_out=lo)
+         .collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        np.testing.assert_allclose(a[k], b[k], rtol=1e-12, atol=1e-15)
