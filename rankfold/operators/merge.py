@@ -63,7 +63,9 @@ def upsert(snapshot: DataFrame, events: DataFrame,
     """Apply rating events to a ratings snapshot (last write wins per pair)."""
     snap = snapshot.select("user_id", "item_id", "rating", "ts", "seq",
                            F.lit(config.PRIORITY_BASE).alias("priority"))
+    # an event without a time is stamped when it is applied (as the reference does)
     ev = valid_ratings(events).select(
-        "user_id", "item_id", "rating", "ts",
+        "user_id", "item_id", "rating",
+        F.coalesce(F.col("ts"), F.current_timestamp().cast("timestamp_ntz")).alias("ts"),
         F.col("event_id").alias("seq"), F.lit(priority).alias("priority"))
     return keep_last(snap.unionByName(ev)).drop("priority")

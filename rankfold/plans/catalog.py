@@ -326,6 +326,18 @@ def q_movie_stats_stream(spark, d):
     return s.select("item_id", r6("avg_rating").alias("avg_rating"), "rating_count")
 
 
+def q_ratings_snapshot_stream(spark, d):
+    """Rating events streamed into an append-only log, applied to the ratings store."""
+    ensure_checkpoint_dir(spark)
+    raw = (spark.readStream.schema(td.table(spark, d, "events").schema)
+           .option("pathGlobFilter", "events.parquet").parquet(d))
+    log = scratch_path(spark, "stream", "log")
+    item_stats.run_rating_log(td.event_columns(raw), log,
+                              scratch_path(spark, "stream", "logckpt"))
+    cur = item_stats.current_ratings(spark, merged(spark, d), log)
+    return cur.select("user_id", "item_id", "rating", "seq")
+
+
 def q_retrain_eval(spark, d):
     """Retraining from the feedback store only, evaluated on its holdout."""
     fb = merge.merge_ratings(None, td.feedback_ratings(spark, d), feedback_only=True)
@@ -384,6 +396,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "movie_detail": q_movie_detail,
     "rating_upsert": q_rating_upsert,
     "movie_stats_stream": q_movie_stats_stream,
+    "ratings_snapshot_stream": q_ratings_snapshot_stream,
     "retrain_eval": q_retrain_eval,
     "promote_decision": q_promote_decision,
     "retrain_due": q_retrain_due,

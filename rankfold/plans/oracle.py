@@ -265,6 +265,12 @@ ORACLE_SQL = {
         FROM snap s JOIN movies m USING (item_id)
         WHERE s.item_id IN (SELECT item_id FROM evalid)
         GROUP BY m.item_id, m.title)"""),
+    "ratings_snapshot_stream": sql("""SELECT user_id, item_id, rating, seq FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id, item_id
+          ORDER BY priority DESC, ts DESC, seq DESC, rating DESC) AS rn FROM (
+          SELECT user_id, item_id, rating, ts, seq, 0 AS priority FROM merged
+          UNION ALL SELECT user_id, item_id, rating, ts, event_id, 2 FROM evalid))
+        WHERE rn = 1"""),
     "movie_stats_stream": sql("""SELECT item_id, round(avg(rating), 6) AS avg_rating,
         count(*) AS rating_count FROM (
           SELECT *, row_number() OVER (PARTITION BY user_id, item_id

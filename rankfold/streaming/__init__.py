@@ -1,2 +1,2 @@
 from rankfold.streaming.item_stats import (  # noqa: F401
-    item_stats_stream, latest_snapshot, run_item_stats)
+    current_ratings, item_stats_stream, latest_snapshot, run_item_stats, run_rating_log)

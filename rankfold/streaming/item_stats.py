@@ -83,6 +83,34 @@ def run_item_stats(events: DataFrame, out_path: str, checkpoint_location: str,
     return q
 
 
+def run_rating_log(events: DataFrame, log_path: str, checkpoint_location: str,
+                   available_now: bool = True, processing_time: str | None = None):
+    """Append validated rating events to a Parquet log (file sink, exactly once).
+
+    The ratings snapshot is not rewritten per micro-batch; ``current_ratings``
+    applies the log to a base snapshot on read (keep-last), and a periodic
+    batch job can fold the log into a new base.
+    """
+    ship_package(events.sparkSession)
+    v = valid_ratings(events).select("event_id", "user_id", "item_id", "rating", "ts")
+    w = (v.writeStream.format("parquet").outputMode("append")
+         .option("path", log_path).option("checkpointLocation", checkpoint_location))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(
+        processingTime=processing_time or "10 seconds")
+    q = w.start()
+    if available_now:
+        q.awaitTermination()
+    return q
+
+
+def current_ratings(spark: SparkSession, snapshot: DataFrame, log_path: str) -> DataFrame:
+    """Base snapshot with every logged event applied (last write wins per pair)."""
+    from rankfold.operators.merge import upsert
+    log = spark.read.schema("event_id long, user_id long, item_id long, rating double, "
+                            "ts timestamp_ntz").parquet(log_path)
+    return upsert(snapshot.select("user_id", "item_id", "rating", "ts", "seq"), log)
+
+
 def latest_snapshot(spark: SparkSession, out_path: str) -> DataFrame:
     """The statistics table written by the most recent micro-batch."""
     df = spark.read.parquet(out_path)

@@ -80,3 +80,33 @@ def test_batch_upsert_touched_items(spark):
     assert {(r.item_id, r.avg_rating, r.rating_count) for r in touched.collect()} == {(7, 3.5, 2)}
     assert new.filter("item_id = 99").count() == 1  # kept although not in the catalogue
     pd.testing  # noqa: B018
+
+
+def test_rating_log_stream_equals_batch_upsert(spark):
+    rnd = random.Random(7)
+    events = [(e, rnd.randrange(5), rnd.randrange(4), rnd.choice([1.0, 3.0, 4.5, 9.0]),
+               ts(1, rnd.randrange(40))) for e in range(40)]
+    src = tempfile.mkdtemp(prefix="rf-log-")
+    for n in range(4):
+        _write(src, f"part-{n}.parquet", events[n * 10:(n + 1) * 10])
+    base = spark.createDataFrame([(0, 0, 2.0, ts(0), 1), (9, 9, 3.0, ts(0), 2)],
+                                 "user_id long, item_id long, rating double, "
+                                 "ts timestamp_ntz, seq long")
+    stream = (spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", "1")
+              .parquet(src))
+    log = scratch_path(spark, "t", "log")
+    item_stats.run_rating_log(stream, log, scratch_path(spark, "t", "logck"))
+    got = sorted(tuple(r) for r in item_stats.current_ratings(spark, base, log)
+                 .select("user_id", "item_id", "rating").collect())
+    want = sorted(tuple(r) for r in merge.upsert(base, spark.createDataFrame(events, EVENT_SCHEMA))
+                  .select("user_id", "item_id", "rating").collect())
+    assert got == want
+
+
+def test_event_without_time_is_stamped(spark):
+    snap = spark.createDataFrame([(1, 7, 4.0, ts(0), 1)],
+                                 "user_id long, item_id long, rating double, ts timestamp_ntz, "
+                                 "seq long")
+    ev = spark.createDataFrame([(10, 1, 7, 2.0, None)], EVENT_SCHEMA)
+    r = merge.upsert(snap, ev).collect()
+    assert len(r) == 1 and r[0].rating == 2.0 and r[0].ts is not None
