@@ -4,7 +4,6 @@ import os
 import random
 import tempfile
 
-import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -79,7 +78,6 @@ def test_batch_upsert_touched_items(spark):
     new, touched = catalogue.rating_upsert(snap, ev, cat)
     assert {(r.item_id, r.avg_rating, r.rating_count) for r in touched.collect()} == {(7, 3.5, 2)}
     assert new.filter("item_id = 99").count() == 1  # kept although not in the catalogue
-    pd.testing  # noqa: B018
 
 
 def test_rating_log_stream_equals_batch_upsert(spark):
