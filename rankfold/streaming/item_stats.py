@@ -17,6 +17,7 @@ of every micro-batch into ``<out>/batch_id=<n>`` (idempotent on replay).
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,26 +30,35 @@ DELTA_SCHEMA = "item_id long, d_sum double, d_count long"
 STATE_SCHEMA = "rating double, ts timestamp_ntz, seq long"
 
 
+_NAT = np.iinfo(np.int64).min
+
+
 def _pair_update(key, pdfs, state):
-    rows = pd.concat(list(pdfs), ignore_index=True)
-    if len(rows) == 0:
+    # latest event of this pair in the micro-batch by (ts, event_id, rating)
+    best = None
+    for pdf in pdfs:
+        if len(pdf) == 0:
+            continue
+        t = pdf["ts"].to_numpy(dtype="datetime64[us]").astype(np.int64)
+        e = pdf["event_id"].to_numpy(np.int64)
+        r = pdf["rating"].to_numpy(np.float64)
+        i = int(np.lexsort((r, e, t))[-1])
+        cand = (int(t[i]), int(e[i]), float(r[i]))
+        if best is None or cand > best:
+            best = cand
+    if best is None:
         return
-    rows = rows.sort_values(["ts", "event_id", "rating"], kind="stable", na_position="first")
-    last = rows.iloc[-1]
-    new_key = (pd.Timestamp(last["ts"]) if pd.notna(last["ts"]) else pd.Timestamp.min,
-               int(last["event_id"]))
+    t_new, e_new, r_new = best
     if state.exists:
         old_rating, old_ts, old_seq = state.get
-        old_key = (pd.Timestamp(old_ts) if old_ts is not None else pd.Timestamp.min,
-                   int(old_seq))
-        if new_key <= old_key:
-            return
-        d_sum, d_cnt = float(last["rating"]) - float(old_rating), 0
+        old_t = _NAT if old_ts is None else int(np.datetime64(old_ts, "us").astype(np.int64))
+        if (t_new, e_new) <= (old_t, int(old_seq)):
+            return  # late or replayed: a newer rating is already stored
+        d_sum, d_cnt = r_new - float(old_rating), 0
     else:
-        d_sum, d_cnt = float(last["rating"]), 1
-    state.update((float(last["rating"]),
-                  None if pd.isna(last["ts"]) else pd.Timestamp(last["ts"]).to_pydatetime(),
-                  int(last["event_id"])))
+        d_sum, d_cnt = r_new, 1
+    ts_out = None if t_new == _NAT else np.datetime64(t_new, "us").astype(object)
+    state.update((r_new, ts_out, e_new))
     yield pd.DataFrame({"item_id": [int(key[1])], "d_sum": [d_sum], "d_count": [d_cnt]})
 
 
