@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,5 +39,12 @@ def kept_table(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet below the shared checkpoint folder, and its reader."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def documents(spark, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
