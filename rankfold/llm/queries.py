@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankfold.llm import licences, minmax, mixing, quality, rans, recompress, shards, spaced, suffix
+from rankfold.llm import licences, minmax, mixing, pii, quality, rans, recompress, shards, spaced, suffix
 from rankfold.llm.text import documents
 from rankfold.session import ensure_checkpoint_dir
 
@@ -27,6 +27,11 @@ def op3_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op4_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of each document, with identifiers found by learnt contexts."""
+    return pii.detect(documents(spark, sf_dir))
+
+
 def op5_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document left when 20-word windows found earlier go."""
     return recompress.remove_repeats(documents(spark, sf_dir)).drop("kept", "spans")
@@ -64,6 +69,7 @@ QUERIES = {
     "op1_minmax_dedup": op1_minmax_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_pareto_mix": op3_pareto_mix,
+    "op4_bootstrapped_pii": op4_bootstrapped_pii,
     "op5_recompression": op5_recompression,
     "op6_quality_rules": op6_quality_rules,
     "op7_rans_tokens": op7_rans_tokens,
