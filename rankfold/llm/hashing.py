@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U = np.uint64
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _RNG = np.random.Generator(np.random.PCG64(20231))
 _BYTES = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1)
 _LOWER = _BYTES.copy()

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from rankfold.llm import hashing
 from rankfold.llm.components import components
-from rankfold.llm.text import kept_table, written_table
+from rankfold.llm.text import fresh, kept_table, written_table
 from rankfold.session import ship_package
 
 # Production parameters.
@@ -286,5 +286,6 @@ def classes(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents with one of each component, the smallest ``doc_id``, kept."""
-    gone = classes(docs).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    name = fresh(docs, "_gone")
+    gone = classes(docs).filter("not kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == F.col(name), "left_anti")

@@ -9,10 +9,12 @@ so is the parse of equal substrings but for their ends.
 
 Every symbol carries the words its parse depends on.  A symbol is interior to a
 window if all of these lie in it; then it appears in every copy of the window.
-The anchor of a window is its interior symbol of the highest round, of several
-the one with the least hash, of equal ones the first; a window without interior
-symbols (long runs of one word) is its own anchor.  Windows that share an anchor
-are compared by a hash of their words, together with the anchor 128 bits.
+Each window takes its interior symbol of the highest round, of several the one
+with the least hash, of equal ones the first; its anchor is that symbol with the
+words around it that all windows hold in whose first half it begins, or in whose
+second half.  A window without interior symbols (long runs of one word) is its
+own anchor.  Documents that share an anchor are verified: their windows are
+compared by a 64-bit hash of their words within an anchor.
 
 Defined results: null and blank texts have no words; documents without an id
 come after all others; rows that share an id are ordered by a hash of their
@@ -35,7 +37,8 @@ from rankfold.llm.repeats import Runs, identified, merged, repeated
 # Fixed value: words in a window.
 WINDOW = 20
 # Production parameters.
-ROUNDS = 4
+ROUNDS = 2
+HALF = 10
 PLACE_BITS = 28
 
 U = np.uint64
@@ -45,45 +48,53 @@ RESULT = ("doc_id long, n_words long, n_removed long, kept_sha256 string, kept s
 
 
 def parse(h: np.ndarray, row: np.ndarray, first: np.ndarray, rounds: int = ROUNDS):
-    """Per round: (symbols, first and last + 1 of the words each depends on).
+    """Per round: (symbols, their first words, first and last + 1 of the words each
+    depends on).
 
     What depends on the end of a text depends on a place beyond it, so it is in no window.
     """
-    begin, end = first[:-1] - 1, first[1:] + 1
-    sym, at = h, row
-    lo = np.arange(len(h), dtype=np.int64)
-    hi = lo + 1
+    begin = (first[:-1] - 1).astype(np.int32)
+    end = (first[1:] + 1).astype(np.int32)
+    sym, at = h, row.astype(np.int32)
+    word = np.arange(len(h), dtype=np.int32)
+    lo, hi = word, word + np.int32(1)
     out = []
     for k in range(rounds):
         # maximal runs; that a run ends shows in the neighbours on both sides
+        same_row = at[1:] == at[:-1]
         new = np.ones(len(sym), bool)
-        new[1:] = (sym[1:] != sym[:-1]) | (at[1:] != at[:-1])
+        new[1:] = (sym[1:] != sym[:-1]) | ~same_row
         s = np.flatnonzero(new)
         e = np.append(s[1:], len(sym))
-        n = (e - s).astype(np.uint64)
-        before, after = np.maximum(s - 1, 0), np.minimum(e, len(sym) - 1)
-        left = np.where((s > 0) & (at[before] == at[s]), lo[before], begin[at[s]])
-        right = np.where((e < len(sym)) & (at[after] == at[s]), hi[after], end[at[s]])
-        sym = np.where(n > 1, hashing.mix(sym[s] + n * hashing.ODD[50 + k]), sym[s])
-        lo, hi, at = np.minimum(left, lo[s]), np.maximum(right, hi[e - 1]), at[s]
+        n = e - s
+        if len(s) < len(sym):
+            long = np.flatnonzero(n > 1)
+            name = sym[s]
+            name[long] = hashing.mix(name[long] + n[long].astype(np.uint64) * hashing.ODD[50 + k])
+            sym, word, left, right, at = name, word[s], lo[s], hi[e - 1], at[s]
+            same_row = at[1:] == at[:-1]
+        else:
+            left, right = lo, hi
+        lo, hi = begin[at], end[at]
+        lo[1:] = np.where(same_row, left[:-1], lo[1:])
+        hi[:-1] = np.where(same_row, right[1:], hi[:-1])
         # pairs; a symbol stays single because of the neighbour it does not pair with
-        second = ((hashing.mix(sym ^ hashing.ODD[40 + k]) >> U(17)) & U(1)).astype(bool)
+        second = (sym * hashing.ODD[40 + k] >> U(63)).astype(bool)
         joins = np.zeros(len(sym), bool)
-        joins[:-1] = ~second[:-1] & second[1:] & (at[:-1] == at[1:])
+        joins[:-1] = ~second[:-1] & second[1:] & same_row
+        wide_lo, wide_hi = begin[at], end[at]
+        wide_lo[1:] = np.where(same_row, lo[:-1], wide_lo[1:])
+        wide_hi[:-1] = np.where(same_row, hi[1:], wide_hi[:-1])
+        p = np.flatnonzero(joins)
+        name = sym.copy()
+        name[p] = hashing.mix(sym[p] * hashing.ODD[30] + sym[p + 1] * hashing.ODD[31])
         head = np.ones(len(sym), bool)
-        head[1:] = ~joins[:-1]
-        i = np.flatnonzero(head)
-        pair = joins[i]
-        j = np.minimum(i + 1, len(sym) - 1)
-        p = np.maximum(i - 1, 0)
-        next_hi = np.where((i + 1 < len(sym)) & (at[j] == at[i]), hi[j], end[at[i]])
-        last_lo = np.where((i > 0) & (at[p] == at[i]), lo[p], begin[at[i]])
-        name = hashing.mix(sym[i] * hashing.ODD[30] + sym[j] * hashing.ODD[31] + hashing.ODD[32])
-        new_lo = np.where(~pair & second[i], np.minimum(last_lo, lo[i]), lo[i])
-        new_hi = np.where(pair, np.maximum(hi[i], hi[j]),
-                          np.where(~second[i], np.maximum(next_hi, hi[i]), hi[i]))
-        sym, lo, hi, at = np.where(pair, name, sym[i]), new_lo, new_hi, at[i]
-        out.append((sym, lo, hi))
+        head[p + 1] = False
+        # a pair reaches to the end of its second symbol, as a single first-class one does
+        lo = np.where(second, wide_lo, lo)[head]
+        hi = np.where(second, hi, wide_hi)[head]
+        sym, word, at = name[head], word[head], at[head]
+        out.append((sym, word, lo, hi))
     return out
 
 
@@ -100,51 +111,70 @@ def _least(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         size *= 2
 
 
-def scan(data: np.ndarray, off: np.ndarray) -> Runs:
-    """Runs of windows by anchor; see ``repeats``."""
-    s, e, first = hashing.word_spans(data, off)
-    h = hashing.word_hashes(data, s, e)
-    row = np.repeat(np.arange(len(off) - 1), np.diff(first))
-    prints = hashing.windows(h, range(WINDOW))
-    starts = np.flatnonzero(np.arange(len(prints)) + WINDOW <= first[1:][row[:len(prints)]])
-    key = hashing.mix(prints[starts] ^ hashing.ODD[20])
-    place = np.full(len(starts), -1, np.int64)
-    open_ = np.arange(len(starts))
-    if len(starts):
+def _joined(x: np.ndarray, y: np.ndarray, step: int) -> np.ndarray:
+    """Names of two neighbouring strings of words, ``y``'s beginning ``step`` words on."""
+    n = max(len(y) - step, 0)
+    z = x[:n] * hashing.ODD[35] + y[step:step + n] * hashing.ODD[36]
+    return (z ^ (z >> U(29))) * hashing.ODD[37]
+
+
+class _Runs(Runs):
+    """Runs of word windows; see ``repeats``."""
+
+    def __init__(self, data: np.ndarray, off: np.ndarray):
+        s, e, first = hashing.word_spans(data, off)
+        h = hashing.word_hashes(data, s, e)
+        self.row = row = np.repeat(np.arange(len(off) - 1), np.diff(first))
+        self.first = first
+        two = _joined(h, h, 1)
+        eight = _joined(four := _joined(two, two, 2), four, 4)
+        prints = _joined(_joined(eight, eight, 8), four, 16)
+        around = _joined(_joined(eight, two, 8), h, 10)
+        starts = np.flatnonzero(np.arange(len(prints)) + WINDOW <= first[1:][row[:len(prints)]])
+        self.prints = prints[starts]
+        key = hashing.mix(self.prints ^ hashing.ODD[20])
+        place = np.full(len(starts), -1, np.int64)
+        open_ = np.arange(len(starts))
         mask = U((1 << PLACE_BITS) - 1)
-        levels = parse(h, row, first)
-        for k in range(len(levels) - 1, -1, -1):
-            sym, lo, hi = levels[k]
-            w = starts[open_]
+        for k, (sym, word, lo, hi) in reversed(list(enumerate(
+                parse(h, row, first) if len(starts) else []))):
+            w = starts[open_].astype(np.int32)
             a = np.searchsorted(lo, w, "left")
-            b = np.searchsorted(hi, w + WINDOW, "right")
-            inside = np.flatnonzero(a < b)
-            rank = (hashing.mix(sym + hashing.ODD[21]) & ~mask) | np.arange(
-                len(sym), dtype=np.uint64)
+            b = np.searchsorted(hi, w + np.int32(WINDOW), "right")
+            found = a < b
+            inside = np.flatnonzero(found)
+            rank = ((sym * hashing.ODD[21]) & ~mask) | np.arange(len(sym), dtype=np.uint64)
             best = (_least(rank, a[inside], b[inside]) & mask).astype(np.int64)
             at = open_[inside]
-            key[at] = hashing.mix(sym[best] + U(k + 1) * hashing.ODD[22])
-            place[at] = best * (ROUNDS + 1) + k
-            open_ = np.delete(open_, inside)
-            if not len(open_):
-                break
-    new = np.ones(len(starts), bool)
-    new[1:] = ((place[1:] != place[:-1]) | (place[1:] < 0)
-               | (row[starts[1:]] != row[starts[:-1]]))
-    begin = np.flatnonzero(new)
-    n = np.diff(np.append(begin, len(starts)))
-    w = starts[begin]
-
-    def run_hash(k):
+            # the words around that every window of its half holds
+            begins = word[best].astype(np.int64)
+            late = begins - starts[at] >= HALF
+            key[at] = hashing.mix(around[begins - np.where(late, HALF, 0)]
+                                  + sym[best] * hashing.ODD[22] + late.astype(np.uint64))
+            place[at] = (best * ROUNDS + k) * 2 + late
+            open_ = open_[~found]
+        new = np.ones(len(starts), bool)
+        new[1:] = ((place[1:] != place[:-1]) | (place[1:] < 0)
+                   | (row[starts[1:]] != row[starts[:-1]]))
+        self.begin = np.flatnonzero(new)
+        self.n = np.diff(np.append(self.begin, len(starts)))
+        self.start = starts[self.begin]
+        self.key = key[self.begin]
+
+    def places(self, k):
+        row = self.row[self.start[k]]
+        return row, self.start[k] - self.first[row], self.n[k]
+
+    def hashes(self, k):
         if not len(k):
             return np.empty(0, np.uint64)
-        nth = np.arange(len(starts)) - np.repeat(begin, n)
-        each = hashing.mix(prints[starts] + nth.astype(np.uint64) * hashing.ODD[23])
-        return hashing.mix(np.add.reduceat(each, begin)[k])
+        nth = np.arange(len(self.prints)) - np.repeat(self.begin, self.n)
+        each = hashing.mix(self.prints + nth.astype(np.uint64) * hashing.ODD[23])
+        return hashing.mix(np.add.reduceat(each, self.begin)[k])
 
-    def content(k):
-        return [prints[a:a + c].tobytes() for a, c in zip(w[k].tolist(), n[k].tolist())]
-    return Runs(row[w], w - first[row[w]], n, key[begin], run_hash, content)
+    def content(self, k):
+        return [self.prints[a:a + c].tobytes()
+                for a, c in zip(self.begin[k].tolist(), self.n[k].tolist())]
 
 
 def _resolve(kinds: DataFrame) -> DataFrame:
@@ -163,7 +193,7 @@ def _resolve(kinds: DataFrame) -> DataFrame:
                  pa.array(nth, pa.int32())],
                 names=["key", "run", "print", "doc", "tie", "first", "nth"])
     each = kinds.select("key", "run", "m", "content").mapInArrow(
-        spread, "key long, run long, print long, doc long, tie long, first long, nth int")
+        spread, "key int, run long, print long, doc long, tie long, first long, nth int")
     each = each.withColumn("own", F.struct(*ORDER))
     # the anchor and the print together name a window
     least = each.groupBy("key", "print").agg(F.min("own").alias("least"),
@@ -177,7 +207,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """One row per document row: word counts, hash and text of the kept words, and the
     removed spans of words."""
     own = identified(docs)
-    cuts = repeated(own, scan, WINDOW, ORDER, _resolve).select(
+    cuts = repeated(own, _Runs, WINDOW, ORDER, _resolve).select(
         F.col("doc").alias("_d"), F.col("tie").alias("_t"), "cuts")
 
     def apply(batches):

@@ -5,9 +5,8 @@ where the anchor of a window depends on the window's content alone.  So equal
 windows always have equal anchors, and a window whose anchor occurs once in the
 corpus occurs once.  Three passes over the documents follow, each a map:
 
-1. anchors are counted, and those that occur twice or more set a bit in a filter
-   of ``2 ** FILTER_BITS`` bits; the filter's size is fixed, and a bit set in
-   vain only lets rows through that later steps find to be alone;
+1. anchors are counted, and those that occur twice or more enter a filter of
+   fixed size (see ``bits``), which also lets some others through;
 2. the runs of such anchors are grouped by (anchor, hash of all their windows):
    equal runs.  All but the first are repeats as a whole, so what many documents
    share is one row from here on;
@@ -23,28 +22,39 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankfold.llm import hashing
-from rankfold.llm.text import written_table
+from rankfold.llm.bits import filter_bits, passes
+from rankfold.llm.text import release, written_table
 from rankfold.session import ship_package
 
-FILTER_BITS = 28
 U = np.uint64
 
-# a front end: (bytes, row offsets) -> Runs
-Scan = Callable[[np.ndarray, np.ndarray], "Runs"]
-RUNS = "key long, run long, doc long, tie long, first long, n int"
-
 
 class Runs:
-    """Runs of a slice of texts: row, first window (counted within the row), number of
-    windows, anchor hash; ``run_hash`` and ``content`` give the rest for chosen runs."""
+    """Runs of a slice of texts.
+
+    ``key`` is each run's anchor hash.  For chosen runs, ``places`` gives row, first
+    window (counted within the row) and number of windows, ``hashes`` a hash of all the
+    windows, and ``content`` what tells the windows apart.
+    """
+
+    key: np.ndarray
+
+    def places(self, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        raise NotImplementedError
+
+    def hashes(self, k: np.ndarray) -> np.ndarray:
+        raise NotImplementedError
+
+    def content(self, k: np.ndarray) -> list[bytes]:
+        raise NotImplementedError
+
 
-    def __init__(self, row, first, n, key, run_hash, content):
-        self.row, self.first, self.n, self.key = row, first, n, key
-        self.run_hash, self.content = run_hash, content
+# a front end: (bytes, row offsets) -> Runs
+Scan = Callable[[np.ndarray, np.ndarray], Runs]
 
 
 def identified(docs: DataFrame) -> DataFrame:
@@ -55,25 +65,6 @@ def identified(docs: DataFrame) -> DataFrame:
         F.xxhash64("text").alias("tie"), "text", F.col("doc_id").cast("long").alias("doc_id"))
 
 
-def filter_of(keys: DataFrame) -> np.ndarray:
-    """The filter of the ``key`` values that occur twice or more, ``2 ** FILTER_BITS`` bits."""
-    at = F.shiftrightunsigned("key", 64 - FILTER_BITS)
-    words = (keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-             .select(F.shiftright(at, 6).alias("w"),
-                     F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - FILTER_BITS}) "
-                            "& 63 as int))").alias("m"))
-             .groupBy("w").agg(F.expr("bit_or(m)").alias("m")))
-    got = words.toArrow()
-    bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
-    bits[got["w"].to_numpy()] = got["m"].to_numpy().view(np.uint64)
-    return bits
-
-
-def _passes(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
-    at = key >> U(64 - FILTER_BITS)
-    return np.flatnonzero((bits[at >> U(6)] >> (at & U(63))) & U(1))
-
-
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
@@ -88,23 +79,33 @@ def anchors(docs: DataFrame, scan: Scan) -> DataFrame:
 
 
 def runs(docs: DataFrame, scan: Scan, bits, content: bool = False) -> DataFrame:
-    """Passes 2 and 3: the runs whose anchors pass the filter, in pass 3 with content."""
+    """Passes 2 and 3: the runs whose anchors pass the filter, in pass 3 with content.
+
+    From here on 32 bits of the anchor do, next to the 64 of a run or window.
+    """
     def chosen(batches) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, _, data, off in hashing.slices(b.column(2)):
                 r = scan(data, off)
-                k = _passes(bits.value, r.key)
-                row = pa.array(lo + r.row[k])
-                cols = {"key": _signed(r.key[k]), "run": _signed(r.run_hash(k))}
+                k = passes(bits.value, r.key << U(32) if content else r.key)
+                cols = {"key": pa.array(r.key[k].astype(np.uint32).view(np.int32)),
+                        "run": _signed(r.hashes(k))}
                 if content:
                     cols["content"] = pa.array(r.content(k), pa.binary())
                 else:
+                    row, first, n = r.places(k)
+                    row = pa.array(lo + row)
                     cols |= {"doc": b.column(0).take(row), "tie": b.column(1).take(row),
-                             "first": pa.array(r.first[k].astype(np.int64)),
-                             "n": pa.array(r.n[k].astype(np.int32))}
+                             "first": pa.array(first.astype(np.int32)),
+                             "n": pa.array(n.astype(np.int32))}
                 yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
     return docs.select("doc", "tie", "text").mapInArrow(
-        chosen, "key long, run long, content binary" if content else RUNS)
+        chosen, "key int, run long, content binary" if content
+        else "key int, run long, doc long, tie long, first int, n int")
+
+
+def place(order: list[str]) -> Column:
+    return F.struct(*order) if len(order) > 1 else F.col(order[0])
 
 
 def repeated(docs: DataFrame, scan: Scan, width: int, order: list[str],
@@ -113,30 +114,43 @@ def repeated(docs: DataFrame, scan: Scan, width: int, order: list[str],
     ``width`` that also occur earlier, where ``order`` says what earlier means.
 
     ``docs`` comes from ``identified``.  ``resolve`` gets the different runs of anchors
-    that have several (key, run, m, content), ``m`` being the first place of each as a
-    struct of ``order``, and returns (key, run, part): the ranges of windows, counted
-    from the run's first, that also occur before ``m``.
+    that have several (key, run, m, content), ``m`` being the first place of each by
+    ``order``, and returns (key, run, part): the ranges of windows, counted from the
+    run's first, that also occur before ``m``.
     """
-    ship_package(docs.sparkSession)
-    sc = docs.sparkSession.sparkContext
-    bits = sc.broadcast(filter_of(anchors(docs, scan)))
+    spark = docs.sparkSession
+    ship_package(spark)
+    often = anchors(docs, scan).groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    bits = spark.sparkContext.broadcast(filter_bits(often))
+    del often
+    release(spark)
     found = written_table(runs(docs, scan, bits), "runs")
+    bits.destroy()
     kinds = written_table(found.groupBy("key", "run").agg(
-        F.min(F.struct(*order)).alias("m")), "kinds")
-    bits = sc.broadcast(filter_of(kinds.select("key")))
+        F.min(place(order)).alias("m"), F.count(F.lit(1)).alias("c")), "kinds")
+    release(spark)
+    several = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    bits = spark.sparkContext.broadcast(filter_bits(several.select(
+        F.shiftleft(F.col("key").cast("long"), 32).alias("key"))))
     content = runs(docs, scan, bits, content=True).groupBy("key", "run").agg(
         F.first("content").alias("content"))
-    part = written_table(resolve(content.join(kinds, ["key", "run"])), "parts")
-    state = kinds.join(part, ["key", "run"], "left")
+    part = written_table(resolve(content.join(kinds.drop("c"), ["key", "run"])), "parts")
+    bits.destroy()
+    release(spark)
+    # a run that occurs once, with no window found earlier, is of no further use
+    state = kinds.join(part, ["key", "run"], "left").filter("c > 1 or part is not null")
     whole = F.array(F.struct(F.col("first").alias("a"),
                              (F.col("first") + F.col("n") + (width - 1)).alias("b")))
     some = F.transform("part", lambda p: F.struct(
         (F.col("first") + p["a"]).alias("a"), (F.col("first") + p["b"] + (width - 1)).alias("b")))
-    spans = found.join(state, ["key", "run"]).select(
-        "doc", "tie", F.when(F.struct(*order) > F.col("m"), whole).otherwise(some).alias("c"))
-    return (spans.filter("c is not null").select("doc", "tie", F.inline("c"))
-            # a row's spans are bounded by its own length
-            .groupBy("doc", "tie").agg(F.collect_set(F.struct("a", "b")).alias("cuts")))
+    spans = found.join(state.drop("c"), ["key", "run"]).select(
+        "doc", "tie", F.when(place(order) > F.col("m"), whole).otherwise(some).alias("c"))
+    cuts = written_table(spans.filter("c is not null").select("doc", "tie", F.inline("c"))
+                         # a row's spans are bounded by its own length
+                         .groupBy("doc", "tie")
+                         .agg(F.collect_set(F.struct("a", "b")).alias("cuts")), "cuts")
+    release(spark)
+    return cuts
 
 
 def merged(cuts) -> tuple[np.ndarray, np.ndarray]:

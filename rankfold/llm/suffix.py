@@ -1,10 +1,10 @@
 """Repeated byte strings by external induced sorting.
 
 Texts are cut into shards of related content: the anchor of a 50-byte window is
-the least hash of its 16-byte strings, so all copies of a window have one
-anchor and meet in one shard, whatever documents they are in (see ``repeats``;
-equal contexts count once, and a context alone with its anchor has nothing to
-be compared with).  Within a shard the suffixes of all contexts are sorted and
+the string around the one of its 8-byte strings that has the least hash, so all
+copies of a window have one anchor and meet in one shard, whatever documents
+they are in (see ``repeats``; equal contexts count once, and a context alone
+with its anchor has nothing to be compared with).  Within a shard the suffixes of all contexts are sorted and
 windows equal to each other are neighbours whose common prefix spans them.
 
 Sorting is by induction.  The leftmost S-type (LMS) suffixes are sorted first,
@@ -42,8 +42,8 @@ from rankfold.llm.repeats import Runs, identified, merged, repeated
 # Fixed value: bytes in a window.
 WINDOW = 50
 # Production parameters.
-GRAM = 16
-PLACE_BITS = 28
+GRAM = 8
+HALF = 22
 CHUNK_BYTES = 8 << 20
 QUEUE_BYTES = 64 << 20
 SPLIT = 20_000
@@ -55,59 +55,78 @@ RESULT = ("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256
 
 
 # ---------------------------------------------------------------- shards
-def _grams(data: np.ndarray, size: int) -> np.ndarray:
-    """A hash of the ``size`` (a power of two) bytes from each place on."""
-    x, k = hashing._BYTES[data], 1
-    while k < size:
-        x = x[:-k] * hashing.ODD[k % 29] + x[k:] * hashing.ODD[k % 29 + 30]
-        x ^= x >> U(29)
-        k *= 2
-    return x
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each place on as a number; zeros follow the end."""
+    room = np.zeros(len(data) + 8, np.uint8)
+    room[:len(data)] = data
+    return np.lib.stride_tricks.as_strided(room[:8].view("<u8"), (len(data) + 1,), (1,))
+
 
+def _least_places(rank: np.ndarray, width: int) -> np.ndarray:
+    """The first place of the least value in each window of ``width``."""
+    at = np.arange(len(rank), dtype=np.int32)
 
-def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
+    def joined(rank, at, step):
+        later = rank[step:] < rank[:-step]
+        return (np.minimum(rank[:-step], rank[step:]), np.where(later, at[step:], at[:-step]))
     k = 1
     while 2 * k <= width:
-        x = np.minimum(x[:-k], x[k:])
+        rank, at = joined(rank, at, k)
         k *= 2
-    return np.minimum(x[:-(width - k)], x[width - k:]) if width > k else x
-
-
-def scan(data: np.ndarray, off: np.ndarray) -> Runs:
-    """Runs of windows by anchor; see ``repeats``."""
-    if len(data) < WINDOW:
-        none = np.empty(0, np.int64)
-        return Runs(none, none, none, np.empty(0, U), lambda k: np.empty(0, U), lambda k: [])
-    mask = U((1 << PLACE_BITS) - 1)
-    gram = _grams(data, GRAM)
-    rank = hashing.mix(gram) & ~mask
-    rank |= np.arange(len(gram), dtype=np.uint64)
-    place = (_sliding_least(rank, WINDOW - GRAM + 1) & mask).astype(np.int64)
-    # windows of each text, then the runs of windows with the same place
-    n_windows = np.maximum(np.diff(off) - WINDOW + 1, 0)
-    ok = np.zeros(len(place) + 1, np.int8)
-    some = n_windows > 0
-    np.add.at(ok, off[:-1][some], 1)
-    np.add.at(ok, off[:-1][some] + n_windows[some], -1)
-    ok = np.cumsum(ok)[:-1].astype(bool)
-    new = ok.copy()
-    new[1:] &= (place[1:] != place[:-1]) | ~ok[:-1]
-    new[off[:-1][some]] = True
-    begin = np.flatnonzero(new)
-    row = np.searchsorted(off, begin, "right") - 1
-    stop = np.minimum(np.append(begin[1:], len(place)), off[:-1][row] + n_windows[row])
-    n = stop - begin
-    key = hashing.mix(gram[place[begin]] ^ hashing.ODD[25])
-
-    def run_hash(k):
+    return joined(rank, at, width - k)[1] if width > k else at
+
+
+class _Runs(Runs):
+    """Runs of byte windows; see ``repeats``.
+
+    Windows with one least 8-byte string are told apart by whether it begins in their
+    first ``HALF`` bytes, and the anchor is all bytes around it that any of them holds.
+    """
+
+    def __init__(self, data: np.ndarray, off: np.ndarray):
+        self.data, self.off = data, off
+        if len(data) < WINDOW:
+            self.begin = self.n = np.empty(0, np.int64)
+            self.key = np.empty(0, U)
+            return
+        eights = _eights(data)
+        rank = ((eights[:len(data) - GRAM + 1] * hashing.ODD[24]) >> U(32)).astype(np.uint32)
+        place = _least_places(rank, WINDOW - GRAM + 1)
+        n_windows = np.maximum(np.diff(off) - WINDOW + 1, 0)
+        some = n_windows > 0
+        firsts, lasts = off[:-1][some], off[:-1][some] + n_windows[some]
+        edge = np.zeros(len(place) + 1, np.int8)
+        edge[firsts] = 1
+        edge[lasts] -= 1
+        inside = np.cumsum(edge[:-1], dtype=np.int8).astype(bool)
+        late = place - np.arange(len(place), dtype=np.int32) >= HALF
+        new = np.ones(len(place), bool)
+        new[1:] = (place[1:] != place[:-1]) | (late[1:] != late[:-1]) | (edge[1:-1] != 0)
+        begin = np.flatnonzero(new)
+        stop = np.append(begin[1:], len(place))
+        use = inside[begin]
+        self.begin = begin[use]
+        self.n = stop[use] - self.begin
+        late = late[self.begin]
+        a = place[self.begin] - np.where(late, HALF, 0)
+        size = np.where(late, HALF + GRAM, WINDOW - HALF + 1)
+        self.key = hashing.mix(
+            eights[a] * hashing.ODD[25] + eights[a + 8] * hashing.ODD[26]
+            + eights[a + 16] * hashing.ODD[27] + eights[a + size - 8] * hashing.ODD[28]
+            + late.astype(np.uint64))
+
+    def places(self, k):
+        row = np.searchsorted(self.off, self.begin[k], "right") - 1
+        return row, self.begin[k] - self.off[row], self.n[k]
+
+    def hashes(self, k):
         """Of all bytes from a run's first window to the end of its last."""
-        a, b = begin[k], begin[k] + n[k] + WINDOW - 1
-        return hashing.word_hashes(data, a, b) if len(k) else np.empty(0, U)
+        a = self.begin[k]
+        return hashing.word_hashes(self.data, a, a + self.n[k] + (WINDOW - 1))
 
-    def content(k):
-        return [data[x:x + c + WINDOW - 1].tobytes()
-                for x, c in zip(begin[k].tolist(), n[k].tolist())]
-    return Runs(row, begin - off[:-1][row], n, key, run_hash, content)
+    def content(self, k):
+        return [self.data[x:x + c + WINDOW - 1].tobytes()
+                for x, c in zip(self.begin[k].tolist(), self.n[k].tolist())]
 
 
 # ---------------------------------------------------------------- induced sorting
@@ -421,7 +440,7 @@ def _sort_shards(batches):
 
 
 _PART_TYPE = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
-_PARTS = pa.schema([("key", pa.int64()), ("run", pa.int64()), ("part", _PART_TYPE)])
+_PARTS = pa.schema([("key", pa.int32()), ("run", pa.int64()), ("part", _PART_TYPE)])
 
 
 def _resolve(kinds: DataFrame) -> DataFrame:
@@ -430,10 +449,10 @@ def _resolve(kinds: DataFrame) -> DataFrame:
     rows = kinds.join(many, "key").filter("_c > 1")
     whole = rows.filter(F.col("_c") <= SPLIT).select(
         F.col("key").alias("shard"), "key", "run", F.lit(0).alias("at"),
-        F.col("m.doc").alias("doc"), "content")
+        F.col("m").alias("doc"), "content")
     # an anchor with very many contexts is divided by the windows themselves
     split = rows.filter(F.col("_c") > SPLIT).select(
-        "key", "run", F.col("m.doc").alias("doc"), "content",
+        "key", "run", F.col("m").alias("doc"), "content",
         F.explode(F.sequence(F.lit(0), F.octet_length("content") - WINDOW)).alias("at")).select(
         "key", "run", "doc", "at", F.substring("content", F.col("at") + 1, F.lit(WINDOW))
         .alias("content"))
@@ -442,7 +461,7 @@ def _resolve(kinds: DataFrame) -> DataFrame:
         "key", "run", "at")
     return (whole.repartition("shard").sortWithinPartitions("shard", "run")
             .select("shard", "key", "run", "at", "doc", "content")
-            .mapInArrow(_sort_shards, "key long, run long, part array<struct<a:int,b:int>>")
+            .mapInArrow(_sort_shards, "key int, run long, part array<struct<a:int,b:int>>")
             .unionByName(late.groupBy("key", "run").agg(F.collect_list(F.struct(
                 F.col("at").alias("a"), (F.col("at") + 1).alias("b"))).alias("part"))))
 
@@ -451,7 +470,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """One row per document row: byte counts, hash and bytes of what is kept, and the
     removed spans of bytes."""
     own = identified(docs)
-    cuts = repeated(own, scan, WINDOW, ORDER, _resolve).select(
+    cuts = repeated(own, _Runs, WINDOW, ORDER, _resolve).select(
         F.col("doc").alias("_d"), F.col("tie").alias("_t"), "cuts")
 
     def apply(batches):

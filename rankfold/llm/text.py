@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame
@@ -33,12 +34,6 @@ def words(text: Column) -> Column:
     return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, WORD_GAP))
 
 
-def kept_table(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared checkpoint folder and read from there on."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def written_table(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet below the shared checkpoint folder, and its reader."""
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
@@ -46,5 +41,21 @@ def written_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def kept_table(df: DataFrame) -> DataFrame:
+    """A small step's result as a written table, so that the next one is planned by its
+    real size and starts from files that outlive executors."""
+    return written_table(df, "kept")
+
+
+def release(spark) -> None:
+    """Let Spark remove the shuffle files of steps whose results are written.
+
+    It does so when the driver's garbage is collected, which a driver with little to do
+    may put off past the end of a job.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def documents(spark, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
