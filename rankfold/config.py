@@ -33,9 +33,9 @@ PRIORITY_STREAM = 2
 # partial normal equations are summed before the solve.
 MAX_ROWS_PER_SOLVE_GROUP = 200_000
 
-# Upper bound, in bytes, for one broadcast chunk of the item model in the
-# block scorer.  Larger models are scored chunk by chunk (exact merge).
-MAX_SCORER_BROADCAST_BYTES = 256 * 1024 * 1024
+# Rows of a query block and of an item block of the scorer: what one task holds.
+QUERY_BLOCK = 4096
+ITEM_BLOCK = 32768
 
 # Upper bound, in bytes, for broadcasting the fixed factor table in a
 # least-squares half step (above it the rows are shuffled to the factors).

@@ -1,2 +1,2 @@
 from rankfold.functions.vectors import (  # noqa: F401
-    clip_rating, cosine, dot, norm, rank_key, split_bucket)
+    clip_rating, dot, norm, split_bucket)

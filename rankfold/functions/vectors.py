@@ -22,23 +22,13 @@ def norm(a) -> Column:
     return F.sqrt(F.aggregate(_c(a), F.lit(0.0), lambda acc, v: acc + v * v))
 
 
-def cosine(a, b, eps: float = config.COSINE_EPS) -> Column:
-    """Cosine with the reference's ``+1e-9`` in the denominator."""
-    return dot(a, b) / (norm(a) * norm(b) + F.lit(eps))
-
-
 def clip_rating(x, lo: float = config.CLIP_LO, hi: float = config.CLIP_HI) -> Column:
     """Clip to the rating scale.  ``x`` must be non-null (greatest/least skip nulls)."""
     return F.greatest(F.lit(lo), F.least(F.lit(hi), _c(x)))
 
 
-def rank_key(x) -> Column:
-    """Score rounded for ranking, so equal scores tie in every engine."""
-    return F.round(_c(x), config.RANK_DECIMALS)
-
-
-def split_bucket(user_col="user_id", item_col="item_id", method: str = "linear",
-                 buckets: int = 10, seed: int = 42) -> Column:
+def split_bucket(user_col="user_id", item_col="item_id", method: str = "xxhash",
+                 buckets: int = 1_000_000, seed: int = 42) -> Column:
     """Deterministic bucket in ``[0, buckets)`` of a (user, item) pair.
 
     ``linear`` is ``(31*user + 17*item + 7) mod buckets``: portable to any SQL
@@ -48,7 +38,8 @@ def split_bucket(user_col="user_id", item_col="item_id", method: str = "linear",
     """
     u, i = _c(user_col), _c(item_col)
     if method == "linear":
-        return F.pmod(u * 31 + i * 17 + 7, F.lit(buckets))
+        n = F.lit(buckets)  # of each id first: no id is too large
+        return F.pmod(F.pmod(u, n) * 31 + F.pmod(i, n) * 17 + 7, n)
     if method == "xxhash":
         return F.pmod(F.xxhash64(u, i, F.lit(seed)), F.lit(buckets))
     raise ValueError(f"unknown split method {method!r}")

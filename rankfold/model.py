@@ -11,11 +11,14 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rankfold import config
+
 META_SCHEMA = ("mu double, rank int, reg double, bias_reg double, iterations int, "
                "solver string, trained_at timestamp, rmse double, mae double, "
                "n_train long")
@@ -57,13 +60,15 @@ def save_model(model: Model, path: str) -> str:
     return path
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def load_model(spark: SparkSession, path: str) -> Model:
     meta = spark.read.parquet(os.path.join(path, "meta")).first()
-    hist_path = os.path.join(path, "history")
-    try:
-        hist = spark.read.parquet(hist_path)
-    except Exception:  # no history saved (MLlib models)
-        hist = None
+    hist = (spark.read.parquet(os.path.join(path, "history"))
+            if _exists(spark, os.path.join(path, "history")) else None)
     return Model(mu=meta["mu"],
                  user_factors=spark.read.parquet(os.path.join(path, "user_factors")),
                  item_factors=spark.read.parquet(os.path.join(path, "item_factors")),
@@ -90,16 +95,61 @@ def promote_decision(current: DataFrame | None, candidate: DataFrame,
         & (F.col("new_mae") <= F.col("old_mae") + F.lit(max_rmse_increase)))
 
 
+def retrain(base: DataFrame | None, feedback: DataFrame | None, out: str,
+            feedback_only: bool = False, version: str | None = None, rank: int = config.RANK,
+            iterations: int = config.ITERATIONS, reg: float = config.REG,
+            method: str = "xxhash", max_rmse_increase: float = 0.0) -> DataFrame:
+    """Train a new model version from the rating sources and promote it if it is no worse.
+
+    Merges the sources (only feedback with ``feedback_only``), splits, fits the exact
+    solver, evaluates on the holdout, and writes below ``out/<version>`` the model with its
+    metrics and, as ``predictions``, the evaluated pairs.  The version named by
+    ``out/current``, if any, is evaluated on the same holdout; the pointer moves to the new
+    version when neither RMSE nor MAE rises by more than ``max_rmse_increase``.  Everything
+    of a version is written before the pointer, so readers never see half of one.
+
+    Returns one row: version, n_train, n_eval, n_skipped, old and new metrics, promote.
+    """
+    from rankfold.operators import als, evaluate, merge, split
+
+    source = base if base is not None else feedback
+    spark = source.sparkSession
+    merged = merge.merge_ratings(base, feedback, feedback_only).checkpoint(eager=True)
+    train, hold = split.train_holdout(merged, method=method)
+    model = als.fit_exact(train, rank, iterations, reg)
+    model.n_train = train.count()
+    e = evaluate.eval_summary(hold, model).first()
+    model.rmse, model.mae = e["rmse"], e["mae"]
+    version = version or uuid.uuid4().hex
+    path = save_model(model, f"{out}/{version}")
+    evaluate.prediction_errors(hold, model).write.mode("overwrite").parquet(
+        f"{path}/predictions")
+    metrics = "rmse double, mae double"
+    new = spark.createDataFrame([(model.rmse, model.mae)], metrics)
+    current = read_current_pointer(spark, out)
+    old = None
+    if current is not None:
+        o = evaluate.eval_summary(hold, load_model(spark, f"{out}/{current}")).first()
+        old = spark.createDataFrame([(o["rmse"], o["mae"])], metrics)
+    decision = promote_decision(old, new, max_rmse_increase).first()
+    if decision["promote"]:
+        write_current_pointer(spark, out, version)
+    return spark.createDataFrame(
+        [(version, model.n_train, e["n_eval"], e["n_skipped"], decision["old_rmse"],
+          decision["new_rmse"], decision["old_mae"], decision["new_mae"],
+          decision["promote"])],
+        "version string, n_train long, n_eval long, n_skipped long, old_rmse double, "
+        "new_rmse double, old_mae double, new_mae double, promote boolean")
+
+
 def write_current_pointer(spark: SparkSession, root: str, version: str) -> None:
     spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode(
         "overwrite").parquet(os.path.join(root, "current"))
 
 
 def read_current_pointer(spark: SparkSession, root: str) -> str | None:
-    try:
-        row = spark.read.parquet(os.path.join(root, "current")).first()
-    except Exception:
-        return None
+    path = os.path.join(root, "current")
+    row = spark.read.parquet(path).first() if _exists(spark, path) else None
     return row["version"] if row else None
 
 

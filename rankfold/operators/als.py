@@ -73,20 +73,11 @@ def _unpack(tri_vals: np.ndarray, rank: int) -> np.ndarray:
 def _solve(xtx_tri: np.ndarray, xty: np.ndarray, n: np.ndarray, rank: int,
            reg: float) -> np.ndarray:
     a = _unpack(xtx_tri, rank)
+    # reg > 0 makes the systems positive definite, so only bad input can fail
+    if not (np.isfinite(a).all() and np.isfinite(xty).all()):
+        raise ValueError("non-finite ratings or factors")
     a[:, np.arange(rank), np.arange(rank)] += (reg * n)[:, None]
-    try:
-        return np.linalg.solve(a, xty[..., None])[..., 0]
-    except np.linalg.LinAlgError:
-        out = np.zeros((a.shape[0], rank))
-        for g in range(a.shape[0]):
-            try:
-                out[g] = np.linalg.solve(a[g], xty[g])
-            except np.linalg.LinAlgError:
-                try:
-                    out[g] = np.linalg.solve(a[g] + 0.01 * np.eye(rank), xty[g])
-                except np.linalg.LinAlgError:
-                    pass
-        return out
+    return np.linalg.solve(a, xty[..., None])[..., 0]
 
 
 def _group_reduce(me: str, rank: int, reg: float, solve: bool):
@@ -226,15 +217,13 @@ def normal_equations(rows: DataFrame, fixed: DataFrame, side: str, rank: int,
     is ``(other_id, factors)``.  The regularisation term is not included.
     """
     me = SIDES[side][0]
-    st = _stage(rows, fixed, side, rank, 0.0, False, max_rows).persist()
+    st = _stage(rows, fixed, side, rank, 0.0, False, max_rows).checkpoint(eager=True)
     whole = st.filter("_ns = 1").select(me, "n", "xtx", "xty")
     split = (st.filter("_ns > 1").select(me, "n", "xtx", "xty")
              .groupBy(me).applyInPandas(
                  _sum_partials(me, rank, None),
                  f"{me} long, n long, xtx array<double>, xty array<double>"))
-    out = whole.unionByName(split)
-    out._rf_cached = st
-    return out
+    return whole.unionByName(split)
 
 
 def half_step(rows: DataFrame, fixed: DataFrame, side: str, rank: int,
@@ -252,20 +241,33 @@ def half_step(rows: DataFrame, fixed: DataFrame, side: str, rank: int,
     if reg <= 0:
         raise ValueError("reg must be positive (the system is then positive definite)")
     me = SIDES[side][0]
-    st = _stage(rows, fixed, side, rank, reg, True, max_rows, laid_out).persist()
+    # written once: both branches below read it, and a lost executor cannot undo it
+    st = _stage(rows, fixed, side, rank, reg, True, max_rows, laid_out).checkpoint(eager=True)
     done = st.filter("kind = 0").select(me, "n", "factors")
     hot = (st.filter("kind = 1").select(me, "n", "xtx", "xty")
            .groupBy(me).applyInPandas(_sum_partials(me, rank, reg),
                                       f"{me} long, n long, factors array<double>"))
-    out = done.unionByName(hot)
-    out._rf_cached = st  # released by callers after they checkpoint the result
-    return out
+    return done.unionByName(hot)
 
 
-def _release(df: DataFrame) -> None:
-    st = getattr(df, "_rf_cached", None)
-    if st is not None:
-        st.unpersist()
+def optimality(rows: DataFrame, p: DataFrame, q: DataFrame, side: str, rank: int,
+               reg: float = config.REG) -> DataFrame:
+    """Per entity of ``side``: the largest error of its weighted normal equations.
+
+    The gradient ``sum (p . q - y) x + reg * n * f`` is summed with built-in
+    aggregates from the residual rows and both factor tables, apart from the
+    solver.  Output: ``<side>_id, n, max_error``.
+    """
+    me = SIDES[side][0]
+    j = (rows.select("user_id", "item_id", "y")
+         .join(p.select("user_id", F.col("factors").alias("_p")), "user_id")
+         .join(q.select("item_id", F.col("factors").alias("_q")), "item_id"))
+    own, fixed = ("_q", "_p") if side == "item" else ("_p", "_q")
+    j = j.withColumn("_d", dot("_p", "_q") - F.col("y"))
+    g = j.groupBy(me).agg(F.count(F.lit(1)).alias("n"), F.first(own).alias("_f"), F.array(*[
+        F.sum(F.col(fixed)[k] * F.col("_d")) for k in range(rank)]).alias("_g"))
+    err = F.array_max(F.zip_with("_g", "_f", lambda x, f: F.abs(x + reg * F.col("n") * f)))
+    return g.select(me, "n", err.alias("max_error"))
 
 
 # --------------------------------------------------------------------------
@@ -325,12 +327,10 @@ def fit_exact(train: DataFrame, rank: int = config.RANK,
     p = None
     for it in range(1, iterations + 1):
         t0 = time.time()
-        p_st = half_step(rows, q, "user", rank, reg, max_rows, by_user)
-        p = _checkpoint(p_st.select("user_id", "factors"))
-        _release(p_st)
-        q_st = half_step(rows, p, "item", rank, reg, max_rows, by_item)
-        q = _checkpoint(q_st.select("item_id", "factors"))
-        _release(q_st)
+        p = _checkpoint(half_step(rows, q, "user", rank, reg, max_rows, by_user)
+                        .select("user_id", "factors"))
+        q = _checkpoint(half_step(rows, p, "item", rank, reg, max_rows, by_item)
+                        .select("item_id", "factors"))
         if history:
             m = train_metrics(rows, mu, p, q, reg,
                               by_user is not None and by_item is not None).first()

@@ -58,14 +58,17 @@ def merge_ratings(base: DataFrame | None, feedback: DataFrame | None,
     return keep_last(u).drop("priority")
 
 
-def upsert(snapshot: DataFrame, events: DataFrame,
-           priority: int = config.PRIORITY_STREAM) -> DataFrame:
-    """Apply rating events to a ratings snapshot (last write wins per pair)."""
-    snap = snapshot.select("user_id", "item_id", "rating", "ts", "seq",
-                           F.lit(config.PRIORITY_BASE).alias("priority"))
-    # an event without a time is stamped when it is applied (as the reference does)
-    ev = valid_ratings(events).select(
-        "user_id", "item_id", "rating",
-        F.coalesce(F.col("ts"), F.current_timestamp().cast("timestamp_ntz")).alias("ts"),
-        F.col("event_id").alias("seq"), F.lit(priority).alias("priority"))
-    return keep_last(snap.unionByName(ev)).drop("priority")
+def stamped(events: DataFrame) -> DataFrame:
+    """Events without a time get the current one.  Done once, where events come in, so
+    that every later reader sees the same time."""
+    return events.withColumn("ts", F.coalesce(
+        F.col("ts").cast("timestamp_ntz"), F.current_timestamp().cast("timestamp_ntz")))
+
+
+def upsert(snapshot: DataFrame, events: DataFrame) -> DataFrame:
+    """Apply rating events to a ratings snapshot: the latest ``(ts, seq)`` of a pair wins,
+    so a late event cannot replace a newer rating."""
+    snap = snapshot.select("user_id", "item_id", "rating", "ts", "seq")
+    ev = valid_ratings(stamped(events)).select(
+        "user_id", "item_id", "rating", "ts", F.col("event_id").alias("seq"))
+    return keep_last(snap.unionByName(ev), order=("ts", "seq", "rating"))

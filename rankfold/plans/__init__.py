@@ -1,2 +1,2 @@
 from rankfold.plans.catalog import QUERIES, flagship  # noqa: F401
-from rankfold.plans.oracle import ORACLE_SQL  # noqa: F401
+from rankfold.plans.oracle import oracle_sql  # noqa: F401

@@ -3,37 +3,39 @@
 Each query reads the given tables through ``sources.testdata`` (which only
 re-shapes them) and runs the library's operators on the whole tables.
 Numeric outputs are rounded (6 decimals; 4 where the reference prints 4) so
-that results compare across engines.  Models are trained once per data folder
-and session and reused by the serving queries.
+that results compare across engines.  Models are trained at the reference's
+constants (rank 20, 20 iterations), once per data folder and session, and
+reused by the serving queries.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankfold import config
-from rankfold.model import load_model, promote_decision, retrain_due, save_model
+from rankfold.model import (load_model, promote_decision, read_current_pointer, retrain,
+                            retrain_due, save_model)
 from rankfold.operators import als, bias, catalogue, clean, evaluate, merge, profile
 from rankfold.operators import scoring, split
 from rankfold.session import ensure_checkpoint_dir, scratch_path
 from rankfold.sources import testdata as td
-from rankfold.streaming import item_stats
+from rankfold.streaming import item_stats as live
 
-# Serving model of the query set: the exact solver at rank 2 (an oracle can
-# replay it), three alternating iterations, the reference's lambda and shrinkage.
-SERVING_RANK = 2
-SERVING_ITERATIONS = 3
-UPSERT_PAGE = 3
+# The split whose form any SQL engine can repeat, for the oracle.
+SPLIT = "linear"
+PAGE = 3
+PAGE_AFTER = 59
+LOOKUP_USER = 7
+LOOKUP_ITEM = 42
 
 _MEMO: dict = {}
 
 
 def _memo(spark: SparkSession, sf_dir: str, name: str, fn):
-    key = (id(spark.sparkContext._jsc), os.path.abspath(sf_dir), name)
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _MEMO:
         _MEMO[key] = fn()
     return _MEMO[key]
@@ -45,28 +47,39 @@ def r6(c):
 
 # ---------------------------------------------------------------- shared data
 def merged(spark, d) -> DataFrame:
-    """The ratings store: base and feedback merged (one scan), materialised
-    once per data folder with a reliable checkpoint."""
+    """The ratings store: base and feedback merged (one scan), written once per data
+    folder as Parquet sorted within files, so that lookups by user or item reach the scan."""
     def build():
-        ensure_checkpoint_dir(spark)
-        return merge.merge_tagged(td.tagged_ratings(spark, d)).checkpoint(eager=True)
+        path = scratch_path(spark, "ratings")
+        rows = merge.merge_tagged(td.tagged_ratings(spark, d))
+        rows.sortWithinPartitions("user_id", "item_id").write.parquet(path)
+        return spark.read.schema(rows.schema).parquet(path)
     return _memo(spark, d, "merged", build)
 
 
+def stats_store(spark, d) -> DataFrame:
+    """The catalogue with item statistics, written once as Parquet."""
+    def build():
+        path = scratch_path(spark, "catalogue")
+        rows = catalogue.catalogue(td.movies(spark, d), merged(spark, d), None)
+        rows.sortWithinPartitions("item_id").write.parquet(path)
+        return spark.read.schema(rows.schema).parquet(path)
+    return _memo(spark, d, "stats_store", build)
+
+
 def train_holdout(spark, d):
-    return split.train_holdout(merged(spark, d))
+    return split.train_holdout(merged(spark, d), method=SPLIT)
 
 
-def movies_catalogue(spark, d, with_model: bool = True) -> DataFrame:
-    return catalogue.catalogue(td.movies(spark, d), merged(spark, d),
-                               serving_model(spark, d) if with_model else None)
+def movies_catalogue(spark, d) -> DataFrame:
+    return catalogue.catalogue(td.movies(spark, d), merged(spark, d), None)
 
 
 def serving_model(spark, d):
     def fit():
         ensure_checkpoint_dir(spark)
         tr, _ = train_holdout(spark, d)
-        return als.fit_exact(tr, rank=SERVING_RANK, iterations=SERVING_ITERATIONS)
+        return als.fit_exact(tr)
     return _memo(spark, d, "serving_model", fit)
 
 
@@ -74,9 +87,8 @@ def feedback_model(spark, d):
     def fit():
         ensure_checkpoint_dir(spark)
         fb = merge.merge_ratings(None, td.feedback_ratings(spark, d), feedback_only=True)
-        tr, _ = split.train_holdout(fb)
-        return als.fit_exact(tr, rank=SERVING_RANK, iterations=SERVING_ITERATIONS,
-                             history=False)
+        tr, _ = split.train_holdout(fb, method=SPLIT)
+        return als.fit_exact(tr, history=False)
     return _memo(spark, d, "feedback_model", fit)
 
 
@@ -92,8 +104,10 @@ def _biases(spark, d):
     return tr, mu, ub, ib
 
 
-def _two(c: str):
-    return [r6(F.col(c)[0]).alias("f1"), r6(F.col(c)[1]).alias("f2")]
+def _factors(c: str = "factors"):
+    """The first two components and the sum of all of them."""
+    total = F.aggregate(F.col(c), F.lit(0.0), lambda a, v: a + v)
+    return [r6(F.col(c)[0]).alias("f1"), r6(F.col(c)[1]).alias("f2"), r6(total).alias("f_sum")]
 
 
 # ---------------------------------------------------------------- queries
@@ -125,7 +139,7 @@ def q_ratings_profile(spark, d):
 
 
 def q_train_val_split(spark, d):
-    return split.with_holdout_flag(merged(spark, d)).select(
+    return split.with_holdout_flag(merged(spark, d), method=SPLIT).select(
         "user_id", "item_id", "rating", "is_holdout")
 
 
@@ -170,29 +184,33 @@ def q_residuals(spark, d):
 def _rows_and_start(spark, d):
     tr, mu, ub, ib = _biases(spark, d)
     rows = bias.residuals(tr, mu, ub, ib)
-    q0 = als.init_factors(ib.select("item_id"), "item_id", SERVING_RANK)
+    q0 = als.init_factors(ib.select("item_id"), "item_id", config.RANK)
     return rows, q0
 
 
 def q_normal_equations(spark, d):
     rows, q0 = _rows_and_start(spark, d)
-    ne = als.normal_equations(rows, q0, "user", SERVING_RANK)
+    ne = als.normal_equations(rows, q0, "user", config.RANK)
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, v: a + v)
+    # the upper triangle of X^T X is packed by rows
     return ne.select("user_id", "n", r6(F.col("xtx")[0]).alias("xtx_11"),
-                     r6(F.col("xtx")[1]).alias("xtx_12"), r6(F.col("xtx")[2]).alias("xtx_22"),
-                     r6(F.col("xty")[0]).alias("xty_1"), r6(F.col("xty")[1]).alias("xty_2"))
+                     r6(F.col("xtx")[1]).alias("xtx_12"),
+                     r6(F.col("xtx")[config.RANK]).alias("xtx_22"),
+                     r6(total("xtx")).alias("xtx_sum"), r6(F.col("xty")[0]).alias("xty_1"),
+                     r6(total("xty")).alias("xty_sum"))
 
 
 def q_als_user_half_step(spark, d):
     rows, q0 = _rows_and_start(spark, d)
-    p = als.half_step(rows, q0, "user", SERVING_RANK, config.REG)
-    return p.select("user_id", "n", *_two("factors"))
+    p = als.half_step(rows, q0, "user", config.RANK, config.REG)
+    return p.select("user_id", "n", *_factors())
 
 
 def q_als_item_half_step(spark, d):
     rows, q0 = _rows_and_start(spark, d)
-    p = als.half_step(rows, q0, "user", SERVING_RANK, config.REG).select("user_id", "factors")
-    q = als.half_step(rows, p, "item", SERVING_RANK, config.REG)
-    return q.select("item_id", "n", *_two("factors"))
+    p = als.half_step(rows, q0, "user", config.RANK, config.REG).select("user_id", "factors")
+    q = als.half_step(rows, p, "item", config.RANK, config.REG)
+    return q.select("item_id", "n", *_factors())
 
 
 def q_als_training_history(spark, d):
@@ -202,11 +220,18 @@ def q_als_training_history(spark, d):
 
 
 def q_als_fit(spark, d):
-    """MLlib ALS at the reference's constants (rank 20, 20 iterations)."""
-    tr, _ = train_holdout(spark, d)
+    """MLlib ALS at the reference's constants (rank 20, 20 iterations).
+
+    Its start values are random, so the factors differ between runs; that they solve
+    each item's weighted normal equations given the user factors does not.
+    """
+    tr, mu, ub, ib = _biases(spark, d)
     m = _memo(spark, d, "mllib_model", lambda: als.fit_mllib(tr))
-    return m.item_factors.select("item_id", r6("bias").alias("bias"), "n",
-                                 F.size("factors").alias("rank"))
+    check = als.optimality(bias.residuals(tr, mu, ub, ib), m.user_factors, m.item_factors,
+                           "item", config.RANK)
+    return m.item_factors.join(check.select("item_id", "max_error"), "item_id").select(
+        "item_id", r6("bias").alias("bias"), "n", F.size("factors").alias("rank"),
+        (F.col("max_error") < 1e-4).alias("solved"))
 
 
 def q_model_reload(spark, d):
@@ -215,12 +240,14 @@ def q_model_reload(spark, d):
     save_model(m, path)
     back = load_model(spark, path)
     return back.item_factors.select("item_id", r6("bias").alias("bias"), "n",
-                                    *_two("factors"))
+                                    *_factors())
 
 
 def q_predict_pairs(spark, d):
+    """The whole holdout by the model of the feedback store: some users and items are
+    unknown to it."""
     _, ho = train_holdout(spark, d)
-    p = scoring.predict_pairs(ho.select("user_id", "item_id"), serving_model(spark, d))
+    p = scoring.predict_pairs(ho.select("user_id", "item_id"), feedback_model(spark, d))
     return p.select("user_id", "item_id", r6("raw").alias("raw"),
                     r6("predicted").alias("predicted"))
 
@@ -246,19 +273,29 @@ def q_recommend_personalized(spark, d):
 
 
 def q_similar_items(spark, d):
+    """The five nearest items of every item by the model's item factors."""
+    s = scoring.similar_items(serving_model(spark, d).item_factors, config.SIMILAR_N)
+    return s.select("item_id", F.col("rank").cast("int").alias("rank"), "similar_id",
+                    r6("cosine").alias("cosine"))
+
+
+def q_similar_vectors(spark, d):
+    """The five nearest rows of every embedding."""
     s = scoring.similar_items(td.item_vectors(spark, d), config.SIMILAR_N)
     return s.select("item_id", F.col("rank").cast("int").alias("rank"), "similar_id",
                     r6("cosine").alias("cosine"))
 
 
 def q_recommend_cold_start(spark, d):
-    p = scoring.popular_items(movies_catalogue(spark, d, False), config.POPULAR_N)
+    p = scoring.popular_items(movies_catalogue(spark, d), config.POPULAR_N)
     return p.select(F.col("rank").cast("int").alias("rank"), "item_id", "title",
                     r6("avg_rating").alias("avg_rating"), "rating_count")
 
 
 def q_recommend_routed(spark, d):
-    m = serving_model(spark, d)
+    """Every user's list; the model is the one of the feedback store, which does not know
+    all users and items, so both branches occur."""
+    m = feedback_model(spark, d)
     m_all = merged(spark, d)
     users = catalogue.user_dim(td.users(spark, d), m_all, m)
     r = scoring.recommend_routed(users, m, m_all, movies_catalogue(spark, d), config.TOP_N)
@@ -272,36 +309,57 @@ def q_movie_stats(spark, d):
 
 
 def q_catalogue(spark, d):
-    c = movies_catalogue(spark, d)
+    c = catalogue.catalogue(td.movies(spark, d), merged(spark, d), feedback_model(spark, d))
     return c.select("item_id", "title", F.array_join("genres", ", ").alias("genres_text"),
                     F.size("genres").alias("n_genres"), r6("avg_rating").alias("avg_rating"),
                     "rating_count", "has_model")
 
 
 def q_user_dim(spark, d):
-    return catalogue.user_dim(td.users(spark, d), merged(spark, d), serving_model(spark, d))
+    return catalogue.user_dim(td.users(spark, d), merged(spark, d), feedback_model(spark, d))
+
+
+def q_catalogue_after(spark, d):
+    """The page after an id: the condition reaches the scan."""
+    c = catalogue.catalogue_after(stats_store(spark, d), PAGE_AFTER)
+    return c.select("item_id", "title", r6("avg_rating").alias("avg_rating"), "rating_count")
+
+
+def q_movie_lookup(spark, d):
+    """One movie's record by id."""
+    c = catalogue.movie_lookup(stats_store(spark, d), LOOKUP_ITEM)
+    return c.select("item_id", "title", r6("avg_rating").alias("avg_rating"), "rating_count")
+
+
+def q_my_ratings_user(spark, d):
+    """One user's ratings with the movies, by a filter on the store."""
+    own = merged(spark, d).filter(F.col("user_id") == LOOKUP_USER)
+    m = catalogue.my_ratings(own, stats_store(spark, d))
+    return m.select("user_id", "item_id", "title", "user_rating",
+                    r6("avg_rating").alias("avg_rating"), "rating_count")
 
 
 def q_catalogue_page(spark, d):
-    c = catalogue.catalogue_page(movies_catalogue(spark, d, False), UPSERT_PAGE)
+    c = catalogue.catalogue_page(movies_catalogue(spark, d), PAGE)
     return c.select("item_id", "title", r6("avg_rating").alias("avg_rating"), "rating_count")
 
 
 def q_catalogue_card(spark, d):
-    c = catalogue.catalogue_card(movies_catalogue(spark, d, False))
+    c = catalogue.catalogue_card(movies_catalogue(spark, d))
     return c.select("item_id", "title", "genre_label", "avg_label", "avg_rating_2",
                     "rating_count")
 
 
 def q_my_ratings(spark, d):
-    m = catalogue.my_ratings(merged(spark, d), movies_catalogue(spark, d, False))
+    m = catalogue.my_ratings(merged(spark, d), movies_catalogue(spark, d))
     return m.select("user_id", "item_id", "title", "user_rating",
                     r6("avg_rating").alias("avg_rating"), "rating_count")
 
 
 def q_movie_detail(spark, d):
-    sim = scoring.similar_items(td.item_vectors(spark, d), config.SIMILAR_N)
-    det = catalogue.movie_detail(movies_catalogue(spark, d, False), sim)
+    """Every movie of the catalogue with its nearest movies by the feedback model."""
+    sim = scoring.similar_items(feedback_model(spark, d).item_factors, config.SIMILAR_N)
+    det = catalogue.movie_detail(movies_catalogue(spark, d), sim)
     return det.select("item_id", "title", F.col("rank").cast("int").alias("rank"),
                       "similar_id", "similar_title", r6("cosine").alias("cosine"))
 
@@ -309,39 +367,45 @@ def q_movie_detail(spark, d):
 def q_rating_upsert(spark, d):
     snap = merged(spark, d).select("user_id", "item_id", "rating", "ts", "seq")
     _, touched = catalogue.rating_upsert(snap, td.rating_events(spark, d),
-                                         movies_catalogue(spark, d, False))
+                                         movies_catalogue(spark, d))
     return touched.select("item_id", "title", r6("avg_rating").alias("avg_rating"),
                           "rating_count")
 
 
+def live_store(spark, d) -> str:
+    """A live store over the ratings store, with the whole events table streamed into it."""
+    def build():
+        root = live.open_store(merged(spark, d), scratch_path(spark, "live"))
+        raw = (spark.readStream.schema(td.table(spark, d, "events").schema)
+               .option("pathGlobFilter", "events.parquet").parquet(d))
+        live.run(td.event_columns(raw), root, scratch_path(spark, "live-checkpoint"))
+        return root
+    return _memo(spark, d, "live_store", build)
+
+
 def q_movie_stats_stream(spark, d):
-    """Runs the streaming job over the whole events table to its end."""
-    ensure_checkpoint_dir(spark)
-    raw = (spark.readStream.schema(td.table(spark, d, "events").schema)
-           .option("pathGlobFilter", "events.parquet").parquet(d))
-    out = scratch_path(spark, "stream", "out")
-    ck = scratch_path(spark, "stream", "ckpt")
-    item_stats.run_item_stats(td.event_columns(raw), out, ck)
-    s = item_stats.latest_snapshot(spark, out)
+    """Item statistics over the stored ratings and all streamed events."""
+    s = live.live_stats(spark, live_store(spark, d))
     return s.select("item_id", r6("avg_rating").alias("avg_rating"), "rating_count")
 
 
 def q_ratings_snapshot_stream(spark, d):
-    """Rating events streamed into an append-only log, applied to the ratings store."""
-    ensure_checkpoint_dir(spark)
-    raw = (spark.readStream.schema(td.table(spark, d, "events").schema)
-           .option("pathGlobFilter", "events.parquet").parquet(d))
-    log = scratch_path(spark, "stream", "log")
-    item_stats.run_rating_log(td.event_columns(raw), log,
-                              scratch_path(spark, "stream", "logckpt"))
-    cur = item_stats.current_ratings(spark, merged(spark, d), log)
+    """The current rating of every pair after all streamed events."""
+    cur = live.live_ratings(spark, live_store(spark, d))
     return cur.select("user_id", "item_id", "rating", "seq")
 
 
+def q_popular_stream(spark, d):
+    """The popularity list after all streamed events."""
+    p = live.live_popular(spark, live_store(spark, d), td.movies(spark, d))
+    return p.select(F.col("rank").cast("int").alias("rank"), "item_id", "title",
+                    r6("avg_rating").alias("avg_rating"), "rating_count")
+
+
 def q_retrain_eval(spark, d):
     """Retraining from the feedback store only, evaluated on its holdout."""
     fb = merge.merge_ratings(None, td.feedback_ratings(spark, d), feedback_only=True)
-    _, ho = split.train_holdout(fb)
+    _, ho = split.train_holdout(fb, method=SPLIT)
     s = evaluate.eval_summary(ho, feedback_model(spark, d))
     return s.select("n_eval", "n_skipped", r6("rmse").alias("rmse"), r6("mae").alias("mae"))
 
@@ -355,6 +419,25 @@ def q_promote_decision(spark, d):
                     r6("old_mae").alias("old_mae"), r6("new_mae").alias("new_mae"), "promote")
 
 
+def q_retrain(spark, d):
+    """Two retrainings into one folder: both sources, then feedback only.
+
+    The second is promoted only if it is no worse on its own holdout; the last column
+    says which version the pointer names afterwards.
+    """
+    out = scratch_path(spark, "versions")
+    base, fb = td.base_ratings(spark, d), td.feedback_ratings(spark, d)
+    a = retrain(base, fb, out, version="all", method=SPLIT)
+    b = retrain(base, fb, out, feedback_only=True, version="feedback", method=SPLIT)
+    rows = a.unionByName(b)
+    saved = load_model(spark, f"{out}/all")
+    meta = [F.lit(saved.n_train).alias("saved_n_train"),
+            F.lit(read_current_pointer(spark, out)).alias("current")]
+    return rows.select("version", "n_train", "n_eval", "n_skipped",
+                       r6("new_rmse").alias("new_rmse"), r6("new_mae").alias("new_mae"),
+                       "promote", *meta)
+
+
 def q_retrain_due(spark, d):
     """Ratings newer than the base snapshot (the last base rating) vs. 1000."""
     base_end = td.base_ratings(spark, d).select(F.max("ts")).scalar()
@@ -385,18 +468,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "prediction_errors": q_prediction_errors,
     "recommend_personalized": q_recommend_personalized,
     "similar_items": q_similar_items,
+    "similar_vectors": q_similar_vectors,
     "recommend_cold_start": q_recommend_cold_start,
     "recommend_routed": q_recommend_routed,
     "movie_stats": q_movie_stats,
     "catalogue": q_catalogue,
     "user_dim": q_user_dim,
     "catalogue_page": q_catalogue_page,
+    "catalogue_after": q_catalogue_after,
+    "movie_lookup": q_movie_lookup,
+    "my_ratings_user": q_my_ratings_user,
     "catalogue_card": q_catalogue_card,
     "my_ratings": q_my_ratings,
     "movie_detail": q_movie_detail,
     "rating_upsert": q_rating_upsert,
     "movie_stats_stream": q_movie_stats_stream,
     "ratings_snapshot_stream": q_ratings_snapshot_stream,
+    "popular_stream": q_popular_stream,
+    "retrain": q_retrain,
     "retrain_eval": q_retrain_eval,
     "promote_decision": q_promote_decision,
     "retrain_due": q_retrain_due,

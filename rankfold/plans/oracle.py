@@ -1,15 +1,24 @@
 """DuckDB twins of the named queries (same columns, same rounding).
 
 The SQL is assembled from shared common table expressions: the rating
-stand-in, validation, keep-last merge, split, biases and the rank-2
-alternating least-squares chain (2x2 systems solved by Cramer's rule).
+stand-in, validation, keep-last merge, split, biases and the alternating
+least-squares chain at the reference's constants.  A half step sums the normal
+equations of every entity, eliminates them column by column (they are
+symmetric and positive definite, so no pivoting is needed) and substitutes
+back, each a projection over plain columns.
 """
 
 from __future__ import annotations
 
-REG = 0.1
+import re
+from functools import lru_cache
+
+from rankfold import config
+
+REG = config.REG
 SHRINK = 10
-ITERS = 3
+RANK = config.RANK
+ITERS = config.ITERATIONS
 
 _VALID = ("user_id IS NOT NULL AND item_id IS NOT NULL AND rating IS NOT NULL "
           "AND NOT isnan(rating) AND rating >= 0.5 AND rating <= 5.0")
@@ -35,6 +44,12 @@ BASE = {
         CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id,
         CAST(ceil(value / 20) AS DOUBLE) / 2 AS rating, ts FROM events""",
     "evalid": f"SELECT * FROM ev WHERE {_VALID}",
+    "live": """SELECT user_id, item_id, rating, seq FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id, item_id
+          ORDER BY ts DESC, seq DESC, rating DESC) AS rn FROM (
+          SELECT user_id, item_id, rating, ts, seq FROM merged
+          UNION ALL SELECT user_id, item_id, rating, ts, event_id FROM evalid))
+      WHERE rn = 1""",
     "movies": """SELECT p_partkey AS item_id, p_name AS title,
         concat_ws('|', p_type, p_brand) AS genres FROM part""",
     "mstats": """SELECT item_id, avg(rating) AS avg_rating, count(*) AS rating_count
@@ -43,18 +58,43 @@ BASE = {
         coalesce(s.avg_rating, 0.0) AS avg_rating,
         CAST(coalesce(s.rating_count, 0) AS BIGINT) AS rating_count
       FROM movies m LEFT JOIN mstats s USING (item_id)""",
-    "vec": """SELECT e.vec_id AS item_id, t.pos, CAST(e.embedding[t.pos] AS DOUBLE) AS v
-      FROM embeddings e, unnest(generate_series(1, len(e.embedding))) AS t(pos)""",
-    "vnorm": "SELECT item_id, sqrt(sum(v * v)) AS nrm FROM vec GROUP BY item_id",
-    "sim": """SELECT item_id, similar_id, cosine, CAST(row_number() OVER (
+    "vec": """SELECT vec_id AS item_id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings""",
+}
+
+
+def _similar(vectors: str) -> str:
+    return f"""SELECT item_id, similar_id, cosine, CAST(row_number() OVER (
           PARTITION BY item_id ORDER BY cosine DESC, similar_id) AS INTEGER) AS rank
       FROM (SELECT a.item_id, b.item_id AS similar_id,
-              round(sum(a.v * b.v) / (na.nrm * nb.nrm + 1e-9), 9) AS cosine
-            FROM vec a JOIN vec b ON a.pos = b.pos AND a.item_id <> b.item_id
-            JOIN vnorm na ON na.item_id = a.item_id JOIN vnorm nb ON nb.item_id = b.item_id
-            GROUP BY a.item_id, b.item_id, na.nrm, nb.nrm)
-      QUALIFY rank <= 5""",
-}
+              round(list_dot_product(a.f, b.f) / (sqrt(list_dot_product(a.f, a.f))
+                * sqrt(list_dot_product(b.f, b.f)) + 1e-9), 9) AS cosine
+            FROM {vectors} a JOIN {vectors} b ON a.item_id <> b.item_id)
+      QUALIFY rank <= 5"""
+
+
+def _half_step(rows: str, side: str, other: str, fixed: str) -> str:
+    r = range(1, RANK + 1)
+    sums = [f"sum(x.f[{i}] * x.f[{j}])" + (f" + {REG} * count(*)" if i == j else "")
+            + f" AS a{i}_{j}" for i in r for j in r if i <= j]
+    sums += [f"sum(x.f[{i}] * r.y) AS c{i}" for i in r]
+    q = (f"SELECT r.{side}, count(*) AS n, {', '.join(sums)} FROM {rows} r "
+         f"JOIN {fixed} x USING ({other}) GROUP BY r.{side}")
+    for k in r[:-1]:
+        cols = [f"a{i}_{j}" for i in r for j in r if i <= min(j, k)]
+        cols += [f"c{i}" for i in r if i <= k]
+        cols += [f"a{i}_{j} - a{k}_{i} * a{k}_{j} / a{k}_{k} AS a{i}_{j}"
+                 for i in r for j in r if k < i <= j]
+        cols += [f"c{i} - a{k}_{i} * c{k} / a{k}_{k} AS c{i}" for i in r if i > k]
+        q = f"SELECT {side}, n, {', '.join(cols)} FROM ({q})"
+    for k in reversed(r):
+        known = "".join(f" - a{k}_{j} * x{j}" for j in r if j > k)
+        q = f"SELECT *, (c{k}{known}) / a{k}_{k} AS x{k} FROM ({q})"
+    return f"SELECT {side}, n, [{', '.join(f'x{k}' for k in r)}] AS f FROM ({q})"
+
+
+def _start() -> str:
+    return ", ".join(f"{'cos' if k % 2 else 'sin'}(CAST(item_id AS DOUBLE) * {(17 + 6 * k) / 10}"
+                     f" + {(3 + 6 * k) / 10}) * 0.1" for k in range(RANK))
 
 
 def _model_ctes(prefix: str, ratings: str, iters: int = ITERS) -> dict:
@@ -74,64 +114,62 @@ def _model_ctes(prefix: str, ratings: str, iters: int = ITERS) -> dict:
         f"{p}res": f"""SELECT t.user_id, t.item_id, t.rating, u.b_u, i.b_i,
               t.rating - (SELECT mu FROM {p}mu) - u.b_u - i.b_i AS y
             FROM {p}train t JOIN {p}ub u USING (user_id) JOIN {p}ib i USING (item_id)""",
-        f"{p}q0": f"""SELECT item_id, sin(CAST(item_id AS DOUBLE) * 1.7 + 0.3) * 0.1 AS f1,
-              cos(CAST(item_id AS DOUBLE) * 2.3 + 0.9) * 0.1 AS f2 FROM {p}ib""",
+        f"{p}q0": f"SELECT item_id, [{_start()}] AS f FROM {p}ib",
     }
     prev_q = f"{p}q0"
     for it in range(1, iters + 1):
         for side, other, fixed in (("user_id", "item_id", prev_q),
                                    ("item_id", "user_id", f"{p}p{it}")):
             name = f"{p}{'p' if side == 'user_id' else 'q'}{it}"
-            c[name + "ne"] = f"""SELECT r.{side}, count(*) AS n,
-                  sum(x.f1 * x.f1) AS a11, sum(x.f1 * x.f2) AS a12, sum(x.f2 * x.f2) AS a22,
-                  sum(x.f1 * r.y) AS c1, sum(x.f2 * r.y) AS c2
-                FROM {p}res r JOIN {fixed} x USING ({other}) GROUP BY r.{side}"""
-            c[name] = f"""SELECT {side}, n,
-                  (c1 * (a22 + {REG} * n) - a12 * c2) / ((a11 + {REG} * n) * (a22 + {REG} * n) - a12 * a12) AS f1,
-                  ((a11 + {REG} * n) * c2 - a12 * c1) / ((a11 + {REG} * n) * (a22 + {REG} * n) - a12 * a12) AS f2
-                FROM {name}ne"""
+            c[name] = _half_step(f"{p}res", side, other, fixed)
+            _KNOWN[name] = [f"{p}res", fixed]
         prev_q = f"{p}q{it}"
-    c[f"{p}ufac"] = f"""SELECT u.user_id, u.b_u AS bias, u.n, p.f1, p.f2 FROM {p}ub u
+    c[f"{p}ufac"] = f"""SELECT u.user_id, u.b_u AS bias, u.n, p.f FROM {p}ub u
         JOIN {p}p{iters} p USING (user_id)"""
-    c[f"{p}ifac"] = f"""SELECT i.item_id, i.b_i AS bias, i.n, q.f1, q.f2 FROM {p}ib i
+    c[f"{p}ifac"] = f"""SELECT i.item_id, i.b_i AS bias, i.n, q.f FROM {p}ib i
         JOIN {p}q{iters} q USING (item_id)"""
     c[f"{p}evalsum"] = f"""SELECT count(e) AS n_eval, count(*) - count(e) AS n_skipped,
           sqrt(avg(e * e)) AS rmse, avg(abs(e)) AS mae FROM (
           SELECT CASE WHEN u.user_id IS NOT NULL AND i.item_id IS NOT NULL THEN
             h.rating - greatest(0.5, least(5.0, 0.0 + (SELECT mu FROM {p}mu) + u.bias + i.bias
-              + (u.f1 * i.f1 + u.f2 * i.f2))) END AS e
+              + (list_dot_product(u.f, i.f)))) END AS e
           FROM {p}hold h LEFT JOIN {p}ufac u USING (user_id) LEFT JOIN {p}ifac i USING (item_id))"""
     return c
 
 
+_KNOWN: dict[str, list[str]] = {}
 MODEL = _model_ctes("", "merged")
 FBMODEL = _model_ctes("fb_", "fbmerged")
 
-_ALL = {**BASE, **MODEL, **FBMODEL}
+_ALL = {**BASE, **MODEL, **FBMODEL, "vecsim": _similar("vec"), "sim": _similar("ifac"),
+        "fb_sim": _similar("fb_ifac")}
+
+
+def _names(text: str) -> list[str]:
+    words = set(re.findall(r"\w+", text))
+    return [n for n in _ALL if n in words]
+
+
+@lru_cache(None)
+def _needs(name: str) -> tuple[str, ...]:
+    return tuple(_KNOWN.get(name) or [n for n in _names(_ALL[name]) if n != name])
 
 
 def _deps(name: str, seen: list) -> None:
-    import re
-    if name in seen:
-        return
-    body = _ALL[name]
-    for other in _ALL:
-        if other != name and re.search(rf"\b{re.escape(other)}\b", body):
+    if name not in seen:
+        for other in _needs(name):
             _deps(other, seen)
-    seen.append(name)
+        seen.append(name)
 
 
 def sql(final: str, *ctes: str) -> str:
     order: list = []
-    import re
-    for name in _ALL:
-        if re.search(rf"\b{re.escape(name)}\b", final):
-            _deps(name, order)
-    for name in ctes:
+    for name in [*_names(final), *ctes]:
         _deps(name, order)
     if not order:
         return final
-    return "WITH " + ",\n".join(f"{n} AS ({_ALL[n]})" for n in order) + "\n" + final
+    kind = {n: " AS MATERIALIZED " for n in order if n in _KNOWN or n.endswith(("res", "fac"))}
+    return "WITH " + ",\n".join(f"{n}{kind.get(n, ' AS ')}({_ALL[n]})" for n in order) + "\n" + final
 
 
 def _hist() -> str:
@@ -139,18 +177,25 @@ def _hist() -> str:
     for it in range(1, ITERS + 1):
         parts.append(f"""SELECT CAST({it} AS INTEGER) AS iteration,
             round(sqrt(avg(pow(r.rating - greatest(0.5, least(5.0,
-              (SELECT mu FROM mu) + r.b_u + r.b_i + (p.f1 * q.f1 + p.f2 * q.f2))), 2))), 6)
+              (SELECT mu FROM mu) + r.b_u + r.b_i + (list_dot_product(p.f, q.f)))), 2))), 6)
               AS train_rmse,
-            round(sum(pow(r.y - (p.f1 * q.f1 + p.f2 * q.f2), 2)
-              + {REG} * ((p.f1 * p.f1 + p.f2 * p.f2) + (q.f1 * q.f1 + q.f2 * q.f2))), 4)
+            round(sum(pow(r.y - (list_dot_product(p.f, q.f)), 2)
+              + {REG} * (list_dot_product(p.f, p.f) + list_dot_product(q.f, q.f))), 4)
               AS objective
           FROM res r JOIN p{it} p USING (user_id) JOIN q{it} q USING (item_id)""")
     return "\nUNION ALL\n".join(parts)
 
 
-_SCORE = """((u.f1 * i.f1 + u.f2 * i.f2) + i.bias) + ((SELECT mu FROM mu) + u.bias)"""
+def _factors(alias: str = "f") -> str:
+    return (f"round({alias}[1], 6) AS f1, round({alias}[2], 6) AS f2, "
+            f"round(list_sum({alias}), 6) AS f_sum")
+
 
-ORACLE_SQL = {
+_SCORE = """((list_dot_product(u.f, i.f)) + i.bias) + ((SELECT mu FROM mu) + u.bias)"""
+
+@lru_cache(None)
+def oracle_sql() -> dict[str, str]:
+    return {
     "ratings_valid": sql(f"SELECT user_id, item_id, rating, seq FROM raw WHERE {_VALID}"),
     "rating_rejects": sql("""SELECT event_id, user_id, item_id, rating,
         CASE WHEN user_id IS NULL THEN 'null_user' WHEN item_id IS NULL THEN 'null_item'
@@ -179,28 +224,32 @@ ORACLE_SQL = {
     "user_bias": sql("SELECT user_id, round(b_u, 6) AS bias, n FROM ub"),
     "item_bias": sql("SELECT item_id, round(b_i, 6) AS bias, n FROM ib"),
     "residuals": sql("SELECT user_id, item_id, rating, round(y, 6) AS y FROM res"),
-    "normal_equations": sql("""SELECT user_id, n, round(a11, 6) AS xtx_11,
-        round(a12, 6) AS xtx_12, round(a22, 6) AS xtx_22, round(c1, 6) AS xty_1,
-        round(c2, 6) AS xty_2 FROM p1ne"""),
-    "als_user_half_step": sql(
-        "SELECT user_id, n, round(f1, 6) AS f1, round(f2, 6) AS f2 FROM p1"),
-    "als_item_half_step": sql(
-        "SELECT item_id, n, round(f1, 6) AS f1, round(f2, 6) AS f2 FROM q1"),
+    "normal_equations": sql("SELECT user_id, count(*) AS n, " + ", ".join(
+        f"round(sum(x.f[{i}] * x.f[{j}]), 6) AS xtx_{i}{j}" for i, j in ((1, 1), (1, 2), (2, 2)))
+        + ", round(" + " + ".join(f"sum(x.f[{i}] * x.f[{j}])" for i in range(1, RANK + 1)
+                                  for j in range(i, RANK + 1)) + ", 6) AS xtx_sum"
+        + ", round(sum(x.f[1] * r.y), 6) AS xty_1, round(sum(list_sum(x.f) * r.y), 6) AS xty_sum"
+        + " FROM res r JOIN q0 x USING (item_id) GROUP BY user_id"),
+    "als_user_half_step": sql(f"SELECT user_id, n, {_factors()} FROM p1"),
+    "als_item_half_step": sql(f"SELECT item_id, n, {_factors()} FROM q1"),
+    "als_fit": sql(f"""SELECT item_id, round(b_i, 6) AS bias, n, CAST({RANK} AS INTEGER) AS rank,
+        true AS solved FROM ib"""),
     "als_training_history": sql(_hist(), *[f"{s}{i}" for i in range(1, ITERS + 1)
                                            for s in ("p", "q")]),
-    "model_reload": sql("""SELECT item_id, round(bias, 6) AS bias, n, round(f1, 6) AS f1,
-        round(f2, 6) AS f2 FROM ifac"""),
+    "model_reload": sql(f"""SELECT item_id, round(bias, 6) AS bias, n, {_factors()}
+        FROM ifac"""),
     "predict_pairs": sql("""SELECT h.user_id, h.item_id, round(raw, 6) AS raw,
         round(greatest(0.5, least(5.0, raw)), 6) AS predicted FROM (
-          SELECT h.user_id, h.item_id, (SELECT mu FROM mu) + coalesce(u.bias, 0.0)
-            + coalesce(i.bias, 0.0) + coalesce(u.f1 * i.f1 + u.f2 * i.f2, 0.0) AS raw
-          FROM hold h LEFT JOIN ufac u USING (user_id) LEFT JOIN ifac i USING (item_id)) h"""),
+          SELECT h.user_id, h.item_id, (SELECT mu FROM fb_mu) + coalesce(u.bias, 0.0)
+            + coalesce(i.bias, 0.0) + coalesce(list_dot_product(u.f, i.f), 0.0) AS raw
+          FROM hold h LEFT JOIN fb_ufac u USING (user_id)
+            LEFT JOIN fb_ifac i USING (item_id)) h"""),
     "eval_summary": sql("""SELECT n_eval, n_skipped, round(rmse, 6) AS rmse,
         round(mae, 6) AS mae FROM evalsum"""),
     "prediction_errors": sql("""SELECT user_id, item_id, actual, round(pred, 4) AS predicted,
         round(abs(actual - pred), 4) AS error FROM (
           SELECT h.user_id, h.item_id, h.rating AS actual, greatest(0.5, least(5.0,
-            0.0 + (SELECT mu FROM mu) + u.bias + i.bias + (u.f1 * i.f1 + u.f2 * i.f2))) AS pred
+            0.0 + (SELECT mu FROM mu) + u.bias + i.bias + (list_dot_product(u.f, i.f)))) AS pred
           FROM hold h JOIN ufac u USING (user_id) JOIN ifac i USING (item_id))"""),
     "recommend_personalized": sql(f"""SELECT user_id, rank, item_id, round(score, 6) AS score,
         round(greatest(0.5, least(5.0, score)), 6) AS predicted FROM (
@@ -214,8 +263,8 @@ ORACLE_SQL = {
     "recommend_routed": sql(f"""SELECT user_id, 'personalized' AS source, rank, item_id, title
         FROM (SELECT user_id, item_id, CAST(row_number() OVER (PARTITION BY user_id
             ORDER BY score DESC, item_id) AS INTEGER) AS rank FROM (
-            SELECT u.user_id, i.item_id, round({_SCORE}, 9) AS score
-            FROM ufac u JOIN ifac i ON TRUE
+            SELECT u.user_id, i.item_id, round({_SCORE.replace('FROM mu', 'FROM fb_mu')}, 9) AS score
+            FROM fb_ufac u JOIN fb_ifac i ON TRUE
             WHERE u.user_id IN (SELECT user_id FROM merged UNION SELECT c_custkey FROM customer)
               AND NOT EXISTS (SELECT 1 FROM merged s WHERE s.user_id = u.user_id
                                 AND s.item_id = i.item_id)))
@@ -226,9 +275,11 @@ ORACLE_SQL = {
         JOIN (SELECT CAST(row_number() OVER (ORDER BY avg_rating DESC, rating_count DESC,
                 item_id) AS INTEGER) AS rank, item_id, title FROM cat
               ORDER BY avg_rating DESC, rating_count DESC, item_id LIMIT 10) p ON TRUE
-        WHERE a.user_id NOT IN (SELECT user_id FROM ufac)"""),
+        WHERE a.user_id NOT IN (SELECT user_id FROM fb_ufac)"""),
     "similar_items": sql("""SELECT item_id, rank, similar_id, round(cosine, 6) AS cosine
         FROM sim"""),
+    "similar_vectors": sql("""SELECT item_id, rank, similar_id, round(cosine, 6) AS cosine
+        FROM vecsim"""),
     "recommend_cold_start": sql("""SELECT CAST(row_number() OVER (ORDER BY avg_rating DESC,
           rating_count DESC, item_id) AS INTEGER) AS rank, item_id, title,
           round(avg_rating, 6) AS avg_rating, rating_count
@@ -238,11 +289,11 @@ ORACLE_SQL = {
     "catalogue": sql("""SELECT c.item_id, c.title, array_to_string(c.genres, ', ') AS genres_text,
         CAST(len(c.genres) AS INTEGER) AS n_genres, round(c.avg_rating, 6) AS avg_rating,
         c.rating_count, (i.item_id IS NOT NULL) AS has_model
-        FROM cat c LEFT JOIN ifac i USING (item_id)"""),
+        FROM cat c LEFT JOIN fb_ib i USING (item_id)"""),
     "user_dim": sql("""SELECT a.user_id, 'user_' || CAST(a.user_id AS VARCHAR) AS username,
         (u.user_id IS NOT NULL) AS has_model, false AS is_new FROM (
           SELECT user_id FROM merged UNION SELECT c_custkey FROM customer
-          UNION SELECT user_id FROM ufac) a LEFT JOIN ufac u USING (user_id)"""),
+          UNION SELECT user_id FROM fb_ub) a LEFT JOIN fb_ub u USING (user_id)"""),
     "catalogue_page": sql("""SELECT item_id, title, round(avg_rating, 6) AS avg_rating,
         rating_count FROM cat ORDER BY item_id LIMIT 20 OFFSET 40"""),
     "catalogue_card": sql("""SELECT item_id, title,
@@ -254,28 +305,41 @@ ORACLE_SQL = {
         FROM merged r JOIN cat c USING (item_id)"""),
     "movie_detail": sql("""SELECT c.item_id, c.title, s.rank, s.similar_id,
         c2.title AS similar_title, round(s.cosine, 6) AS cosine
-        FROM cat c JOIN sim s USING (item_id) JOIN cat c2 ON c2.item_id = s.similar_id"""),
-    "rating_upsert": sql("""SELECT * FROM (WITH u AS (
-          SELECT user_id, item_id, rating, ts, seq, 0 AS priority FROM merged
-          UNION ALL SELECT user_id, item_id, rating, ts, event_id, 2 FROM evalid),
-        snap AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, item_id
-          ORDER BY priority DESC, ts DESC, seq DESC, rating DESC) AS rn FROM u) WHERE rn = 1)
-        SELECT m.item_id, m.title, round(avg(s.rating), 6) AS avg_rating,
+        FROM cat c LEFT JOIN (fb_sim s JOIN cat c2 ON c2.item_id = s.similar_id)
+          ON s.item_id = c.item_id"""),
+    "catalogue_after": sql("""SELECT item_id, title, round(avg_rating, 6) AS avg_rating,
+        rating_count FROM cat WHERE item_id > 59 ORDER BY item_id LIMIT 20"""),
+    "movie_lookup": sql("""SELECT item_id, title, round(avg_rating, 6) AS avg_rating,
+        rating_count FROM cat WHERE item_id = 42"""),
+    "my_ratings_user": sql("""SELECT r.user_id, r.item_id, c.title, r.rating AS user_rating,
+        round(c.avg_rating, 6) AS avg_rating, c.rating_count
+        FROM merged r JOIN cat c USING (item_id) WHERE r.user_id = 7"""),
+    "rating_upsert": sql("""SELECT m.item_id, m.title, round(avg(s.rating), 6) AS avg_rating,
           count(*) AS rating_count
-        FROM snap s JOIN movies m USING (item_id)
+        FROM live s JOIN movies m USING (item_id)
         WHERE s.item_id IN (SELECT item_id FROM evalid)
-        GROUP BY m.item_id, m.title)"""),
-    "ratings_snapshot_stream": sql("""SELECT user_id, item_id, rating, seq FROM (
-        SELECT *, row_number() OVER (PARTITION BY user_id, item_id
-          ORDER BY priority DESC, ts DESC, seq DESC, rating DESC) AS rn FROM (
-          SELECT user_id, item_id, rating, ts, seq, 0 AS priority FROM merged
-          UNION ALL SELECT user_id, item_id, rating, ts, event_id, 2 FROM evalid))
-        WHERE rn = 1"""),
+        GROUP BY m.item_id, m.title"""),
+    "ratings_snapshot_stream": sql("SELECT user_id, item_id, rating, seq FROM live"),
     "movie_stats_stream": sql("""SELECT item_id, round(avg(rating), 6) AS avg_rating,
-        count(*) AS rating_count FROM (
-          SELECT *, row_number() OVER (PARTITION BY user_id, item_id
-            ORDER BY ts DESC, event_id DESC, rating DESC) AS rn FROM evalid) WHERE rn = 1
-        GROUP BY item_id"""),
+        count(*) AS rating_count FROM live GROUP BY item_id"""),
+    "popular_stream": sql("""SELECT CAST(row_number() OVER (ORDER BY a DESC, rating_count DESC,
+          item_id) AS INTEGER) AS rank, item_id, title, round(a, 6) AS avg_rating, rating_count
+        FROM (SELECT item_id, avg(rating) AS a, count(*) AS rating_count FROM live
+              GROUP BY item_id) JOIN movies USING (item_id)
+        ORDER BY a DESC, rating_count DESC, item_id LIMIT 10"""),
+    "retrain": sql("""SELECT v.version, v.n_train, v.n_eval, v.n_skipped,
+        round(v.rmse, 6) AS new_rmse, round(v.mae, 6) AS new_mae,
+        v.version = 'all' OR p.promote AS promote, (SELECT n_train FROM mu) AS saved_n_train,
+        CASE WHEN p.promote THEN 'feedback' ELSE 'all' END AS current
+        FROM (SELECT 'all' AS version, (SELECT n_train FROM mu) AS n_train, * FROM evalsum
+              UNION ALL SELECT 'feedback', (SELECT n_train FROM fb_mu), * FROM fb_evalsum) v,
+          (SELECT f.rmse <= o.rmse AND f.mae <= o.mae AS promote
+           FROM fb_evalsum f, (SELECT sqrt(avg(e * e)) AS rmse, avg(abs(e)) AS mae FROM (
+             SELECT CASE WHEN u.user_id IS NOT NULL AND i.item_id IS NOT NULL THEN
+               h.rating - greatest(0.5, least(5.0, 0.0 + (SELECT mu FROM mu) + u.bias + i.bias
+                 + (list_dot_product(u.f, i.f)))) END AS e
+             FROM fb_hold h LEFT JOIN ufac u USING (user_id)
+               LEFT JOIN ifac i USING (item_id))) o) p"""),
     "retrain_eval": sql("""SELECT n_eval, n_skipped, round(rmse, 6) AS rmse,
         round(mae, 6) AS mae FROM fb_evalsum"""),
     "promote_decision": sql("""SELECT round(o.rmse, 6) AS old_rmse, round(f.rmse, 6) AS new_rmse,
@@ -284,7 +348,7 @@ ORACLE_SQL = {
         FROM evalsum o, (SELECT count(e) AS n_eval, sqrt(avg(e * e)) AS rmse, avg(abs(e)) AS mae
           FROM (SELECT CASE WHEN u.user_id IS NOT NULL AND i.item_id IS NOT NULL THEN
             h.rating - greatest(0.5, least(5.0, 0.0 + (SELECT mu FROM fb_mu) + u.bias + i.bias
-              + (u.f1 * i.f1 + u.f2 * i.f2))) END AS e
+              + (list_dot_product(u.f, i.f)))) END AS e
             FROM hold h LEFT JOIN fb_ufac u USING (user_id) LEFT JOIN fb_ifac i USING (item_id))) f"""),
     "retrain_due": sql("""SELECT count(*) AS n_new, count(*) >= 1000 AS retrain FROM merged
         WHERE ts > (SELECT max(ts) FROM raw WHERE year(ts) < 2000)"""),

@@ -62,13 +62,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path below the shared checkpoint folder (for written tables)."""
-    root = ensure_checkpoint_dir(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    return os.path.join(root, *parts, uuid.uuid4().hex)
+    return "/".join([ensure_checkpoint_dir(spark), *parts, uuid.uuid4().hex])
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -82,7 +79,7 @@ def ship_package(spark: SparkSession) -> None:
     import rankfold
 
     sc = spark.sparkContext
-    key = id(sc._jsc)
+    key = sc.applicationId
     if key in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(rankfold.__file__))

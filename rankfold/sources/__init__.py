@@ -1,2 +1,2 @@
 from rankfold.sources.readers import (  # noqa: F401
-    read_movies, read_ratings, read_rating_events, read_rating_events_stream)
+    read_movies, read_ratings)

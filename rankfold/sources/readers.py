@@ -1,9 +1,8 @@
 """Readers for rating, catalogue and rating-event data.
 
-All readers return DataFrames in the library schemas (see ``schema.py``); the
-column mapping lets the same code read the reference's ``userId, movieId,
-rating, timestamp`` CSV files or any table of another naming.  Schemas are
-given explicitly (no inference pass over the data).
+All readers return DataFrames in the library's column names; the column mapping
+lets the same code read ``userId, movieId, rating, timestamp`` CSV files or any
+table of another naming.  No pass over the data infers types.
 """
 
 from __future__ import annotations
@@ -27,6 +26,9 @@ def read_ratings(spark: SparkSession, path: str, fmt: str = "csv",
                  ) -> DataFrame:
     """Scan a rating table and project it to ``user_id, item_id, rating, ts, seq``.
 
+    Columns are chosen by name.  Ids and ratings keep the type they are read as (text
+    in CSV): ``clean`` types them and reports what cannot be read.
+
     ``columns`` maps library names to source names; a missing ``ts`` source
     column yields null timestamps.  ``seq`` is taken from a ``seq`` source
     column when present, else null (arrival order unknown).
@@ -37,23 +39,22 @@ def read_ratings(spark: SparkSession, path: str, fmt: str = "csv",
     cols.update(columns or {})
     reader = spark.read.format(fmt)
     if fmt == "csv":
+        # no schema: columns are strings named by the header, in any order and number
         reader = reader.option("header", "true")
-        src_cols = [c for c in (cols["user_id"], cols["item_id"], cols["rating"],
-                                cols.get("ts")) if c]
-        reader = reader.schema(", ".join(f"`{c}` string" for c in src_cols))
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     df = reader.load(path)
     have = set(df.columns)
-    ts = (_ts_expr(F.col(cols["ts"]).cast("double") if fmt == "csv" and ts_kind ==
+    missing = {cols[c] for c in ("user_id", "item_id", "rating")} - have
+    if missing:
+        raise ValueError(f"{path} has no column {sorted(missing)}")
+    ts = (_ts_expr(F.col(cols["ts"]).try_cast("double") if fmt == "csv" and ts_kind ==
                    "epoch_seconds" else F.col(cols["ts"]), ts_kind)
           if cols.get("ts") in have else F.lit(None).cast("timestamp_ntz"))
-    seq = F.col("seq").cast("long") if "seq" in have else F.lit(None).cast("long")
+    seq = F.col("seq").try_cast("long") if "seq" in have else F.lit(None).cast("long")
     return df.select(
-        F.col(cols["user_id"]).cast("long").alias("user_id"),
-        F.col(cols["item_id"]).cast("long").alias("item_id"),
-        F.col(cols["rating"]).cast("double").alias("rating"),
-        ts.alias("ts"), seq.alias("seq"))
+        F.col(cols["user_id"]).alias("user_id"), F.col(cols["item_id"]).alias("item_id"),
+        F.col(cols["rating"]).alias("rating"), ts.alias("ts"), seq.alias("seq"))
 
 
 def read_movies(spark: SparkSession, path: str, fmt: str = "csv",
@@ -66,24 +67,6 @@ def read_movies(spark: SparkSession, path: str, fmt: str = "csv",
         reader = reader.option("header", "true").option("quote", '"').option(
             "escape", '"')
     df = reader.load(path)
-    return df.select(F.col(cols["item_id"]).cast("long").alias("item_id"),
+    return df.select(F.col(cols["item_id"]).try_cast("long").alias("item_id"),
                      F.col(cols["title"]).cast("string").alias("title"),
                      F.col(cols["genres"]).cast("string").alias("genres"))
-
-
-def read_rating_events(spark: SparkSession, path: str, fmt: str = "parquet"
-                       ) -> DataFrame:
-    """Batch scan of rating events (``event_id, user_id, item_id, rating, ts``)."""
-    return spark.read.format(fmt).load(path).select(
-        "event_id", "user_id", "item_id", "rating", "ts")
-
-
-def read_rating_events_stream(spark: SparkSession, path: str, schema,
-                              fmt: str = "parquet",
-                              max_files_per_trigger: int | None = None
-                              ) -> DataFrame:
-    """Streaming scan of a folder of rating-event files."""
-    r = spark.readStream.format(fmt).schema(schema)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.load(path)

@@ -83,10 +83,6 @@ def rating_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_columns(table(spark, sf_dir, "events"))
 
 
-def events_path(sf_dir: str) -> str:
-    return os.path.join(sf_dir, "events.parquet")
-
-
 def item_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
     return e.select(F.col("vec_id").alias("item_id"),

@@ -1,2 +1,2 @@
 from rankfold.streaming.item_stats import (  # noqa: F401
-    current_ratings, item_stats_stream, latest_snapshot, run_item_stats, run_rating_log)
+    apply_batch, compact, live_popular, live_ratings, live_stats, open_store, run)

@@ -1,90 +1,113 @@
-"""Item statistics kept current as ratings arrive or change.
-
-Two stateful steps in one Structured Streaming query:
-
-1. keyed by (user, item), ``applyInPandasWithState`` keeps the latest
-   ``(rating, ts, seq)`` of the pair and emits a *delta* for its item:
-   ``(+rating, +1)`` for a first rating, ``(new - old, 0)`` for a re-rating,
-   nothing for an event older than the stored one (late or replayed events
-   cannot overwrite a newer rating);
-2. a streaming ``groupBy(item_id)`` sums the deltas (partial aggregation
-   before the state store, so a very popular item is not a hot spot).
-
-State is one small row per pair and one per item; nothing per item grows
-with its number of raters.  The sink writes the complete statistics table
-of every micro-batch into ``<out>/batch_id=<n>`` (idempotent on replay).
+"""Ratings, item statistics and popularity kept current as rating events arrive.
+
+A live store is a folder of Parquet tables:
+
+    base/<version>/pairs   the latest rating of every (user, item) when it was written
+    base/<version>/stats   rating sum and count per item of these pairs
+    log/batch_id=N         the winning events of micro-batch N, one per pair
+    delta/batch_id=N       what they change in an item's rating sum and count
+    commits/batch_id=N     written last: a batch without it does not count
+    current                base version, and the last batch folded into it
+
+Each micro-batch is reduced to its latest event per pair by a hash aggregate
+(``max_by`` with partial aggregation, so a hot pair or item is combined before the
+shuffle), joined to the stored ratings of just these pairs, and turned into item
+deltas.  An event no later than the stored ``(ts, seq)`` changes nothing, which
+also makes a replayed batch harmless.  Everything runs in the JVM; there is no
+state besides the tables.  Events without a time are stamped here, once.
+``compact`` folds the log into a new base.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
+from rankfold import config
 from rankfold.operators.clean import valid_ratings
-from rankfold.session import ship_package
-
-DELTA_SCHEMA = "item_id long, d_sum double, d_count long"
-STATE_SCHEMA = "rating double, ts timestamp_ntz, seq long"
-
-
-_NAT = np.iinfo(np.int64).min
-
-
-def _pair_update(key, pdfs, state):
-    # latest event of this pair in the micro-batch by (ts, event_id, rating)
-    best = None
-    for pdf in pdfs:
-        if len(pdf) == 0:
-            continue
-        t = pdf["ts"].to_numpy(dtype="datetime64[us]").astype(np.int64)
-        e = pdf["event_id"].to_numpy(np.int64)
-        r = pdf["rating"].to_numpy(np.float64)
-        i = int(np.lexsort((r, e, t))[-1])
-        cand = (int(t[i]), int(e[i]), float(r[i]))
-        if best is None or cand > best:
-            best = cand
-    if best is None:
-        return
-    t_new, e_new, r_new = best
-    if state.exists:
-        old_rating, old_ts, old_seq = state.get
-        old_t = _NAT if old_ts is None else int(np.datetime64(old_ts, "us").astype(np.int64))
-        if (t_new, e_new) <= (old_t, int(old_seq)):
-            return  # late or replayed: a newer rating is already stored
-        d_sum, d_cnt = r_new - float(old_rating), 0
-    else:
-        d_sum, d_cnt = r_new, 1
-    ts_out = None if t_new == _NAT else np.datetime64(t_new, "us").astype(object)
-    state.update((r_new, ts_out, e_new))
-    yield pd.DataFrame({"item_id": [int(key[1])], "d_sum": [d_sum], "d_count": [d_cnt]})
-
-
-def item_stats_stream(events: DataFrame) -> DataFrame:
-    """Streaming ``(item_id, avg_rating, rating_count)`` from rating events
-    (``event_id, user_id, item_id, rating, ts``); invalid events are dropped."""
-    ship_package(events.sparkSession)
-    v = valid_ratings(events).select("event_id", "user_id", "item_id", "rating", "ts")
-    deltas = v.groupBy("user_id", "item_id").applyInPandasWithState(
-        _pair_update, DELTA_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
-    agg = deltas.groupBy("item_id").agg(F.sum("d_sum").alias("rating_sum"),
-                                        F.sum("d_count").alias("rating_count"))
-    return agg.select("item_id", (F.col("rating_sum") / F.col("rating_count")).alias(
-        "avg_rating"), "rating_count")
-
-
-def run_item_stats(events: DataFrame, out_path: str, checkpoint_location: str,
-                   available_now: bool = True, processing_time: str | None = None):
-    """Start the statistics query; with ``available_now`` it processes what is
-    there and stops (the call waits for it).  Returns the query handle."""
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-
-    w = (item_stats_stream(events).writeStream.outputMode("complete")
-         .foreachBatch(sink).option("checkpointLocation", checkpoint_location))
+from rankfold.operators.merge import keep_last, stamped
+from rankfold.operators.scoring import popular_items
+
+PAIR = "user_id long, item_id long, rating double, ts timestamp_ntz, seq long"
+BATCH = ", batch_id long"
+KEYS = ["user_id", "item_id"]
+
+
+def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table of the store; empty while nothing has been written to it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def open_store(ratings: DataFrame, root: str) -> str:
+    """Write a base from stored ratings (one row per pair) and return ``root``."""
+    spark = ratings.sparkSession
+    _write_base(spark, ratings.select("user_id", "item_id", "rating", "ts", "seq"), root, -1)
+    return root
+
+
+def _write_base(spark: SparkSession, pairs: DataFrame, root: str, folded: int) -> None:
+    version = uuid.uuid4().hex
+    pairs.write.parquet(f"{root}/base/{version}/pairs")
+    (spark.read.schema(PAIR).parquet(f"{root}/base/{version}/pairs").groupBy("item_id")
+     .agg(F.sum("rating").alias("rating_sum"), F.count(F.lit(1)).alias("rating_count"))
+     .write.parquet(f"{root}/base/{version}/stats"))
+    spark.createDataFrame([(version, folded)], "version string, folded long").coalesce(
+        1).write.mode("overwrite").parquet(f"{root}/current")
+
+
+def _current(spark: SparkSession, root: str) -> tuple[str, int]:
+    row = spark.read.parquet(f"{root}/current").first()
+    return row["version"], row["folded"]
+
+
+def _since(spark: SparkSession, root: str, table: str, schema: str, folded: int,
+           before: int | None = None) -> DataFrame:
+    """Rows of committed batches after the fold (and before a batch)."""
+    done = _read(spark, f"{root}/commits", "n long" + BATCH).select("batch_id")
+    t = _read(spark, f"{root}/{table}", schema + BATCH).filter(F.col("batch_id") > folded)
+    if before is not None:
+        t = t.filter(F.col("batch_id") < before)
+    return t.join(done, "batch_id", "left_semi").drop("batch_id")
+
+
+def apply_batch(events: DataFrame, batch_id: int, root: str) -> None:
+    """Apply one micro-batch of rating events to the store; may be repeated."""
+    spark = events.sparkSession
+    version, folded = _current(spark, root)
+    win = F.struct("ts", "seq", "rating")
+    ev = valid_ratings(stamped(events)).withColumnRenamed("event_id", "seq")
+    latest = (ev.groupBy(*KEYS).agg(F.max(win).alias("w"))
+              .select(*KEYS, "w.rating", "w.ts", "w.seq"))
+    path = f"{root}/log/batch_id={batch_id}"
+    latest.write.mode("overwrite").parquet(path)
+    latest = spark.read.schema(PAIR).parquet(path)
+    stored = spark.read.schema(PAIR).parquet(f"{root}/base/{version}/pairs").unionByName(
+        _since(spark, root, "log", PAIR, folded, batch_id))
+    old = (stored.join(latest.select(*KEYS), KEYS, "left_semi")
+           .groupBy(*KEYS).agg(F.max(win).alias("old")))
+    changed = latest.withColumn("new", win).join(old, KEYS, "left").filter(
+        F.col("old").isNull() | (F.struct("new.ts", "new.seq")
+                                 > F.struct("old.ts", "old.seq")))
+    (changed.groupBy("item_id").agg(
+        F.sum(F.col("new.rating") - F.coalesce("old.rating", F.lit(0.0))).alias("rating_sum"),
+        F.sum(F.col("old").isNull().cast("long")).alias("rating_count"))
+     .write.mode("overwrite").parquet(f"{root}/delta/batch_id={batch_id}"))
+    spark.createDataFrame([(1,)], "n long").coalesce(1).write.mode("overwrite").parquet(
+        f"{root}/commits/batch_id={batch_id}")
+
+
+def run(events: DataFrame, root: str, checkpoint_location: str, available_now: bool = True,
+        processing_time: str | None = None):
+    """Start the query that applies a stream of rating events (``event_id, user_id,
+    item_id, rating, ts``); with ``available_now`` it processes what is there and stops
+    (the call waits for it).  Returns the query handle."""
+    w = (events.writeStream.foreachBatch(lambda df, n: apply_batch(df, n, root))
+         .option("checkpointLocation", checkpoint_location))
     w = w.trigger(availableNow=True) if available_now else w.trigger(
         processingTime=processing_time or "10 seconds")
     q = w.start()
@@ -93,36 +116,36 @@ def run_item_stats(events: DataFrame, out_path: str, checkpoint_location: str,
     return q
 
 
-def run_rating_log(events: DataFrame, log_path: str, checkpoint_location: str,
-                   available_now: bool = True, processing_time: str | None = None):
-    """Append validated rating events to a Parquet log (file sink, exactly once).
+def live_stats(spark: SparkSession, root: str) -> DataFrame:
+    """``item_id, avg_rating, rating_count`` over stored ratings and committed events."""
+    version, folded = _current(spark, root)
+    kind = "item_id long, rating_sum double, rating_count long"
+    both = spark.read.schema(kind).parquet(f"{root}/base/{version}/stats").unionByName(
+        _since(spark, root, "delta", kind, folded))
+    s = both.groupBy("item_id").agg(F.sum("rating_sum").alias("s"),
+                                    F.sum("rating_count").alias("rating_count"))
+    return s.filter("rating_count > 0").select(
+        "item_id", (F.col("s") / F.col("rating_count")).alias("avg_rating"), "rating_count")
 
-    The ratings snapshot is not rewritten per micro-batch; ``current_ratings``
-    applies the log to a base snapshot on read (keep-last), and a periodic
-    batch job can fold the log into a new base.
-    """
-    ship_package(events.sparkSession)
-    v = valid_ratings(events).select("event_id", "user_id", "item_id", "rating", "ts")
-    w = (v.writeStream.format("parquet").outputMode("append")
-         .option("path", log_path).option("checkpointLocation", checkpoint_location))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(
-        processingTime=processing_time or "10 seconds")
-    q = w.start()
-    if available_now:
-        q.awaitTermination()
-    return q
+
+def live_ratings(spark: SparkSession, root: str) -> DataFrame:
+    """The current rating of every pair."""
+    version, folded = _current(spark, root)
+    rows = spark.read.schema(PAIR).parquet(f"{root}/base/{version}/pairs").unionByName(
+        _since(spark, root, "log", PAIR, folded))
+    return keep_last(rows, order=("ts", "seq", "rating"))
 
 
-def current_ratings(spark: SparkSession, snapshot: DataFrame, log_path: str) -> DataFrame:
-    """Base snapshot with every logged event applied (last write wins per pair)."""
-    from rankfold.operators.merge import upsert
-    log = spark.read.schema("event_id long, user_id long, item_id long, rating double, "
-                            "ts timestamp_ntz").parquet(log_path)
-    return upsert(snapshot.select("user_id", "item_id", "rating", "ts", "seq"), log)
+def live_popular(spark: SparkSession, root: str, movies: DataFrame,
+                 k: int = config.POPULAR_N, min_count: int = 0) -> DataFrame:
+    """The popularity list by live statistics."""
+    cat = movies.select("item_id", "title").join(live_stats(spark, root), "item_id")
+    return popular_items(cat, k, min_count)
 
 
-def latest_snapshot(spark: SparkSession, out_path: str) -> DataFrame:
-    """The statistics table written by the most recent micro-batch."""
-    df = spark.read.parquet(out_path)
-    last = df.select(F.max("batch_id")).scalar()
-    return df.filter(F.col("batch_id") == last).drop("batch_id")
+def compact(spark: SparkSession, root: str) -> None:
+    """Fold the committed batches into a new base; readers switch by its pointer."""
+    last = _read(spark, f"{root}/commits", "n long" + BATCH).agg(
+        F.max("batch_id")).first()[0]
+    if last is not None:
+        _write_base(spark, live_ratings(spark, root), root, last)

@@ -99,7 +99,33 @@ def test_fold_in_equals_user_half_step(spark):
     new = df.filter("user_id < 5").withColumn("user_id", F.col("user_id") + 1000)
     f = {r.user_id: r for r in als.fold_in(new, m).collect()}
     assert set(f) == {1000, 1001, 1002, 1003, 1004}
-    assert all(len(r.factors) == 2 for r in f.values())
+    q = m.item_factors.select("item_id", "factors")
+    b_i = {r.item_id: r.bias for r in m.item_factors.collect()}
+    rows = new.toPandas()
+    rows["y"] = [r.rating - m.mu - f[r.user_id].bias - b_i[r.item_id] for r in rows.itertuples()]
+    want = _numpy_half_step(rows, {r.item_id: np.array(r.factors) for r in q.collect()},
+                            "user_id", "item_id", m.reg)
+    for u, r in f.items():
+        np.testing.assert_allclose(r.factors, want[u], rtol=1e-9, atol=1e-12)
+
+
+def test_optimality_tells_solved_from_unsolved(spark):
+    df = _synthetic(spark, seed=4)
+    m = als.fit_exact(df, rank=2, iterations=2, history=False)
+    _, _, _, rows = _residual_rows(df)
+    ok = als.optimality(rows, m.user_factors, m.item_factors, "item", 2).collect()
+    assert max(r.max_error for r in ok) < 1e-9
+    off = m.item_factors.withColumn("factors", F.transform("factors", lambda x: x + 0.01))
+    bad = als.optimality(rows, m.user_factors, off, "item", 2).collect()
+    assert min(r.max_error for r in bad) > 1e-4
+
+
+def test_non_finite_input_is_an_error(spark):
+    df = _synthetic(spark, seed=4)
+    _, _, ib, rows = _residual_rows(df)
+    q0 = als.init_factors(ib.select("item_id"), "item_id", 2)
+    with pytest.raises(Exception, match="non-finite"):
+        als.half_step(rows.withColumn("y", F.lit(float("nan"))), q0, "user", 2, 0.1)
 
 
 def test_mllib_ids_beyond_int32_are_remapped(spark):

@@ -5,8 +5,10 @@ import os
 import pytest
 
 import __spark_entry__ as E
-from rankfold.model import load_model, save_model
+from conftest import RATING_SCHEMA, ts
+from rankfold.model import load_model, read_current_pointer, retrain, save_model
 from rankfold.operators import als, profile
+from rankfold.plans.oracle import oracle_sql
 from rankfold.session import scratch_path
 
 SF = "/root/testdata/sf0.001"
@@ -24,10 +26,30 @@ def test_entry_runs_on_smoke_data(spark):
     assert all(sorted(v) == list(range(1, len(v) + 1)) for v in per_user.values())
 
 
-def test_every_query_has_oracle_except_mllib():
-    q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q)
-    assert set(q) - set(o) == {"als_fit"}
+def test_every_core_query_has_an_oracle():
+    from rankfold.plans.catalog import QUERIES
+    assert set(QUERIES) == set(oracle_sql())
+    assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_retrain_writes_versions_and_moves_the_pointer(spark, tmp_path):
+    rows = [(u, i, float(1 + (u * i) % 9) / 2, ts(u, i), u * 100 + i)
+            for u in range(30) for i in range(20)]
+    base = spark.createDataFrame(rows[:400], RATING_SCHEMA)
+    fb = spark.createDataFrame(rows[380:], RATING_SCHEMA)
+    out = str(tmp_path)
+    a = retrain(base, fb, out, version="v1", rank=2, iterations=2).first()
+    assert a.promote and a.old_rmse is None and read_current_pointer(spark, out) == "v1"
+    m = load_model(spark, f"{out}/v1")
+    assert (m.n_train, m.rmse, m.mae) == (a.n_train, a.new_rmse, a.new_mae)
+    assert a.n_train + a.n_eval + a.n_skipped == 600
+    assert spark.read.parquet(f"{out}/v1/predictions").count() == a.n_eval
+    b = retrain(base, fb, out, version="v2", rank=2, iterations=1, max_rmse_increase=-9.0).first()
+    assert not b.promote and b.old_rmse == pytest.approx(a.new_rmse)
+    assert read_current_pointer(spark, out) == "v1"
+    c = retrain(None, fb, out, feedback_only=True, version="v3", rank=2, iterations=1,
+                max_rmse_increase=9.0).first()
+    assert c.promote and read_current_pointer(spark, out) == "v3"
 
 
 def test_model_round_trip_and_dense_index(spark):

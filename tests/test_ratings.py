@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import RATING_SCHEMA, ts
+from conftest import EVENT_SCHEMA, RATING_SCHEMA, ts
 from rankfold.operators import bias, clean, merge, split
 
 
@@ -72,3 +72,41 @@ def test_empty_ratings_raise(spark):
     empty = spark.createDataFrame([], "user_id long, item_id long, rating double")
     with pytest.raises(ValueError):
         bias.global_mean(empty)
+
+
+def test_split_takes_the_fraction_it_is_given(spark):
+    df = spark.range(0, 40000).select((F.col("id") * 10).alias("user_id"),
+                                      (F.col("id") % 50 * 10 + 2 ** 60).alias("item_id"))
+    for fraction in (0.05, 0.15, 0.25):
+        n = split.with_holdout_flag(df, fraction).filter("is_holdout").count()
+        assert abs(n / 40000 - fraction) < 0.01
+    split.with_holdout_flag(df, 0.1, "linear").count()  # large ids do not overflow
+    for bad, method in ((0.0, "xxhash"), (1.0, "xxhash"), (0.05, "linear"), (1e-9, "xxhash")):
+        with pytest.raises(ValueError):
+            split.with_holdout_flag(df, bad, method)
+
+
+def test_split_of_round_ids_is_random(spark):
+    df = spark.range(0, 2500).select((F.col("id") % 50).alias("user_id"),
+                                     (F.expr("id div 50") * 10).alias("item_id"))
+    per = split.with_holdout_flag(df).groupBy("user_id").agg(
+        F.sum(F.col("is_holdout").cast("int")).alias("n")).collect()
+    assert sum(r.n == 0 for r in per) < 10 and max(r.n for r in per) < 25
+
+
+def test_malformed_values_are_rejected_with_a_reason(spark):
+    df = spark.createDataFrame([("1", "2", "3.5"), ("x", "2", "3"), ("1", None, "3"),
+                                ("1", "y", "3"), ("1", "2", "good"), ("1", "2", None),
+                                ("1", "2", "9"), ("1", "2", "NaN"), ("1", "2", "0.1")],
+                               "user_id string, item_id string, rating string")
+    assert [tuple(r) for r in clean.valid_ratings(df).collect()] == [(1, 2, 3.5)]
+    got = sorted(r.reason for r in clean.rating_rejects(df).collect())
+    assert got == sorted(["malformed_user", "null_item", "malformed_item", "malformed_rating",
+                          "missing_rating", "above_range", "missing_rating", "below_range"])
+
+
+def test_late_event_does_not_replace_a_newer_row(spark):
+    snap = spark.createDataFrame([(1, 7, 4.0, ts(100), 1)], RATING_SCHEMA)
+    ev = spark.createDataFrame([(9, 1, 7, 1.0, ts(50)), (10, 2, 7, 2.0, ts(50))], EVENT_SCHEMA)
+    got = {(r.user_id, r.rating) for r in merge.upsert(snap, ev).collect()}
+    assert got == {(1, 4.0), (2, 2.0)}

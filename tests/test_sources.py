@@ -4,7 +4,9 @@ import datetime as dt
 import os
 import tempfile
 
-from rankfold.operators import catalogue, merge
+import pytest
+
+from rankfold.operators import catalogue, clean, merge
 from rankfold.sources import read_movies, read_ratings
 
 
@@ -18,9 +20,9 @@ def test_reference_csv_layout(spark):
                 '1029,"Dumbo (1941)",Animation|Children|Drama|Musical\n'
                 '40,"Cry, the Beloved Country (1995)",Drama\n')
     r = read_ratings(spark, os.path.join(d, "ratings.csv"))
-    assert r.schema.simpleString() == ("struct<user_id:bigint,item_id:bigint,rating:double,"
+    assert r.schema.simpleString() == ("struct<user_id:string,item_id:string,rating:string,"
                                        "ts:timestamp_ntz,seq:bigint>")
-    rows = sorted(r.collect(), key=lambda x: (x.user_id is None, x.user_id or 0, x.item_id))
+    rows = sorted(r.collect(), key=lambda x: (x.user_id is None, x.user_id or "", int(x.item_id)))
     assert rows[0].ts == dt.datetime(2009, 12, 14, 2, 52, 24)
     m = read_movies(spark, os.path.join(d, "movies.csv"))
     merged = merge.merge_ratings(r, None)  # null rating and null user dropped
@@ -29,3 +31,16 @@ def test_reference_csv_layout(spark):
     assert cat[40].title == "Cry, the Beloved Country (1995)"
     assert cat[40].rating_count == 0 and cat[40].avg_rating == 0.0
     assert cat[1029].genres == ["Animation", "Children", "Drama", "Musical"]
+
+
+def test_csv_columns_are_taken_by_name(spark, tmp_path):
+    p = tmp_path / "r.csv"
+    p.write_text("extra,movieId,userId,rating,timestamp,seq\nz,31,1,2.5,1260759144,4\n"
+                 "z,oops,2,3,1260759144,5\n")
+    r = read_ratings(spark, str(p))
+    assert [(x.user_id, x.item_id, x.rating, x.seq) for x in clean.valid_ratings(r).collect()] == [
+        (1, 31, 2.5, 4)]
+    assert [x.reason for x in clean.rating_rejects(r).collect()] == ["malformed_item"]
+    (tmp_path / "bad.csv").write_text("userId,rating\n1,2\n")
+    with pytest.raises(ValueError, match="movieId"):
+        read_ratings(spark, str(tmp_path / "bad.csv"))

@@ -1,4 +1,4 @@
-"""Streaming item statistics equal the batch statistics of the same events."""
+"""The live store equals a batch upsert of the same events."""
 
 import os
 import random
@@ -8,7 +8,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
-from conftest import EVENT_SCHEMA, ts
+from conftest import EVENT_SCHEMA, RATING_SCHEMA, ts
 from rankfold.operators import catalogue, merge
 from rankfold.session import scratch_path
 from rankfold.streaming import item_stats
@@ -21,16 +21,25 @@ def _write(folder, name, rows):
     pq.write_table(t, os.path.join(folder, name))
 
 
-def _run(spark, batches):
+def _store(spark, batches, base=None):
     src = tempfile.mkdtemp(prefix="rf-src-")
     for n, rows in enumerate(batches):
         _write(src, f"part-{n:03d}.parquet", rows)
     stream = (spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", "1")
               .parquet(src))
-    out = scratch_path(spark, "t", "out")
-    item_stats.run_item_stats(stream, out, scratch_path(spark, "t", "ck"))
+    root = item_stats.open_store(
+        spark.createDataFrame(base or [], RATING_SCHEMA), scratch_path(spark, "t"))
+    item_stats.run(stream, root, scratch_path(spark, "t", "ck"))
+    return root
+
+
+def _run(spark, batches, base=None):
+    return _stats(spark, _store(spark, batches, base))
+
+
+def _stats(spark, root):
     return {r.item_id: (round(r.avg_rating, 9), r.rating_count)
-            for r in item_stats.latest_snapshot(spark, out).collect()}
+            for r in item_stats.live_stats(spark, root).collect()}
 
 
 def test_rerating_changes_average_not_count(spark):
@@ -80,25 +89,48 @@ def test_batch_upsert_touched_items(spark):
     assert new.filter("item_id = 99").count() == 1  # kept although not in the catalogue
 
 
-def test_rating_log_stream_equals_batch_upsert(spark):
-    rnd = random.Random(7)
+def _mixed(seed):
+    rnd = random.Random(seed)
     events = [(e, rnd.randrange(5), rnd.randrange(4), rnd.choice([1.0, 3.0, 4.5, 9.0]),
                ts(1, rnd.randrange(40))) for e in range(40)]
-    src = tempfile.mkdtemp(prefix="rf-log-")
-    for n in range(4):
-        _write(src, f"part-{n}.parquet", events[n * 10:(n + 1) * 10])
-    base = spark.createDataFrame([(0, 0, 2.0, ts(0), 1), (9, 9, 3.0, ts(0), 2)],
-                                 "user_id long, item_id long, rating double, "
-                                 "ts timestamp_ntz, seq long")
-    stream = (spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", "1")
-              .parquet(src))
-    log = scratch_path(spark, "t", "log")
-    item_stats.run_rating_log(stream, log, scratch_path(spark, "t", "logck"))
-    got = sorted(tuple(r) for r in item_stats.current_ratings(spark, base, log)
-                 .select("user_id", "item_id", "rating").collect())
-    want = sorted(tuple(r) for r in merge.upsert(base, spark.createDataFrame(events, EVENT_SCHEMA))
-                  .select("user_id", "item_id", "rating").collect())
-    assert got == want
+    base = [(0, 0, 2.0, ts(0), 1), (9, 9, 3.0, ts(0), 2), (1, 1, 5.0, ts(9), 3)]
+    return events, base
+
+
+def test_live_ratings_equal_batch_upsert_before_and_after_compaction(spark):
+    events, base = _mixed(7)
+    root = _store(spark, [events[n * 10:(n + 1) * 10] for n in range(4)], base)
+    want = merge.upsert(spark.createDataFrame(base, RATING_SCHEMA),
+                        spark.createDataFrame(events, EVENT_SCHEMA))
+    pairs = sorted(tuple(r) for r in want.select("user_id", "item_id", "rating").collect())
+    stats = {r.item_id: (round(r.avg_rating, 9), r.rating_count)
+             for r in catalogue.movie_stats(want).collect()}
+    for _ in range(2):
+        got = item_stats.live_ratings(spark, root).select("user_id", "item_id", "rating")
+        assert sorted(tuple(r) for r in got.collect()) == pairs
+        assert _stats(spark, root) == stats
+        item_stats.compact(spark, root)
+
+
+def test_replayed_and_half_written_batches_do_not_count_twice(spark):
+    events, base = _mixed(8)
+    root = _store(spark, [events[:20], events[20:]], base)
+    before = _stats(spark, root)
+    batch = spark.createDataFrame(events[20:], EVENT_SCHEMA)
+    item_stats.apply_batch(batch, 1, root)  # the same batch again
+    assert _stats(spark, root) == before
+    batch.limit(0).selectExpr("item_id", "cast(1 as double) rating_sum",
+                              "cast(1 as long) rating_count").write.parquet(f"{root}/delta/batch_id=2")
+    spark.createDataFrame([(0, 99.0, 9)], "item_id long, rating_sum double, rating_count long"
+                          ).write.mode("overwrite").parquet(f"{root}/delta/batch_id=2")
+    assert _stats(spark, root) == before  # no commit, so the batch does not count
+
+
+def test_live_popularity(spark):
+    root = _store(spark, [[(1, 1, 7, 5.0, ts(5)), (2, 2, 8, 4.0, ts(5))]], [(3, 8, 5.0, ts(0), 1)])
+    movies = spark.createDataFrame([(7, "seven"), (8, "eight")], "item_id long, title string")
+    top = item_stats.live_popular(spark, root, movies, 2).orderBy("rank").collect()
+    assert [(r.item_id, r.avg_rating, r.rating_count) for r in top] == [(7, 5.0, 1), (8, 4.5, 2)]
 
 
 def test_event_without_time_is_stamped(spark):
