@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rankfold.llm import licences, minmax, mixing, pii, quality, rans, recompress, shards, spaced, suffix
 from rankfold.llm.text import documents
@@ -24,7 +25,8 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words each document gives to the weighted mix of all sources."""
     return mixing.allocate(documents(spark, sf_dir)).select(
-        "doc_id", "size", "source_size", "target", "taken", "source", "copies")
+        "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", "source",
+        "copies")
 
 
 def op4_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
