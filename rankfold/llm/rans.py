@@ -24,8 +24,11 @@ gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +42,12 @@ from rankfold.session import ship_package
 # Production parameters.
 END_ID = 1
 SCALE = 20
-LANES = 256
+LANES = 1024
 CHECKPOINT = 128
-BLOCK = 1 << 17
-CACHE_WORDS = 400_000
+BLOCK = 1 << 18
+CACHE_WORDS = 1_000_000
+# Fixed value: the word expression of the tokenizers that ``_Words`` knows.
+WORD_PATTERN = ("'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+")
 
 LOW = np.uint64(1 << 31)
 U = np.uint64
@@ -51,40 +56,97 @@ BLOCKS = ("part int, block long, first long, n long, payload binary, states bina
           "start:long,piece:int,pieces:int>>")
 PIECES = "part int, seq long, doc_id long, start long, n long, piece int, pieces int, crc long"
 
-_TOKENIZERS: dict[int, tuple] = {}
+_TOKENIZERS: dict[int, "_Words | _Texts"] = {}
 
 
 # ---------------------------------------------------------------- tokens
-def _tokenizer(definition: str):
-    """The tokenizer of a task's process, with a memo of words already encoded."""
-    key = hash(definition)
-    if key not in _TOKENIZERS:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        _TOKENIZERS[key] = Tokenizer.from_str(definition), {}
-    return _TOKENIZERS[key]
+class _Texts:
+    """Encodes whole texts, whatever the tokenizer."""
+
+    def __init__(self, tok, code: str):
+        self.tok, self.code = tok, code
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        got = self.tok.encode_batch([t.decode() for t in texts], add_special_tokens=False)
+        return [array(self.code, e.ids).tobytes() for e in got]
 
 
-def encode_texts(column: pa.Array, definition: str, dtype) -> list[bytes]:
-    """Ids of each text and the end id, as bytes of ``dtype``.
+class _Words(dict):
+    """Encodes word by word, each distinct word once.
 
-    The tokenizer drops white space and joins nothing across it, so a text's
-    ids are those of its space-separated words in turn; each distinct word is
-    encoded once and remembered.
+    For tokenizers that drop white space and join nothing across it, so that a text's ids
+    are those of its words in turn.  Words of ASCII and Latin-1 letters only, which the
+    normaliser just lower-cases, are cut by the tokenizer's own expression and given to
+    its model; others go through the whole tokenizer.
     """
-    tok, memo = _tokenizer(definition)
-    end = np.array([END_ID], dtype).tobytes()
+
+    PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+    LETTER = "a-z\u00df-\u00f6\u00f8-\u00ff"
+
+    def __init__(self, tok, code: str):
+        super().__init__()
+        self.tok, self.code = tok, code
+        self.piece = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{self.LETTER}]+|[0-9]|"
+                                f"[^{self.LETTER}0-9]+").findall
+        self.model, self.pieces = tok.model, {}
+        # the letters of the byte-level alphabet, as the tokenizer's own step writes them
+        from tokenizers.pre_tokenizers import ByteLevel
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bytes = {c: level.pre_tokenize_str(chr(c))[0][0]
+                      for c in [*range(33, 127), *range(0xC0, 0x100)]}
+
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.decode()
+        if b"<|" not in word and self.PLAIN.fullmatch(text):
+            parts = []
+            for p in self.piece(text.lower()):
+                ids = self.pieces.get(p)
+                if ids is None:
+                    ids = array(self.code, [t.id for t in self.model.tokenize(
+                        p if p.isascii() else p.translate(self.bytes))]).tobytes()
+                    self.pieces[p] = ids
+                parts.append(ids)
+            ids = b"".join(parts)
+        else:
+            ids = array(self.code, self.tok.encode(text, add_special_tokens=False).ids).tobytes()
+        self[word] = ids
+        return ids
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        if len(self) > CACHE_WORDS:
+            self.clear()
+        if len(self.pieces) > CACHE_WORDS // 5:
+            self.pieces.clear()
+        ids = self.__getitem__
+        return [b"".join(map(ids, t.split())) for t in texts]
+
+
+def _drops_space(definition: str) -> bool:
+    """Whether the tokenizer lower-cases, drops white space and splits as ``_Words`` does."""
+    d = json.loads(definition)
+    norm = [n["type"] for n in (d["normalizer"] or {}).get("normalizers", [])]
+    pre = (d["pre_tokenizer"] or {}).get("pretokenizers", [])
+    return (norm == ["NFC", "Replace", "Lowercase"] and [p["type"] for p in pre] == [
+        "Split", "ByteLevel"] and pre[0]["invert"] and pre[0]["behavior"] == "Removed"
+        and pre[0]["pattern"] == {"Regex": WORD_PATTERN} and not pre[1]["use_regex"]
+        and not pre[1]["add_prefix_space"] and not d["post_processor"])
+
+
+def encode_texts(column: pa.Array, definition: str, width: str) -> list[bytes]:
+    """Ids of each text and the end id, as bytes of ``width`` (a numpy type)."""
+    key = hash((definition, width))
+    if key not in _TOKENIZERS:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+        kind = _Words if _drops_space(definition) else _Texts
+        _TOKENIZERS[key] = kind(Tokenizer.from_str(definition), "H" if width == "<u2" else "I")
+    end = np.array([END_ID], width).tobytes()
     out = []
     for _, _, data, off in hashing.slices(column):
         raw = data.tobytes()
-        texts = [raw[a:b].split() for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
-        if len(memo) > CACHE_WORDS:
-            memo.clear()
-        new = list({w for t in texts for w in t if w not in memo})
-        for w, e in zip(new, tok.encode_batch([w.decode() for w in new],
-                                              add_special_tokens=False)):
-            memo[w] = np.array(e.ids, dtype).tobytes()
-        out.extend(b"".join([memo[w] for w in t]) + end for t in texts)
+        got = _TOKENIZERS[key].encode(
+            [raw[a:b] for a, b in zip(off[:-1].tolist(), off[1:].tolist())])
+        out.extend(ids + end for ids in got)
     return out
 
 
@@ -100,7 +162,7 @@ def token_table(docs: DataFrame, tokenizer_path: str) -> tuple[DataFrame, str]:
     def encode(batches):
         for b in batches:
             if b.num_rows:
-                ids = encode_texts(b.column(1), definition.value, np.dtype(width))
+                ids = encode_texts(b.column(1), definition.value, width)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
     tokens = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
@@ -329,7 +391,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     # one row per part
     offsets = blocks.groupBy("part").agg(F.sum("n").alias("_n")).select(
         F.col("part").alias("_part"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    pieces = read_pieces(spark, path)
+    pieces = written_table(read_pieces(spark, path), "pieces")
 
     def whole(frame):
         frame = frame.sort_values("piece")

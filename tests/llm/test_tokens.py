@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -35,6 +36,34 @@ def brute(tokenizer, docs):
     return out
 
 
+def test_words_encode_as_the_tokenizer_does(tokenizer):
+    import random
+    rng = random.Random(1)
+    parts = ["It's", "we'LL", "'s", "don", "'t", "A", "z", "Éa", "ß", "Straße", "ÿ", "12", "3", ".", "..",
+             "'", "_", "<|", "|>", "<|endoftext|>", "$%", "ñ", "e\u0301", "\u00aa", "\u00b2", "Σ", "ΑΣ", "中文",
+             "\U0001f600", "\u00a0", "\u3000", "-", "\x1c", "×"]
+    texts = [rng.choice(["", " ", "\n"]).join(rng.choice(parts) for _ in range(rng.randint(0, 8)))
+             for _ in range(3000)]
+    with open(rans.default_tokenizer(), encoding="utf-8") as f:
+        definition = f.read()
+    assert rans._drops_space(definition)
+    got = rans.encode_texts(pa.array(texts), definition, "<u2")
+    for t, ids in zip(texts, got):
+        want = tokenizer.encode(t, add_special_tokens=False).ids + [rans.END_ID]
+        assert np.frombuffer(ids, "<u2").tolist() == want, t
+
+
+def test_other_tokenizers_encode_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    with open(file, encoding="utf-8") as f:
+        definition = f.read()
+    got = rans.encode_texts(pa.array(["Hello  big world", None]), definition, "<u2")
+    want = Tokenizer.from_file(file).encode("Hello  big world", add_special_tokens=False).ids
+    assert np.frombuffer(got[0], "<u2").tolist() == want + [rans.END_ID]
+
+
 def path(spark):
     return f"{ensure_checkpoint_dir(spark)}/t-{uuid.uuid4().hex}"
 
@@ -74,7 +103,7 @@ def model(ids):
     return rans.Model(at, f)
 
 
-@pytest.mark.parametrize("n", [1, 2, 255, 256, 257, 5000, 70000])
+@pytest.mark.parametrize("n", [1, 2, 1023, 1024, 1025, 5000, 270000])
 def test_blocks_decode_from_any_place(n):
     rng = np.random.default_rng(n)
     ids = np.minimum(rng.geometric(0.01, n), 40000).astype(np.uint32)
@@ -82,10 +111,10 @@ def test_blocks_decode_from_any_place(n):
     payload, states, positions = rans.encode_block(ids, m)
     assert (rans.decode_block(n, payload, states, positions, m) == ids).all()
     assert len(positions) == -(-n // (rans.LANES * rans.CHECKPOINT))
-    for a, b in [(0, 1), (n // 2, n // 2 + 7), (n - 1, n), (33000, 33005), (5, 5)]:
+    for a, b in [(0, 1), (n // 2, n // 2 + 7), (n - 1, n), (133000, 133005), (5, 5)]:
         if a < n:
             assert (rans.decode_block(n, payload, states, positions, m, a, b) == ids[a:b]).all()
-    if n == 70000:
+    if n == 270000:
         p = np.bincount(ids)[1:] / n
         bits = -(p[p > 0] * np.log2(p[p > 0])).sum()
         assert 8 * len(payload) / n < bits * 1.02 + 0.2
@@ -108,6 +137,11 @@ def test_joined_crc():
     assert rans.joined_crc(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
 
 
+def fours(text):
+    w = text.lower().split()
+    return {tuple(w[i:i + 4]) for i in range(len(w) - 3)}
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test data not mounted")
 def test_pipeline_matches_brute_force(spark, tokenizer):
     docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
@@ -118,7 +152,10 @@ def test_pipeline_matches_brute_force(spark, tokenizer):
         quality.measured_documents(spark.read.parquet(f"{SF}/documents.parquet")),
         spark.read.parquet(f"{SF}/labels.parquet")).collect())
     one = {i for i, _, _, kept in classes_brute([(d[0], d[1]) for d in good]) if kept}
-    clean = [d for d in good if d[0] in one and not any(overlap_brute(d[1], b) for b in items)]
+    # 13 words with 2 substitutions hold 4 equal ones in a row, so other pairs need no look
+    runs = [fours(b) for b in items]
+    clean = [d for d in good if d[0] in one and not any(
+        overlap_brute(d[1], b) for b, r in zip(items, runs) if r & fours(d[1]))]
     assert len(docs) > len(good) > len(one) > len(clean) > 50
     got = corpus_pipeline.run(spark, SF).collect()
     copies = Counter(r.doc_id for r in got)
