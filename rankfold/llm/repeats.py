@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from rankfold.llm import hashing
 from rankfold.llm.bits import filter_bits, passes
-from rankfold.llm.text import release, written_table
+from rankfold.llm.text import discard, release, written_table
 from rankfold.session import ship_package
 
 U = np.uint64
@@ -137,18 +137,24 @@ def repeated(docs: DataFrame, scan: Scan, width: int, order: list[str],
     part = written_table(resolve(content.join(kinds.drop("c"), ["key", "run"])), "parts")
     bits.destroy()
     release(spark)
-    # a run that occurs once, with no window found earlier, is of no further use
-    state = kinds.join(part, ["key", "run"], "left").filter("c > 1 or part is not null")
+    # a run that occurs once, with no window found earlier, is of no further use; written, so
+    # that the next join shuffles both sides and a frequent run's partition can be split
+    state = written_table(kinds.join(part, ["key", "run"], "left").filter(
+        "c > 1 or part is not null").drop("c"), "state")
+    discard(kinds)
+    discard(part)
     whole = F.array(F.struct(F.col("first").alias("a"),
                              (F.col("first") + F.col("n") + (width - 1)).alias("b")))
     some = F.transform("part", lambda p: F.struct(
         (F.col("first") + p["a"]).alias("a"), (F.col("first") + p["b"] + (width - 1)).alias("b")))
-    spans = found.join(state.drop("c"), ["key", "run"]).select(
+    spans = found.join(state, ["key", "run"]).select(
         "doc", "tie", F.when(place(order) > F.col("m"), whole).otherwise(some).alias("c"))
     cuts = written_table(spans.filter("c is not null").select("doc", "tie", F.inline("c"))
                          # a row's spans are bounded by its own length
                          .groupBy("doc", "tie")
                          .agg(F.collect_set(F.struct("a", "b")).alias("cuts")), "cuts")
+    discard(found)
+    discard(state)
     release(spark)
     return cuts
 

@@ -44,7 +44,7 @@ WINDOW = 50
 # Production parameters.
 GRAM = 8
 HALF = 22
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
 QUEUE_BYTES = 64 << 20
 SPLIT = 20_000
 

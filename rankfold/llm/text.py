@@ -41,6 +41,15 @@ def written_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a written table that nothing is going to read again."""
+    files = df.inputFiles()
+    if files:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(files[0].rsplit("/", 1)[0])
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def kept_table(df: DataFrame) -> DataFrame:
     """A small step's result as a written table, so that the next one is planned by its
     real size and starts from files that outlive executors."""
