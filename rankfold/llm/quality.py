@@ -191,8 +191,9 @@ def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: f
     """The documents that ``judge`` keeps, with their columns; no text is shuffled."""
     measured = kept_table(measured_documents(docs, stratum))
     s, c = (fresh(docs, x) for x in ("_s", "_cuts"))
-    cuts = cutoffs(measured, labels, risk, delta, grid).select(
-        F.col("stratum").alias(s), F.col("cuts").alias(c))
+    # written, so that its real size, a row per stratum, decides how it is joined
+    cuts = kept_table(cutoffs(measured, labels, risk, delta, grid).select(
+        F.col("stratum").alias(s), F.col("cuts").alias(c)))
     part = F.col(stratum).cast("string") if stratum in docs.columns else F.lit(None)
     return (docs.join(cuts, part.eqNullSafe(F.col(s)), "left")
             .filter(let(measures(docs["text"]), lambda m: _passes(m, F.col(c), grid)))
