@@ -122,6 +122,32 @@ def test_licences_match_brute_force(spark, edge_docs, clash_docs, no_docs):
     assert licences.classify(no_docs).count() == 0
 
 
+def test_licences_inside_longer_text(spark):
+    head = ("This {} is free software; you can redistribute it and/or modify it under the terms of "
+            "the GNU {} as published by the Free Software Foundation; either version {} of the "
+            "License, or (at your option) any later version.")
+    apache, mit = licences.TEMPLATES["Apache-2.0"][1], licences.TEMPLATES["MIT"][1]
+    cases = [("This project is released under the MIT License.", "MIT"),
+             ("Copyright 2020 by us. " + mit + " It is of use to many of the people here.", "MIT"),
+             ("a b c " * 400 + apache.replace("express or implied", "implied") + " d e" * 900,
+              "Apache-2.0"),
+             ("so " + mit.replace("to deal in the Software without restriction, ", "") + " and on",
+              "MIT"),
+             (head.format("program", "General Public License", "2"), "GPL-2.0"),
+             ("# " + head.format("program", "General Public License", "3") + " More of it.", "GPL-3.0"),
+             (head.format("library", "Lesser General Public License", "2.1"), "LGPL-2.1"),
+             (head.format("program", "Lesser General Public License", "3"), "LGPL-3.0"),
+             (head.format("program", "Affero General Public License", "3"), "AGPL-3.0"),
+             (" x".join(licences.TEMPLATES["BSD-3-Clause"][1:]) + " y z" * 300, "BSD-3-Clause"),
+             ("it was released under the new name and the mit license " * 50, None)]
+    d = spark.createDataFrame([(i, t, "en", "s", 1) for i, (t, _) in enumerate(cases)], DOCS)
+    got = {r.doc_id: r for r in licences.classify(d).collect()}
+    for i, (t, name) in enumerate(cases):
+        assert got[i].licence == name, t[:100]
+        assert (got[i].n_units > 0) == (name is not None)
+    assert got[0].dice == 1.0 and got[1].dice == 1.0 and 0.9 < got[3].dice < 1.0
+
+
 def water(sizes, weights=(5, 2, 1), cap=3):
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     w = {s: weights[i % 3] for i, s in enumerate(order)}
