@@ -16,6 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from rankfold.llm import minmax, mixing, quality, rans, spaced
 from rankfold.session import ensure_checkpoint_dir
 
+# Production parameter: near copies are linked from a Jaccard similarity of 0.80 on.
+NEAR_PERCENT = 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the certified cutoffs."""
@@ -24,7 +27,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the smallest id, of each group of near copies."""
-    return minmax.keep_one(docs)
+    return minmax.keep_one(docs, NEAR_PERCENT)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,8 +5,9 @@ as 64-bit hashes.  Each of ``PERMUTATIONS`` hash permutations gives two
 signature values, the least and the greatest hash of the set; each agrees
 between two sets with a probability equal to their Jaccard similarity, so half
 the permutations fill a signature.  ``ROWS`` values make a band key, minima and
-maxima apart.  At the threshold a pair shares none of the bands with odds of
-``(1 - 0.85 ** 4) ** 24``, about 2 in 10^8; further up with less.
+maxima apart.  At the threshold, ``percent`` or ``PERCENT``, a pair shares none of
+the bands with odds of ``(1 - 0.85 ** 4) ** 24``, about 2 in 10^8 (at 0.8, 3 in
+10^6); further up with less.
 
 Links are confirmed on full sets, and none of a bucket's links is skipped:
 
@@ -129,25 +130,26 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             .dropDuplicates(["doc_id", "set_a"]).drop("set_a"))
 
 
-def linked(a: np.ndarray, b: np.ndarray) -> bool:
+def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     """Whether two sorted sets reach the similarity threshold."""
     small, large = (a, b) if len(a) <= len(b) else (b, a)
-    if not len(small) or 100 * len(small) < PERCENT * len(large):
+    if not len(small) or 100 * len(small) < percent * len(large):
         return False
     at = np.searchsorted(large, small)
     at[at == len(large)] = 0
     shared = int((large[at] == small).sum())
-    return 100 * shared >= PERCENT * (len(a) + len(b) - shared)
+    return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
-def _confirm(batches):
+def _confirm(batches, percent: int):
     for b in batches:
-        ok = [linked(np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U))
+        ok = [linked(np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U), percent)
               for x, y in zip(b.column(2), b.column(3))]
         yield b.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
 
-def forest(ids: list[int], sets: list[np.ndarray], left: int) -> list[tuple[int, int]]:
+def forest(ids: list[int], sets: list[np.ndarray], left: int,
+           percent: int = PERCENT) -> list[tuple[int, int]]:
     """Links that join whatever the sets' links join: of the first ``left`` sets among
     themselves and with the rest (of all with each other if there is no rest)."""
     sizes = np.array([len(s) for s in sets])
@@ -175,7 +177,7 @@ def forest(ids: list[int], sets: list[np.ndarray], left: int) -> list[tuple[int,
             v = root[v]
         return v
     out = []
-    for i, j in zip(*(x.tolist() for x in np.nonzero(100 * shared >= PERCENT * union))):
+    for i, j in zip(*(x.tolist() for x in np.nonzero(100 * shared >= percent * union))):
         a, b = top(i), top(j)
         if a != b:
             root[max(a, b)] = min(a, b)
@@ -183,10 +185,10 @@ def forest(ids: list[int], sets: list[np.ndarray], left: int) -> list[tuple[int,
     return out
 
 
-def _blocks(batches):
+def _blocks(batches, percent: int):
     """Rows (job, side, doc_id, set) sorted by job and side, to the links of each job."""
     def ended(ids, sets, left):
-        links = forest(ids, sets, left) if left and len(ids) > 1 else []
+        links = forest(ids, sets, left, percent) if left and len(ids) > 1 else []
         return pa.RecordBatch.from_arrays(
             [pa.array([x for x, _ in links], pa.int64()),
              pa.array([y for _, y in links], pa.int64())], names=["a", "b"])
@@ -205,7 +207,8 @@ def _blocks(batches):
         yield ended(ids, sets, left)
 
 
-def _rest(spots: DataFrame, labels: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
+def _rest(spots: DataFrame, labels: DataFrame, docs: DataFrame, reps: DataFrame,
+          percent: int) -> DataFrame:
     """Links within the buckets that still hold several components."""
     named = spots.join(labels, F.col("doc_id") == F.col("node"), "left").select(
         "key", "doc_id", F.coalesce("component", "doc_id").alias("comp"))
@@ -245,10 +248,11 @@ def _rest(spots: DataFrame, labels: DataFrame, docs: DataFrame, reps: DataFrame)
     want = placed.select("doc_id").distinct().join(reps, "doc_id")
     loaded = rows.join(written_table(_sets(docs, want), "sets"), "doc_id")
     return (loaded.repartition("job").sortWithinPartitions("job", "at", "doc_id")
-            .select("job", "at", "doc_id", "set").mapInArrow(_blocks, "a long, b long"))
+            .select("job", "at", "doc_id", "set").mapInArrow(
+                lambda batches: _blocks(batches, percent), "a long, b long"))
 
 
-def classes(docs: DataFrame) -> DataFrame:
+def classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Per document row: ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``."""
     signed = written_table(signatures(docs), "signatures")
     full = signed.filter("n_shingles > 0 and doc_id is not null")
@@ -267,9 +271,10 @@ def classes(docs: DataFrame) -> DataFrame:
     links = kept_table(
         pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("sb")), "b")
         .join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("sa")), "a")
-        .select("a", "b", "sa", "sb").mapInArrow(_confirm, "a long, b long"))
+        .select("a", "b", "sa", "sb").mapInArrow(
+            lambda batches: _confirm(batches, percent), "a long, b long"))
     labels = components(links)
-    more = kept_table(_rest(spots.select("key", "doc_id"), labels, docs, reps))
+    more = kept_table(_rest(spots.select("key", "doc_id"), labels, docs, reps, percent))
     if not more.isEmpty():
         labels = components(links.unionByName(more))
     named = reps.join(labels, F.col("doc_id") == F.col("node"), "left").select(
@@ -284,8 +289,9 @@ def classes(docs: DataFrame) -> DataFrame:
                                            F.lit(True))))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents with one of each component, the smallest ``doc_id``, kept."""
     name = fresh(docs, "_gone")
-    gone = classes(docs).filter("not kept").select(F.col("doc_id").alias(name)).distinct()
+    gone = classes(docs, percent).filter("not kept").select(
+        F.col("doc_id").alias(name)).distinct()
     return docs.join(gone, docs["doc_id"].cast("long") == F.col(name), "left_anti")

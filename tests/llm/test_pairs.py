@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+import corpus_pipeline
 from rankfold.llm import hashing, minmax, recompress, spaced, suffix
 from rankfold.llm.components import components
 from tests.llm.conftest import DOCS, PASSAGE, all_rows, rows
@@ -110,6 +111,19 @@ def test_near_copies_match_brute_force(spark, monkeypatch, block):
     assert sorted(r.doc_id for r in kept.collect()) == [i for i, _, _, k in want if k]
 
 
+def test_pipeline_links_near_copies_from_080(spark):
+    base = [f"w{k}" for k in range(95)]
+    near = ["x" if k in (20, 60) else w for k, w in enumerate(base)]
+    far = ["y" if k in (10, 30, 60) else w for k, w in enumerate(base)]
+    texts = [" ".join(w) for w in (base, near, far)]
+    a, b, c = map(shingles, texts)
+    assert 0.80 <= len(a & b) / len(a | b) < 0.85 and len(a & c) / len(a | c) < 0.80
+    assert len(b & c) / len(b | c) < 0.80
+    d = frame(spark, texts)
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, d, "").collect()) == [0, 2]
+    assert sorted(r.doc_id for r in minmax.keep_one(d).collect()) == [0, 1, 2]
+
+
 def test_forest_matches_pairwise_links():
     rng = np.random.default_rng(2)
     base = rng.integers(0, 1 << 62, 100, dtype=np.uint64)
