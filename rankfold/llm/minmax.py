@@ -55,7 +55,7 @@ U = np.uint64
 _RNG = np.random.Generator(np.random.PCG64(411))
 _A = (_RNG.integers(0, 1 << 63, (PERMUTATIONS, 1), dtype=np.uint64) << U(1)) | U(1)
 _B = _RNG.integers(0, 1 << 63, (PERMUTATIONS, 1), dtype=np.uint64)
-SIGNATURES = "doc_id long, n_shingles long, set_a long, set_b long, keys array<long>"
+SIGNATURES = "doc_id long, tie long, n_shingles long, set_a long, set_b long, keys array<long>"
 
 
 def shingle_sets(column: pa.Array):
@@ -92,24 +92,24 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """Per document row: set size, 128-bit hash of the set, and band keys."""
+    """Per document row: hash of the text, set size, 128-bit hash of the set, band keys."""
     ship_package(docs.sparkSession)
 
     def sign(batches):
         for b in batches:
             n, a, c, keys = [], [], [], []
-            for x in shingle_sets(b.column(1)):
+            for x in shingle_sets(b.column(2)):
                 n.append(len(x))
                 a.append(int(hashing.mix(x).sum(dtype=np.uint64).view(np.int64)))
                 c.append(int(hashing.mix(x * hashing.ODD[61] + hashing.ODD[59])
                              .sum(dtype=np.uint64).view(np.int64)))
                 keys.append(band_keys(signature(x)).view(np.int64) if len(x) else [])
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(a, pa.int64()),
+                [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(a, pa.int64()),
                  pa.array(c, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "keys"])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        sign, SIGNATURES)
+                names=["doc_id", "tie", "n_shingles", "set_a", "set_b", "keys"])
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       F.xxhash64("text").alias("tie"), "text").mapInArrow(sign, SIGNATURES)
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -254,6 +254,11 @@ def _rest(spots: DataFrame, labels: DataFrame, docs: DataFrame, reps: DataFrame,
 
 def classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Per document row: ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``."""
+    return _judged(docs, percent).drop("tie")
+
+
+def _judged(docs: DataFrame, percent: int) -> DataFrame:
+    """``classes`` with ``tie``, the hash of the row's text."""
     signed = written_table(signatures(docs), "signatures")
     full = signed.filter("n_shingles > 0 and doc_id is not null")
     reps = kept_table(full.groupBy("set_a", "set_b", "n_shingles").agg(
@@ -284,14 +289,16 @@ def classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return (signed.join(named, own & (signed["set_a"] == named["set_a"])
                         & (signed["set_b"] == named["set_b"])
                         & (signed["n_shingles"] == named["_n"]), "left")
-            .select("doc_id", "n_shingles", F.coalesce("_c", "doc_id").alias("component_id"))
+            .select("doc_id", "tie", "n_shingles",
+                    F.coalesce("_c", "doc_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"),
                                            F.lit(True))))
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents with one of each component, the smallest ``doc_id``, kept."""
-    name = fresh(docs, "_gone")
-    gone = classes(docs, percent).filter("not kept").select(
-        F.col("doc_id").alias(name)).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col(name), "left_anti")
+    name, tie = (fresh(docs, x) for x in ("_gone", "_tie"))
+    gone = _judged(docs, percent).filter("not kept").select(
+        F.col("doc_id").alias(name), F.col("tie").alias(tie)).distinct()
+    return docs.join(gone, (docs["doc_id"].cast("long") == F.col(name))
+                     & (F.xxhash64(docs["text"]) == F.col(tie)), "left_anti")

@@ -124,6 +124,14 @@ def test_pipeline_links_near_copies_from_080(spark):
     assert sorted(r.doc_id for r in minmax.keep_one(d).collect()) == [0, 1, 2]
 
 
+def test_unique_text_stays_when_its_id_has_a_copy_too(spark):
+    texts = [" ".join(f"{c}{k}" for k in range(40)) for c in "ab"]
+    docs = [(1, texts[0]), (2, texts[0]), (2, texts[1]), (3, texts[0].upper())]
+    d = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in docs], DOCS)
+    assert sorted((r.doc_id, r.text) for r in minmax.keep_one(d).collect()) == [
+        (1, texts[0]), (2, texts[1])]
+
+
 def test_forest_matches_pairwise_links():
     rng = np.random.default_rng(2)
     base = rng.integers(0, 1 << 62, 100, dtype=np.uint64)
