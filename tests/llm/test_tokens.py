@@ -175,6 +175,22 @@ def test_pipeline_matches_brute_force(spark, tokenizer):
         assert abs(taken[s] - t) <= size[s]
 
 
+def test_quality_stage_with_active_cutoffs(spark, tmp_path):
+    def text(i, symbols):
+        return " ".join(f"w{i}q{k}" for k in range(60)) + " " + "#" * symbols
+    docs = [(i, text(i, 0), "en", "s", 1) for i in range(875)]
+    docs += [(i, text(i, 0), "en", "s", 1) for i in range(2000, 2010)]
+    docs += [(i, text(i, 200), "en", "s", 1) for i in range(3000, 3010)]
+    d = spark.createDataFrame(docs, DOCS)
+    for n, want in ((875, set(range(875)) | set(range(2000, 2010))), (874, {x[0] for x in docs})):
+        labels = [(i, 1, 0) for i in range(n)]
+        path = tmp_path / str(n)
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(
+            str(path / "labels.parquet"))
+        got = corpus_pipeline.quality_rules(spark, d, str(path))
+        assert {r.doc_id for r in got.collect()} == want
+
+
 def test_stages_keep_columns_and_take_edges(spark, clash_docs, no_docs, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(
         str(tmp_path / "labels.parquet"))
