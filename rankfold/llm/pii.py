@@ -32,7 +32,7 @@ from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankfold.llm import hashing
@@ -242,6 +242,11 @@ def learn(docs: DataFrame, found: DataFrame) -> DataFrame:
         F.col("score") >= MIN_SCORE)
 
 
+def _count_of(kind: int) -> Column:
+    """How many base spans are of one kind."""
+    return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+
 def detect(docs: DataFrame) -> DataFrame:
     """One row per document row: counts and hash of the base spans, and all spans."""
     found = written_table(find(docs), "mentions")
@@ -259,8 +264,7 @@ def detect(docs: DataFrame) -> DataFrame:
                                                   s["b"].alias("b")))
     every = F.concat(base, F.coalesce("more", F.array().cast(
         "array<struct<a:int,kind:int,b:int>>")))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(
-        f"n_{KINDS[k]}") for k in range(4)]
+    counts = [_count_of(k).alias(f"n_{KINDS[k]}") for k in range(4)]
     return (found.drop("mentions")
             .join(more, (F.col("doc") == F.col("_d")) & (F.col("tie") == F.col("_t")), "left")
             .select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"),

@@ -64,15 +64,8 @@ def _repeat_words(ws: Column) -> Column:
     def windows(w):
         return F.transform(F.sequence(F.lit(0), F.size(w) - 3),
                            lambda i: F.xxhash64(w[i], w[i + 1], w[i + 2]))
-    return F.when(F.size(ws) < 6, _short_repeat(ws)).otherwise(let(windows(ws), tally))
-
-
-def _short_repeat(ws: Column) -> Column:
-    """The same for 5 words or fewer, where windows can only repeat if all words do."""
-    n = F.size(ws)
-    all_same = F.size(F.array_distinct(ws)) == 1
-    alternate = (n == 5) & (ws[0] == ws[2]) & (ws[1] == ws[3]) & (ws[2] == ws[4])
-    return F.when((n >= 4) & (all_same | alternate), n).otherwise(F.lit(0))
+    # with fewer words there is one window at most
+    return F.when(F.size(ws) < 4, F.lit(0)).otherwise(let(windows(ws), tally))
 
 
 def measures(text: Column) -> Column:

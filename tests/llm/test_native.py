@@ -1,6 +1,7 @@
 """Quality rules, licence scan, mixing and sharding against plain Python."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -34,7 +35,9 @@ def no_labels(spark):
 
 def test_quality_measures_match_brute_force(spark, edge_docs, clash_docs, no_docs):
     small = [("a b a b a",), ("a a a a",), ("a a a",), ("a b c a b",), ("a b c a b c",), ("a",),
-             ("a b a b a b a",), ("x y z x y q x y z",)]
+             ("a b a b a b a",), ("x y z x y q x y z",), ("a a a a b",), ("b a a a a",)]
+    rng = random.Random(3)
+    small += [(" ".join(rng.choices("ab", k=n)),) for n in range(9) for _ in range(10)]
     more = spark.createDataFrame([(100 + i, t, "en", "s", 1) for i, (t,) in enumerate(small)], DOCS)
     docs = edge_docs.unionByName(more)
     got = all_rows(quality.judge(docs, no_labels(spark)).select(

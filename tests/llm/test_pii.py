@@ -1,6 +1,7 @@
 """Personal data: base patterns against plain regular expressions, learnt contexts."""
 
 import hashlib
+import itertools
 import random
 import re
 
@@ -71,6 +72,23 @@ def test_detect_edges_and_clashes(spark, edge_docs, clash_docs, no_docs):
     assert pii.detect(no_docs).count() == 0
 
 
+MIXES = ["a@b.co", "10.0.0.1", "4111 1111 1111 1111", "+44 20 7946 0958"]
+
+
+def test_counts_are_by_kind_whatever_the_order(spark):
+    """Every mix of kinds, in every order, each as often as its place says."""
+    docs = []
+    for n in range(5):
+        for mix in itertools.permutations(range(4), n):
+            text = " and ".join(MIXES[k] for i, k in enumerate(mix) for _ in range(i + 1))
+            docs.append((len(docs), text, "en", "s", 1))
+    got = {r.doc_id: r for r in pii.detect(spark.createDataFrame(docs, DOCS)).collect()}
+    for d, text, *_ in docs:
+        b = brute(text)
+        assert tuple(got[d][1:5]) == tuple(sum(s[0] == k for s in b) for k in pii.KINDS[:4]), text
+        assert got[d].base_sha256 == hashlib.sha256(joined(b).encode()).hexdigest()
+
+
 def test_contexts_find_unseen_identifiers(spark):
     docs = [(i, f"some words w{i} then reach me at user{i}@mail.example.com whenever", "en", "s", 1)
             for i in range(20)]
