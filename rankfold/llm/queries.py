@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfold.llm import licences, minmax, mixing, pii, quality, rans, recompress, shards, spaced, suffix
+from rankfold.llm import bpe, licences, minmax, mixing, pii, quality, rans, recompress, shards, spaced, suffix
 from rankfold.llm.text import documents
 from rankfold.session import ensure_checkpoint_dir
 
@@ -67,6 +67,11 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign(documents(spark, sf_dir))
 
 
+def op12_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of each document, and what they decode to."""
+    return bpe.digests(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_minmax_dedup": op1_minmax_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -78,4 +83,5 @@ QUERIES = {
     "op8_licence_scan": op8_licence_scan,
     "op9_spaced_seeds": op9_spaced_seeds,
     "op10_feistel_shards": op10_feistel_shards,
+    "op12_merge_replay": op12_merge_replay,
 }
