@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rankfold.llm import licences, mixing, quality, shards
+from rankfold.llm import licences, mixing, negatives, quality, shards
 
 # A word is a run of characters other than these six.
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -164,9 +164,34 @@ def _feistel_shards() -> str:
       CAST(row_number AS BIGINT) AS row_number FROM walk WHERE p < n"""
 
 
+def _shared_lists() -> str:
+    n = negatives
+    return f"""
+    WITH v AS MATERIALIZED (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, LAMBDA x: floor({n.UNIT} * CAST(x AS DOUBLE))) AS x
+      FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, LAMBDA x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS MATERIALIZED (
+      SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+        CAST(list_inner_product(a.x, c.x) AS BIGINT) AS score
+      FROM v a JOIN v c ON a.vec_id % {n.EVERY} = 0 AND a.vec_id <> c.vec_id),
+    p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id)
+            <= {n.POSITIVES}),
+    r AS (SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score,
+            score AS negative_score, row_number() OVER (
+              PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+          FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same
+            AND {n.SHARE} * positive_score <= 100 * score AND score <= positive_score)
+    SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score,
+      negative_score FROM r WHERE rank <= {n.NEGATIVES}"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op3_pareto_mix": _pareto_mix(),
     "op6_quality_rules": _quality_rules(),
     "op8_licence_scan": _licence_scan(),
     "op10_feistel_shards": _feistel_shards(),
+    "op11_shared_lists": _shared_lists(),
 }

@@ -7,7 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfold.llm import bpe, licences, minmax, mixing, pii, quality, rans, recompress, shards, spaced, suffix
+from rankfold.llm import (bpe, licences, minmax, mixing, negatives, pii, quality, rans, recompress,
+                          shards, spaced, suffix, whitening)
 from rankfold.llm.text import documents
 from rankfold.session import ensure_checkpoint_dir
 
@@ -67,11 +68,21 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign(documents(spark, sf_dir))
 
 
+def op11_shared_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of each anchor and positive of the embeddings."""
+    return negatives.mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op12_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of each document, and what they decode to."""
     return bpe.digests(documents(spark, sf_dir))
 
 
+def op13_spectrum_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The embeddings whitened by their leading components."""
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES = {
     "op1_minmax_dedup": op1_minmax_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -83,5 +94,7 @@ QUERIES = {
     "op8_licence_scan": op8_licence_scan,
     "op9_spaced_seeds": op9_spaced_seeds,
     "op10_feistel_shards": op10_feistel_shards,
+    "op11_shared_lists": op11_shared_lists,
     "op12_merge_replay": op12_merge_replay,
+    "op13_spectrum_slices": op13_spectrum_slices,
 }
