@@ -45,8 +45,8 @@ SCALE = 20
 LANES = 1024
 CHECKPOINT = 128
 BLOCK = 1 << 18
-CACHE_WORDS = 1_000_000
-# Fixed value: the word expression of the tokenizers that ``_Words`` knows.
+CACHE_PIECES = 300_000
+# Fixed value: the word expression of the tokenizers that ``_Pieces`` knows.
 WORD_PATTERN = ("'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+")
 
 LOW = np.uint64(1 << 31)
@@ -56,7 +56,7 @@ BLOCKS = ("part int, block long, first long, n long, payload binary, states bina
           "start:long,piece:int,pieces:int>>")
 PIECES = "part int, seq long, doc_id long, start long, n long, piece int, pieces int, crc long"
 
-_TOKENIZERS: dict[int, "_Words | _Texts"] = {}
+_TOKENIZERS: dict[int, "_Pieces | _Texts"] = {}
 
 
 # ---------------------------------------------------------------- tokens
@@ -71,58 +71,71 @@ class _Texts:
         return [array(self.code, e.ids).tobytes() for e in got]
 
 
-class _Words(dict):
-    """Encodes word by word, each distinct word once.
+class _Pieces(dict):
+    """Encodes piece by piece, each distinct piece of a slice once; a map from piece to ids.
 
-    For tokenizers that drop white space and join nothing across it, so that a text's ids
-    are those of its words in turn.  Words of ASCII and Latin-1 letters only, which the
-    normaliser just lower-cases, are cut by the tokenizer's own expression and given to
-    its model; others go through the whole tokenizer.
+    For tokenizers that lower-case, drop white space and cut at an expression of their own,
+    so that a text's ids are those of its pieces in turn.  Texts of ASCII and Latin-1 letters
+    only, which the normaliser just lower-cases, are cut here and their pieces given to the
+    tokenizer's model; the words of other texts that are not of this kind go through the
+    whole tokenizer.  Up to ``CACHE_PIECES`` pieces stay known to a task.
     """
 
-    PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
-    LETTER = "a-z\u00df-\u00f6\u00f8-\u00ff"
+    LETTERS = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+    LOWER = "a-z\u00df-\u00f6\u00f8-\u00ff"
+    PLAIN_WORD = re.compile(f"[!-~{LETTERS}]+").fullmatch
+    PLAIN_TEXT = re.compile(f"[ \t-\r!-~{LETTERS}]*").fullmatch
+    PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LOWER}]+|[0-9]|[^ \t-\r{LOWER}0-9]+").findall
 
     def __init__(self, tok, code: str):
         super().__init__()
-        self.tok, self.code = tok, code
-        self.piece = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{self.LETTER}]+|[0-9]|"
-                                f"[^{self.LETTER}0-9]+").findall
-        self.model, self.pieces = tok.model, {}
+        self.tok, self.code, self.tokenize = tok, code, tok.model.tokenize
         # the letters of the byte-level alphabet, as the tokenizer's own step writes them
         from tokenizers.pre_tokenizers import ByteLevel
         level = ByteLevel(add_prefix_space=False, use_regex=False)
         self.bytes = {c: level.pre_tokenize_str(chr(c))[0][0]
                       for c in [*range(33, 127), *range(0xC0, 0x100)]}
 
-    def __missing__(self, word: bytes) -> bytes:
-        text = word.decode()
-        if b"<|" not in word and self.PLAIN.fullmatch(text):
-            parts = []
-            for p in self.piece(text.lower()):
-                ids = self.pieces.get(p)
-                if ids is None:
-                    ids = array(self.code, [t.id for t in self.model.tokenize(
-                        p if p.isascii() else p.translate(self.bytes))]).tobytes()
-                    self.pieces[p] = ids
-                parts.append(ids)
-            ids = b"".join(parts)
-        else:
-            ids = array(self.code, self.tok.encode(text, add_special_tokens=False).ids).tobytes()
-        self[word] = ids
+    def _plain(self, text: str) -> bool:
+        return "<|" not in text and self.PLAIN_TEXT(text) is not None
+
+    def _words(self, text: str) -> bytes:
+        """Ids of a text with words that only the whole tokenizer knows to treat."""
+        out, run = [], []
+
+        def flush():
+            out.append(self._joined(self.PIECES(" ".join(run).lower())))
+            run.clear()
+        for raw in text.encode().split():
+            word = raw.decode()
+            if "<|" not in word and self.PLAIN_WORD(word):
+                run.append(word)
+            else:
+                flush()
+                out.append(array(self.code, self.tok.encode(
+                    word, add_special_tokens=False).ids).tobytes())
+        flush()
+        return b"".join(out)
+
+    def _joined(self, pieces: list[str]) -> bytes:
+        return b"".join(map(self.__getitem__, pieces))
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = array(self.code, [t.id for t in self.tokenize(
+            piece if piece.isascii() else piece.translate(self.bytes))]).tobytes()
+        self[piece] = ids
         return ids
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        if len(self) > CACHE_WORDS:
+        if len(self) > CACHE_PIECES:
             self.clear()
-        if len(self.pieces) > CACHE_WORDS // 5:
-            self.pieces.clear()
-        ids = self.__getitem__
-        return [b"".join(map(ids, t.split())) for t in texts]
+        texts = map(bytes.decode, texts)
+        return [self._joined(self.PIECES(t.lower())) if self._plain(t) else self._words(t)
+                for t in texts]
 
 
 def _drops_space(definition: str) -> bool:
-    """Whether the tokenizer lower-cases, drops white space and splits as ``_Words`` does."""
+    """Whether the tokenizer lower-cases, drops white space and splits as ``_Pieces`` does."""
     d = json.loads(definition)
     norm = [n["type"] for n in (d["normalizer"] or {}).get("normalizers", [])]
     pre = (d["pre_tokenizer"] or {}).get("pretokenizers", [])
@@ -138,7 +151,7 @@ def encode_texts(column: pa.Array, definition: str, width: str) -> list[bytes]:
     if key not in _TOKENIZERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        kind = _Words if _drops_space(definition) else _Texts
+        kind = _Pieces if _drops_space(definition) else _Texts
         _TOKENIZERS[key] = kind(Tokenizer.from_str(definition), "H" if width == "<u2" else "I")
     end = np.array([END_ID], width).tobytes()
     out = []
