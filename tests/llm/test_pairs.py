@@ -318,10 +318,11 @@ def test_induced_sorting_matches_plain_sorting():
 # ---------------------------------------------------------------- benchmark overlaps
 def overlap_brute(text, item):
     a, b = WORD.findall(lower(text or "")), WORD.findall(lower(item or ""))
-    if len(b) < spaced.MIN_ITEM:
-        return False
+    if len(b) <= 2:
+        return bool(b) and a == b
     if len(b) < spaced.WINDOW:
-        return any(a[i:i + len(b)] == b for i in range(len(a) - len(b) + 1))
+        return any(sum(x != y for x, y in zip(a[i:], b)) <= (len(b) >= 8)
+                   for i in range(len(a) - len(b) + 1))
     need = spaced.WINDOW - spaced.SUBSTITUTIONS
     return any(sum(x == y for x, y in zip(a[i:i + 13], b[j:j + 13])) >= need
                for i in range(len(a) - 12) for j in range(len(b) - 12))
@@ -336,8 +337,8 @@ def test_masks_hit_every_window_with_two_substitutions():
 @pytest.mark.parametrize("part_words", [spaced.PART_WORDS, 60])
 def test_overlaps_match_brute_force(spark, part_words):
     rng = random.Random(4)
-    items = [" ".join(f"b{rng.randint(0, 30)}" for _ in range(rng.choice([3, 9, 13, 25, 40])))
-             for _ in range(25)] + [None, "", PASSAGE]
+    items = [" ".join(f"b{rng.randint(0, 30)}" for _ in range(n))
+             for n in [1, 2, 3, 4, 5, 7, 7, 8, 8, 9, 11, 12, 12, 13, 13, 14, 25, 25, 25, 40, 40]] + [None, "", PASSAGE]
     texts = []
     for _ in range(120):
         w = [f"b{rng.randint(0, 30)}" for _ in range(rng.randint(0, 40))]
@@ -345,7 +346,9 @@ def test_overlaps_match_brute_force(spark, part_words):
             b = (rng.choice(items) or "").split()
             a = rng.randint(0, max(0, len(b) - 13))
             b = b[a:a + rng.randint(8, 30)]
-            for _ in range(rng.randint(0, 4)):
+            if len(b) <= 2:
+                w = w[:rng.randint(0, 1)]
+            for _ in range(rng.choice([0, 0, 1, 1, 2, 3, 4])):
                 if b:
                     b[rng.randrange(len(b))] = "sub"
             w[len(w) // 2:len(w) // 2] = [x.upper() for x in b]
@@ -360,6 +363,37 @@ def test_overlaps_match_brute_force(spark, part_words):
         set(range(len(texts))) - {i for i, _ in want})
 
 
+@pytest.mark.parametrize("n,changed,found", [
+    (1, 0, False), (2, 0, False), (3, 0, True), (3, 1, False), (7, 0, True), (7, 1, False),
+    (8, 0, True), (8, 1, True), (8, 2, False), (12, 1, True), (12, 2, False), (13, 2, True),
+    (13, 3, False)])
+def test_short_items(spark, n, changed, found):
+    """Every place of the changed words, inside a longer document."""
+    item = [f"w{i}" for i in range(n)]
+    texts = []
+    for gone in itertools.combinations(range(n), changed):
+        w = ["x" if i in gone else c for i, c in enumerate(item)]
+        texts.append(" ".join(["before", "it", *w, "after"]))
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = spaced.contaminated(frame(spark, texts), bench)
+    assert got.count() == (len(texts) if found else 0)
+    whole = spaced.contaminated(frame(spark, [" ".join(item)]), bench).collect()
+    assert [(r.n_spans, r.n_words, r.n_equal) for r in whole] == [(1, n, n)]
+
+
+def test_repeated_rows_and_shared_ids(spark):
+    docs = spark.createDataFrame(
+        [(1, PASSAGE), (1, PASSAGE), (1, "another text under the same number"), (None, PASSAGE),
+         (None, "nothing here"), (None, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, PASSAGE), (7, PASSAGE), (None, PASSAGE), (-1, PASSAGE),
+                                   (-1, "another text under the same number")],
+                                  "item_id long, text string")
+    n = len(PASSAGE.split())
+    want = [(d, i, 1, n, n) for d in (1, None) for i in (7, None, -1)] + [(1, -1, 1, 6, 6)]
+    assert all_rows(spaced.contaminated(docs, bench)) == sorted(want, key=repr)
+    assert all_rows(spaced.keep_clean(docs, bench)) == [(None, "nothing here"), (None, None)]
+
+
 def test_overlap_edges(spark, edge_docs, clash_docs, no_docs):
     bench = spark.createDataFrame([(7, PASSAGE), (7, PASSAGE), (8, None), (None, "short one")],
                                   "item_id long, text string")
