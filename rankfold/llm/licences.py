@@ -25,7 +25,8 @@ one word has no bigram and matches nothing; of equal scores a unit comes before
 a window, of windows the one of the larger template, then the first licence by
 name, and of equal units the first one; ``n_units`` counts the units that match
 as a whole, and is 1 where only windows match; a repeated document row gives a
-repeated result row; extra columns are ignored.
+repeated result row, and rows that share a ``doc_id``, or have none, are judged by
+their own texts; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -221,19 +222,20 @@ def _units(text: Column) -> Column:
                                      F.split(t, "\n")))
 
 
-def scan(docs: DataFrame, templates: dict = TEMPLATES,
-         threshold: float = THRESHOLD) -> DataFrame:
-    """One row per unit and licence with a Dice coefficient of ``threshold`` or more."""
+def scan(docs: DataFrame, templates: dict = TEMPLATES, threshold: float = THRESHOLD,
+         key: tuple = ("doc_id",)) -> DataFrame:
+    """One row per unit and licence with a Dice coefficient of ``threshold`` or more; ``key``
+    has the columns that tell documents apart."""
     table = template_table(docs.sparkSession, templates, threshold)
     # the templates are a parameter, not data: a few rows per template
-    units = (docs.select("doc_id", F.posexplode(_units(F.col("text"))).alias("unit", "u"))
-             .select("doc_id", "unit", bigrams(F.col("u")).alias("ub"))
+    units = (docs.select(*key, F.posexplode(_units(F.col("text"))).alias("unit", "u"))
+             .select(*key, "unit", bigrams(F.col("u")).alias("ub"))
              .withColumn("size", F.size("ub")).filter("size > 0"))
     shared = F.size(F.array_intersect("ub", "tb"))
     return (units.join(F.broadcast(table), "size")
             .withColumn("dice", 2.0 * shared / (F.col("size") + F.size("tb")))
             .filter(F.col("dice") >= threshold)
-            .groupBy("doc_id", "unit", "licence").agg(F.max("dice").alias("dice")))
+            .groupBy(*key, "unit", "licence").agg(F.max("dice").alias("dice")))
 
 
 def _windows(g: Column, hits: Column, t: Column, threshold: float) -> Column:
@@ -278,8 +280,8 @@ def _windows(g: Column, hits: Column, t: Column, threshold: float) -> Column:
     return let(F.filter(hits, lambda x: F.array_contains(t["tb"], x["h"])), edges)
 
 
-def embedded(docs: DataFrame, templates: dict = TEMPLATES,
-             threshold: float = THRESHOLD) -> DataFrame:
+def embedded(docs: DataFrame, templates: dict = TEMPLATES, threshold: float = THRESHOLD,
+             key: tuple = ("doc_id",)) -> DataFrame:
     """One row per document row and template found in a window of its whole text."""
     most = (2 - threshold) / threshold
     rows = [F.struct(F.lit(name).alias("licence"), _places(F.lit(t)).alias("p"))
@@ -289,7 +291,7 @@ def embedded(docs: DataFrame, templates: dict = TEMPLATES,
              .select("licence", F.array_distinct("p").alias("tb"), F.element_at("p", -1)
                      .alias("final"), F.size("p").alias("n")).collect())  # the parameter itself
     if not known:
-        return docs.select("doc_id", F.lit("").alias("licence"), F.lit(0).alias("b"),
+        return docs.select(*key, F.lit("").alias("licence"), F.lit(0).alias("b"),
                            F.lit(0.0).alias("dice")).limit(0)
     table = F.array(*[F.struct(
         F.lit(r.licence).alias("licence"), F.lit(r.tb).alias("tb"), F.lit(r.final).alias("final"),
@@ -299,12 +301,12 @@ def embedded(docs: DataFrame, templates: dict = TEMPLATES,
     least = min(math.ceil(len(r.tb) / most - 1e-9) for r in known)
     hits = F.filter(F.transform(F.col("g"), lambda h, i: F.struct(h.alias("h"), i.alias("i"))),
                     lambda x: x["h"].isin(every))
-    found = (docs.select("doc_id", _places(F.coalesce("text", F.lit(""))).alias("g"))
-             .select("doc_id", "g", hits.alias("hits")).filter(F.size("hits") >= least)
+    found = (docs.select(*key, _places(F.coalesce("text", F.lit(""))).alias("g"))
+             .select(*key, "g", hits.alias("hits")).filter(F.size("hits") >= least)
              .withColumn("seen", F.array_distinct(F.col("hits.h")))
              .withColumn("t", F.explode(F.filter(table, lambda t: F.size(F.array_intersect(
                  F.col("seen"), t["tb"])) >= t["low"]))))
-    return (found.select("doc_id", F.col("t.licence").alias("licence"),
+    return (found.select(*key, F.col("t.licence").alias("licence"),
                          F.size("t.tb").alias("b"),
                          _windows(F.col("g"), F.col("hits"), F.col("t"), threshold).alias("dice"))
             .filter(F.col("dice") >= threshold))
@@ -314,16 +316,19 @@ def classify(docs: DataFrame, templates: dict = TEMPLATES,
              threshold: float = THRESHOLD) -> DataFrame:
     """One row per document row: its best licence (null without one), the Dice
     coefficient, and how many units match any licence."""
-    whole = scan(docs, templates, threshold).select(
-        F.col("doc_id").alias("_d"), "unit", F.lit(0).alias("b"), "licence", "dice")
-    inside = embedded(docs, templates, threshold).select(
-        F.col("doc_id").alias("_d"), F.lit(None).cast("int").alias("unit"), "b", "licence", "dice")
+    own = docs.select("doc_id", F.xxhash64("text").alias("_tie"), "text")
+    key = ("doc_id", "_tie")
+    whole = scan(own, templates, threshold, key).select(
+        *key, "unit", F.lit(0).alias("b"), "licence", "dice")
+    inside = embedded(own, templates, threshold, key).select(
+        *key, F.lit(None).cast("int").alias("unit"), "b", "licence", "dice")
     rows = kept_table(whole.unionByName(inside))
-    best = rows.groupBy("_d").agg(
+    best = rows.groupBy(F.col("doc_id").alias("_d"), F.col("_tie").alias("_t")).agg(
         F.greatest(F.countDistinct("unit"), F.lit(1)).alias("n_units"),
         F.min(F.struct((-F.col("dice")).alias("s"), F.col("unit").isNull().alias("w"),
                        (-F.col("b")).alias("b"), "licence", "unit")).alias("b"))
-    return (docs.select("doc_id")
-            .join(best, F.col("doc_id").eqNullSafe(F.col("_d")), "left")
+    return (own.drop("text")
+            .join(best, F.col("doc_id").eqNullSafe(F.col("_d"))
+                  & (F.col("_tie") == F.col("_t")), "left")
             .select("doc_id", F.coalesce("n_units", F.lit(0)).cast("long").alias("n_units"),
                     F.col("b.licence").alias("licence"), (-F.col("b.s")).alias("dice")))

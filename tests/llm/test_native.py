@@ -125,6 +125,67 @@ def test_licences_match_brute_force(spark, edge_docs, clash_docs, no_docs):
     assert licences.classify(no_docs).count() == 0
 
 
+def test_licences_of_rows_that_share_an_id(spark):
+    mit = licences.TEMPLATES["MIT"][0]
+    docs = [(None, mit), (None, "hello there you world"), (7, mit), (7, "nothing at all here"),
+            (7, mit), (None, None)]
+    got = licences.classify(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(((r.doc_id, r.licence) for r in got.collect()), key=repr) == sorted(
+        [(None, "MIT"), (None, None), (None, None), (7, "MIT"), (7, None), (7, "MIT")], key=repr)
+
+
+def window_brute(text, template, threshold):
+    """Best score of the windows from the start of a run of template bigrams to the end of
+    the same run, or of a later one within reach of the notice's length."""
+    def grams(t):
+        w = re.findall(r"[^\W_]+", t.lower())
+        return list(zip(w, w[1:]))
+    g, t = grams(text), grams(template)
+    tb, most = set(t), (2 - threshold) / threshold
+    best, low, high = 0.0, max(1, math.ceil(len(tb) / most - 1e-9)), math.floor(
+        len(t) * most + 1e-9)
+    runs = [(i, next(j for j in range(i, len(g)) if j + 1 == len(g) or g[j + 1] not in tb))
+            for i in range(len(g)) if g[i] in tb and (i == 0 or g[i - 1] not in tb)]
+    for a, (i, _) in enumerate(runs):
+        for b, (_, j) in enumerate(runs[a:]):
+            if b and j - i >= high:
+                continue
+            x = set(g[i:j + 1])
+            if sum(c in tb for c in g[i:j + 1]) < low:
+                continue
+            opens, ends = i == 0 or t[0] in x, j == len(g) - 1 or t[-1] in x
+            size = len(x) if opens and ends else max(len(x), len(tb))
+            best = max(best, 2 * len(x & tb) / (size + len(tb)))
+    return best
+
+
+def test_windows_match_brute_force(spark):
+    """The window search against every window of random texts with parts of notices."""
+    rng = random.Random(11)
+    templates = {"one": (" ".join(f"a{i}" for i in range(14)),),
+                 "two": (" ".join(f"a{i % 9}" for i in range(20, 41)),)}
+    texts = []
+    for _ in range(150):
+        w = [f"z{rng.randint(0, 9)}" for _ in range(rng.randint(0, 12))]
+        for _ in range(rng.randint(1, 2)):
+            t = templates[rng.choice(["one", "two"])][0].split()
+            a = rng.randint(0, 3)
+            t = t[a:len(t) - rng.randint(0, 3)]
+            for _ in range(rng.randint(0, 2)):
+                t[rng.randrange(len(t))] = "q"
+            if rng.random() < 0.3:
+                t[len(t) // 2:len(t) // 2] = ["q"] * rng.randint(1, 4)
+            w += t + [f"z{rng.randint(0, 9)}" for _ in range(rng.randint(0, 8))]
+        texts.append(" ".join(w))
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.doc_id, r.licence): r.dice for r in
+           licences.embedded(d, templates, licences.THRESHOLD).collect()}
+    want = {(i, name): s for i, t in enumerate(texts) for name, (x,) in templates.items()
+            if (s := window_brute(t, x, licences.THRESHOLD)) >= licences.THRESHOLD}
+    assert len(want) > 40 and got.keys() == want.keys()
+    assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
+
+
 def test_licences_inside_longer_text(spark):
     head = ("This {} is free software; you can redistribute it and/or modify it under the terms of "
             "the GNU {} as published by the Free Software Foundation; either version {} of the "
