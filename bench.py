@@ -110,12 +110,15 @@ def main() -> None:
     def run_stream():
         raw = (spark.readStream.schema(td.table(spark, sf_dir, "events").schema)
                .option("pathGlobFilter", "events.parquet").parquet(sf_dir))
-        root = live.open_store(merged, scratch_path(spark, "bench", "live"))
-        live.run(td.event_columns(raw), root, scratch_path(spark, "bench", "ck"))
-        live.live_stats(spark, root).agg(F.sum("avg_rating")).first()
-        return root
-    root = timed("stats_stream", run_stream)
-    timed("snapshot", lambda: live.live_ratings(spark, root).agg(F.sum("rating")).first())
+        store = scratch_path(spark, "bench", "ratings")
+        merged.write.parquet(store)
+        checkpoint = scratch_path(spark, "bench", "live")
+        live.run(td.event_columns(raw), checkpoint,
+                 spark.readStream.schema(merged.schema).parquet(store))
+        live.live_stats(spark, checkpoint).agg(F.sum("avg_rating")).first()
+        return checkpoint
+    state = timed("stats_stream", run_stream)
+    timed("snapshot", lambda: live.live_ratings(spark, state).agg(F.sum("rating")).first())
 
     def run_routed():
         c = catalogue.catalogue(movies, merged, model)

@@ -372,14 +372,20 @@ def q_rating_upsert(spark, d):
                           "rating_count")
 
 
+def _as_stream(spark, table: DataFrame) -> DataFrame:
+    """A written table read as a stream."""
+    folder = table.inputFiles()[0].rsplit("/", 1)[0]
+    return spark.readStream.schema(table.schema).parquet(folder)
+
+
 def live_store(spark, d) -> str:
-    """A live store over the ratings store, with the whole events table streamed into it."""
+    """Checkpoint of the query that has read the ratings store and the whole events table."""
     def build():
-        root = live.open_store(merged(spark, d), scratch_path(spark, "live"))
         raw = (spark.readStream.schema(td.table(spark, d, "events").schema)
                .option("pathGlobFilter", "events.parquet").parquet(d))
-        live.run(td.event_columns(raw), root, scratch_path(spark, "live-checkpoint"))
-        return root
+        checkpoint = scratch_path(spark, "live")
+        live.run(td.event_columns(raw), checkpoint, _as_stream(spark, merged(spark, d)))
+        return checkpoint
     return _memo(spark, d, "live_store", build)
 
 

@@ -1,2 +1,2 @@
 from rankfold.streaming.item_stats import (  # noqa: F401
-    apply_batch, compact, live_popular, live_ratings, live_stats, open_store, run)
+    item_deltas, item_sums, live_popular, live_ratings, live_stats, rating_stream, run)

@@ -1,113 +1,104 @@
 """Ratings, item statistics and popularity kept current as rating events arrive.
 
-A live store is a folder of Parquet tables:
-
-    base/<version>/pairs   the latest rating of every (user, item) when it was written
-    base/<version>/stats   rating sum and count per item of these pairs
-    log/batch_id=N         the winning events of micro-batch N, one per pair
-    delta/batch_id=N       what they change in an item's rating sum and count
-    commits/batch_id=N     written last: a batch without it does not count
-    current                base version, and the last batch folded into it
-
-Each micro-batch is reduced to its latest event per pair by a hash aggregate
-(``max_by`` with partial aggregation, so a hot pair or item is combined before the
-shuffle), joined to the stored ratings of just these pairs, and turned into item
-deltas.  An event no later than the stored ``(ts, seq)`` changes nothing, which
-also makes a replayed batch harmless.  Everything runs in the JVM; there is no
-state besides the tables.  Events without a time are stamped here, once.
-``compact`` folds the log into a new base.
+One Structured Streaming query with two stateful operators, whose state is all there
+is: no table, log or pointer besides the query's own checkpoint.
+
+* ``LatestRating`` (``transformWithState``, keyed by user and item) holds the latest
+  rating of each pair with its ``(ts, seq)`` in the RocksDB state store.  An event that
+  is no later changes nothing, which makes late and replayed events harmless.  One that
+  is later comes out as an item delta: the new value in, the old one out.
+* The deltas are summed per item by a streaming aggregation.
+
+Keys are pairs, so a very active user or a very popular item is spread over all state
+partitions; deltas are combined before they are exchanged by item.  Stored ratings enter
+as the first rows of the same stream, and events without a time take the time of their
+micro-batch, which Spark records, so a batch that is run again stamps the same.
+
+Both states are read back through the ``statestore`` data source, always as of the last
+committed micro-batch, while the query runs or after.
 """
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from rankfold import config
 from rankfold.operators.clean import valid_ratings
-from rankfold.operators.merge import keep_last, stamped
+from rankfold.operators.merge import stamped
 from rankfold.operators.scoring import popular_items
-
-PAIR = "user_id long, item_id long, rating double, ts timestamp_ntz, seq long"
-BATCH = ", batch_id long"
-KEYS = ["user_id", "item_id"]
-
-
-def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A table of the store; empty while nothing has been written to it."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
-
-
-def open_store(ratings: DataFrame, root: str) -> str:
-    """Write a base from stored ratings (one row per pair) and return ``root``."""
-    spark = ratings.sparkSession
-    _write_base(spark, ratings.select("user_id", "item_id", "rating", "ts", "seq"), root, -1)
-    return root
-
-
-def _write_base(spark: SparkSession, pairs: DataFrame, root: str, folded: int) -> None:
-    version = uuid.uuid4().hex
-    pairs.write.parquet(f"{root}/base/{version}/pairs")
-    (spark.read.schema(PAIR).parquet(f"{root}/base/{version}/pairs").groupBy("item_id")
-     .agg(F.sum("rating").alias("rating_sum"), F.count(F.lit(1)).alias("rating_count"))
-     .write.parquet(f"{root}/base/{version}/stats"))
-    spark.createDataFrame([(version, folded)], "version string, folded long").coalesce(
-        1).write.mode("overwrite").parquet(f"{root}/current")
-
-
-def _current(spark: SparkSession, root: str) -> tuple[str, int]:
-    row = spark.read.parquet(f"{root}/current").first()
-    return row["version"], row["folded"]
-
-
-def _since(spark: SparkSession, root: str, table: str, schema: str, folded: int,
-           before: int | None = None) -> DataFrame:
-    """Rows of committed batches after the fold (and before a batch)."""
-    done = _read(spark, f"{root}/commits", "n long" + BATCH).select("batch_id")
-    t = _read(spark, f"{root}/{table}", schema + BATCH).filter(F.col("batch_id") > folded)
-    if before is not None:
-        t = t.filter(F.col("batch_id") < before)
-    return t.join(done, "batch_id", "left_semi").drop("batch_id")
-
-
-def apply_batch(events: DataFrame, batch_id: int, root: str) -> None:
-    """Apply one micro-batch of rating events to the store; may be repeated."""
-    spark = events.sparkSession
-    version, folded = _current(spark, root)
-    win = F.struct("ts", "seq", "rating")
-    ev = valid_ratings(stamped(events)).withColumnRenamed("event_id", "seq")
-    latest = (ev.groupBy(*KEYS).agg(F.max(win).alias("w"))
-              .select(*KEYS, "w.rating", "w.ts", "w.seq"))
-    path = f"{root}/log/batch_id={batch_id}"
-    latest.write.mode("overwrite").parquet(path)
-    latest = spark.read.schema(PAIR).parquet(path)
-    stored = spark.read.schema(PAIR).parquet(f"{root}/base/{version}/pairs").unionByName(
-        _since(spark, root, "log", PAIR, folded, batch_id))
-    old = (stored.join(latest.select(*KEYS), KEYS, "left_semi")
-           .groupBy(*KEYS).agg(F.max(win).alias("old")))
-    changed = latest.withColumn("new", win).join(old, KEYS, "left").filter(
-        F.col("old").isNull() | (F.struct("new.ts", "new.seq")
-                                 > F.struct("old.ts", "old.seq")))
-    (changed.groupBy("item_id").agg(
-        F.sum(F.col("new.rating") - F.coalesce("old.rating", F.lit(0.0))).alias("rating_sum"),
-        F.sum(F.col("old").isNull().cast("long")).alias("rating_count"))
-     .write.mode("overwrite").parquet(f"{root}/delta/batch_id={batch_id}"))
-    spark.createDataFrame([(1,)], "n long").coalesce(1).write.mode("overwrite").parquet(
-        f"{root}/commits/batch_id={batch_id}")
-
-
-def run(events: DataFrame, root: str, checkpoint_location: str, available_now: bool = True,
-        processing_time: str | None = None):
-    """Start the query that applies a stream of rating events (``event_id, user_id,
-    item_id, rating, ts``); with ``available_now`` it processes what is there and stops
-    (the call waits for it).  Returns the query handle."""
-    w = (events.writeStream.foreachBatch(lambda df, n: apply_batch(df, n, root))
-         .option("checkpointLocation", checkpoint_location))
+from rankfold.session import ship_package
+
+EVENT = "user_id long, item_id long, rating double, ts timestamp_ntz, seq long"
+VALUE = "rating double, ts timestamp_ntz, seq long"
+DELTA = "item_id long, rating_sum double, rating_count long"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# operators of the query as Spark numbers them, from the sink
+ITEMS, PAIRS = 0, 1
+
+
+class LatestRating(StatefulProcessor):
+    """Latest rating of a (user, item) pair; emits what a later one changes of its item."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.latest = handle.getValueState("latest", VALUE)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        ts, seq, rating = max((r.ts, r.seq, r.rating) for r in rows)
+        old = self.latest.get()
+        if old is None or (ts, seq) > (old[1], old[2]):
+            self.latest.update((rating, ts, seq))
+            yield Row(item_id=key[1], rating_sum=rating - (old[0] if old else 0.0),
+                      rating_count=0 if old else 1)
+
+    def close(self) -> None:
+        pass
+
+
+def _use_rocksdb(spark: SparkSession) -> None:
+    """transformWithState needs this state store."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
+
+def rating_stream(events: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """Valid rating events (``event_id, user_id, item_id, rating, ts``), after the rows of
+    ``stored``, a stream of the ratings store."""
+    rows = valid_ratings(stamped(events)).withColumn("seq", F.coalesce(
+        F.col("event_id").cast("long"), F.lit(0).cast("long")))
+    columns = ["user_id", "item_id", "rating", "ts", "seq"]
+    rows = rows.select(*columns)
+    if stored is None:
+        return rows
+    return stored.select(*[F.col(c).cast(t).alias(c) for c, t in (
+        x.split(" ") for x in EVENT.split(", "))]).unionByName(rows)
+
+
+def item_deltas(ratings: DataFrame) -> DataFrame:
+    """What each later rating of a pair changes in its item's rating sum and count."""
+    ship_package(ratings.sparkSession)
+    _use_rocksdb(ratings.sparkSession)
+    return ratings.groupBy("user_id", "item_id").transformWithState(
+        LatestRating(), DELTA, "update", "None")
+
+
+def item_sums(ratings: DataFrame) -> DataFrame:
+    """Rating sum and count of the items whose ratings changed (for update mode)."""
+    return item_deltas(ratings).groupBy("item_id").agg(
+        F.sum("rating_sum").alias("rating_sum"),
+        # a pair counts when it is new
+        F.count(F.when(F.col("rating_count") == 1, 1)).alias("rating_count"))
+
+
+def run(events: DataFrame, checkpoint: str, stored: DataFrame | None = None,
+        available_now: bool = True, processing_time: str | None = None, sink=None):
+    """Start the query over a stream of rating events; with ``available_now`` it processes
+    what is there and stops (the call waits for it).  ``sink(writer)`` may choose a sink for
+    the item sums that change; without one they are only kept as state.  Returns the query."""
+    w = item_sums(rating_stream(events, stored)).writeStream.outputMode("update")
+    w = (sink(w) if sink else w.format("noop")).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(
         processingTime=processing_time or "10 seconds")
     q = w.start()
@@ -116,36 +107,28 @@ def run(events: DataFrame, root: str, checkpoint_location: str, available_now: b
     return q
 
 
-def live_stats(spark: SparkSession, root: str) -> DataFrame:
-    """``item_id, avg_rating, rating_count`` over stored ratings and committed events."""
-    version, folded = _current(spark, root)
-    kind = "item_id long, rating_sum double, rating_count long"
-    both = spark.read.schema(kind).parquet(f"{root}/base/{version}/stats").unionByName(
-        _since(spark, root, "delta", kind, folded))
-    s = both.groupBy("item_id").agg(F.sum("rating_sum").alias("s"),
-                                    F.sum("rating_count").alias("rating_count"))
-    return s.filter("rating_count > 0").select(
-        "item_id", (F.col("s") / F.col("rating_count")).alias("avg_rating"), "rating_count")
+def _state(spark: SparkSession, checkpoint: str, operator: int, **options) -> DataFrame:
+    _use_rocksdb(spark)
+    return (spark.read.format("statestore").option("operatorId", operator)
+            .options(**options).load(checkpoint))
 
 
-def live_ratings(spark: SparkSession, root: str) -> DataFrame:
-    """The current rating of every pair."""
-    version, folded = _current(spark, root)
-    rows = spark.read.schema(PAIR).parquet(f"{root}/base/{version}/pairs").unionByName(
-        _since(spark, root, "log", PAIR, folded))
-    return keep_last(rows, order=("ts", "seq", "rating"))
+def live_ratings(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The current rating of every pair, from the state."""
+    return _state(spark, checkpoint, PAIRS, stateVarName="latest").select(
+        "key.user_id", "key.item_id", "value.rating", "value.ts", "value.seq")
 
 
-def live_popular(spark: SparkSession, root: str, movies: DataFrame,
-                 k: int = config.POPULAR_N, min_count: int = 0) -> DataFrame:
-    """The popularity list by live statistics."""
-    cat = movies.select("item_id", "title").join(live_stats(spark, root), "item_id")
-    return popular_items(cat, k, min_count)
+def live_stats(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """``item_id, avg_rating, rating_count``, from the state."""
+    # the state names its columns after the aggregates
+    return _state(spark, checkpoint, ITEMS).select(
+        "key.item_id", (F.col("value.sum") / F.col("value.count")).alias("avg_rating"),
+        F.col("value.count").alias("rating_count"))
 
 
-def compact(spark: SparkSession, root: str) -> None:
-    """Fold the committed batches into a new base; readers switch by its pointer."""
-    last = _read(spark, f"{root}/commits", "n long" + BATCH).agg(
-        F.max("batch_id")).first()[0]
-    if last is not None:
-        _write_base(spark, live_ratings(spark, root), root, last)
+def live_popular(spark: SparkSession, checkpoint: str, movies: DataFrame,
+                 k: int = config.POPULAR_N, min_count: int = 0) -> DataFrame:
+    """The popularity list (``k`` rows) by the statistics in the state."""
+    cat = movies.select("item_id", "title").join(live_stats(spark, checkpoint), "item_id")
+    return popular_items(cat, k, min_count)

@@ -21,25 +21,37 @@ def _write(folder, name, rows):
     pq.write_table(t, os.path.join(folder, name))
 
 
+def _stream(spark, src):
+    return (spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", "1")
+            .parquet(src))
+
+
 def _store(spark, batches, base=None):
     src = tempfile.mkdtemp(prefix="rf-src-")
     for n, rows in enumerate(batches):
         _write(src, f"part-{n:03d}.parquet", rows)
-    stream = (spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", "1")
-              .parquet(src))
-    root = item_stats.open_store(
-        spark.createDataFrame(base or [], RATING_SCHEMA), scratch_path(spark, "t"))
-    item_stats.run(stream, root, scratch_path(spark, "t", "ck"))
-    return root
+    stored = None
+    if base:
+        path = scratch_path(spark, "t", "base")
+        spark.createDataFrame(base, RATING_SCHEMA).write.parquet(path)
+        stored = spark.readStream.schema(RATING_SCHEMA).parquet(path)
+    checkpoint = scratch_path(spark, "t", "ck")
+    item_stats.run(_stream(spark, src), checkpoint, stored)
+    return checkpoint
 
 
 def _run(spark, batches, base=None):
     return _stats(spark, _store(spark, batches, base))
 
 
-def _stats(spark, root):
+def _stats(spark, checkpoint):
     return {r.item_id: (round(r.avg_rating, 9), r.rating_count)
-            for r in item_stats.live_stats(spark, root).collect()}
+            for r in item_stats.live_stats(spark, checkpoint).collect()}
+
+
+def _ratings(spark, checkpoint):
+    return sorted(tuple(r) for r in item_stats.live_ratings(spark, checkpoint).select(
+        "user_id", "item_id", "rating").collect())
 
 
 def test_rerating_changes_average_not_count(spark):
@@ -97,33 +109,69 @@ def _mixed(seed):
     return events, base
 
 
-def test_live_ratings_equal_batch_upsert_before_and_after_compaction(spark):
+def test_state_equals_batch_upsert(spark):
     events, base = _mixed(7)
-    root = _store(spark, [events[n * 10:(n + 1) * 10] for n in range(4)], base)
+    checkpoint = _store(spark, [events[n * 10:(n + 1) * 10] for n in range(4)], base)
     want = merge.upsert(spark.createDataFrame(base, RATING_SCHEMA),
                         spark.createDataFrame(events, EVENT_SCHEMA))
-    pairs = sorted(tuple(r) for r in want.select("user_id", "item_id", "rating").collect())
-    stats = {r.item_id: (round(r.avg_rating, 9), r.rating_count)
-             for r in catalogue.movie_stats(want).collect()}
-    for _ in range(2):
-        got = item_stats.live_ratings(spark, root).select("user_id", "item_id", "rating")
-        assert sorted(tuple(r) for r in got.collect()) == pairs
-        assert _stats(spark, root) == stats
-        item_stats.compact(spark, root)
+    assert _ratings(spark, checkpoint) == sorted(
+        tuple(r) for r in want.select("user_id", "item_id", "rating").collect())
+    assert _stats(spark, checkpoint) == {
+        r.item_id: (round(r.avg_rating, 9), r.rating_count)
+        for r in catalogue.movie_stats(want).collect()}
 
 
-def test_replayed_and_half_written_batches_do_not_count_twice(spark):
+def test_late_and_replayed_events_change_nothing(spark):
     events, base = _mixed(8)
-    root = _store(spark, [events[:20], events[20:]], base)
-    before = _stats(spark, root)
-    batch = spark.createDataFrame(events[20:], EVENT_SCHEMA)
-    item_stats.apply_batch(batch, 1, root)  # the same batch again
-    assert _stats(spark, root) == before
-    batch.limit(0).selectExpr("item_id", "cast(1 as double) rating_sum",
-                              "cast(1 as long) rating_count").write.parquet(f"{root}/delta/batch_id=2")
-    spark.createDataFrame([(0, 99.0, 9)], "item_id long, rating_sum double, rating_count long"
-                          ).write.mode("overwrite").parquet(f"{root}/delta/batch_id=2")
-    assert _stats(spark, root) == before  # no commit, so the batch does not count
+    once = _store(spark, [events[:20], events[20:]], base)
+    again = _store(spark, [events[:20], events[20:], events, events[::-1]], base)
+    assert _stats(spark, again) == _stats(spark, once)
+    assert _ratings(spark, again) == _ratings(spark, once)
+
+
+def test_restart_from_the_checkpoint_goes_on_where_it_stopped(spark):
+    events, _ = _mixed(9)
+    src, checkpoint = tempfile.mkdtemp(prefix="rf-src-"), scratch_path(spark, "t", "ck")
+    _write(src, "part-000.parquet", events[:15])
+    item_stats.run(_stream(spark, src), checkpoint)
+    first = _ratings(spark, checkpoint)
+    q = item_stats.run(_stream(spark, src), checkpoint)  # nothing new
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 0
+    assert _ratings(spark, checkpoint) == first
+    _write(src, "part-001.parquet", events[15:])
+    q = item_stats.run(_stream(spark, src), checkpoint)
+    assert sum(p["numInputRows"] for p in q.recentProgress) == len(events) - 15
+    whole = _store(spark, [events])
+    assert _ratings(spark, checkpoint) == _ratings(spark, whole) != first
+    assert _stats(spark, checkpoint) == _stats(spark, whole)
+
+
+def test_deltas_take_the_old_value_out_and_the_new_one_in(spark):
+    src, checkpoint = tempfile.mkdtemp(prefix="rf-src-"), scratch_path(spark, "t", "ck")
+    for n, rows in enumerate([[(1, 1, 7, 4.0, ts(0)), (2, 2, 8, 2.0, ts(0))],
+                              [(3, 1, 7, 1.5, ts(2)), (4, 2, 8, 5.0, ts(-1))]]):
+        _write(src, f"part-{n:03d}.parquet", rows)
+    out = scratch_path(spark, "t", "deltas")
+    w = item_stats.item_deltas(item_stats.rating_stream(_stream(spark, src))).writeStream
+    w.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(
+        lambda df, n: df.write.parquet(f"{out}/n={n}")).trigger(availableNow=True).start(
+        ).awaitTermination()
+    got = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    assert got == [(7, -2.5, 0, 1), (7, 4.0, 1, 0), (8, 2.0, 1, 0)]
+
+
+def test_changed_sums_reach_a_sink(spark):
+    src, out = tempfile.mkdtemp(prefix="rf-src-"), []
+    _write(src, "part-000.parquet", [(1, 1, 7, 4.0, ts(0)), (2, 2, 7, 2.0, ts(0))])
+    item_stats.run(_stream(spark, src), scratch_path(spark, "t", "ck"), sink=lambda w: (
+        w.foreachBatch(lambda df, n: out.extend(tuple(r) for r in df.collect()))))
+    assert out == [(7, 6.0, 2)]
+
+
+def test_events_of_a_batch_without_a_time_take_the_batchs(spark):
+    checkpoint = _store(spark, [[(1, 1, 7, 4.0, None)]], [(1, 7, 5.0, ts(0), 1)])
+    row = item_stats.live_ratings(spark, checkpoint).first()
+    assert row.rating == 4.0 and row.ts > ts(0)
 
 
 def test_live_popularity(spark):
