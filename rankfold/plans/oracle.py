@@ -72,29 +72,44 @@ def _similar(vectors: str) -> str:
       QUALIFY rank <= 5"""
 
 
-def _half_step(rows: str, side: str, other: str, fixed: str) -> str:
+def _solved(rows: str) -> str:
+    """``step, id, n, f1..`` that solve the normal equations of every ``me`` of ``rows``
+    (``step, me, y, f1..``)."""
     r = range(1, RANK + 1)
-    sums = [f"sum(x.f[{i}] * x.f[{j}])" + (f" + {REG} * count(*)" if i == j else "")
+    sums = [f"sum(f{i} * f{j})" + (f" + {REG} * count(*)" if i == j else "")
             + f" AS a{i}_{j}" for i in r for j in r if i <= j]
-    sums += [f"sum(x.f[{i}] * r.y) AS c{i}" for i in r]
-    q = (f"SELECT r.{side}, count(*) AS n, {', '.join(sums)} FROM {rows} r "
-         f"JOIN {fixed} x USING ({other}) GROUP BY r.{side}")
+    sums += [f"sum(f{i} * y) AS c{i}" for i in r]
+    q = f"SELECT step, me, count(*) AS n, {', '.join(sums)} FROM ({rows}) GROUP BY step, me"
     for k in r[:-1]:
         cols = [f"a{i}_{j}" for i in r for j in r if i <= min(j, k)]
         cols += [f"c{i}" for i in r if i <= k]
         cols += [f"a{i}_{j} - a{k}_{i} * a{k}_{j} / a{k}_{k} AS a{i}_{j}"
                  for i in r for j in r if k < i <= j]
         cols += [f"c{i} - a{k}_{i} * c{k} / a{k}_{k} AS c{i}" for i in r if i > k]
-        q = f"SELECT {side}, n, {', '.join(cols)} FROM ({q})"
+        q = f"SELECT step, me, n, {', '.join(cols)} FROM ({q})"
     for k in reversed(r):
         known = "".join(f" - a{k}_{j} * x{j}" for j in r if j > k)
         q = f"SELECT *, (c{k}{known}) / a{k}_{k} AS x{k} FROM ({q})"
-    return f"SELECT {side}, n, [{', '.join(f'x{k}' for k in r)}] AS f FROM ({q})"
+    return f"SELECT step, me, n, {', '.join(f'x{k} AS f{k}' for k in r)} FROM ({q})"
+
+
+def _training(prefix: str, iters: int) -> str:
+    """All half steps as one recursive table: step 0 are the items' start factors, odd steps
+    users, even ones items, each from the step before."""
+    f = ", ".join(f"f{k}" for k in range(1, RANK + 1))
+    rows = f"""SELECT m.step + 1 AS step, e.me, e.y, {f} FROM {prefix}als{iters} m
+        JOIN {prefix}edges e ON e.other = m.me AND e.side = m.step % 2
+        WHERE m.step < {2 * iters}"""
+    return (f"SELECT CAST(0 AS BIGINT) AS step, item_id AS me, CAST(0 AS BIGINT) AS n, {_start()} "
+            f"FROM {prefix}ib UNION ALL {_solved(rows)}")
 
 
 def _start() -> str:
     return ", ".join(f"{'cos' if k % 2 else 'sin'}(CAST(item_id AS DOUBLE) * {(17 + 6 * k) / 10}"
-                     f" + {(3 + 6 * k) / 10}) * 0.1" for k in range(RANK))
+                     f" + {(3 + 6 * k) / 10}) * 0.1 AS f{k + 1}" for k in range(RANK))
+
+
+_LIST = "[" + ", ".join(f"f{k}" for k in range(1, RANK + 1)) + "] AS f"
 
 
 def _model_ctes(prefix: str, ratings: str, iters: int = ITERS) -> dict:
@@ -114,16 +129,14 @@ def _model_ctes(prefix: str, ratings: str, iters: int = ITERS) -> dict:
         f"{p}res": f"""SELECT t.user_id, t.item_id, t.rating, u.b_u, i.b_i,
               t.rating - (SELECT mu FROM {p}mu) - u.b_u - i.b_i AS y
             FROM {p}train t JOIN {p}ub u USING (user_id) JOIN {p}ib i USING (item_id)""",
-        f"{p}q0": f"SELECT item_id, [{_start()}] AS f FROM {p}ib",
+        f"{p}edges": f"""SELECT 0 AS side, user_id AS me, item_id AS other, y FROM {p}res
+            UNION ALL SELECT 1, item_id, user_id, y FROM {p}res""",
+        f"{p}q0": f"SELECT item_id, {_LIST} FROM (SELECT item_id, {_start()} FROM {p}ib)",
     }
-    prev_q = f"{p}q0"
-    for it in range(1, iters + 1):
-        for side, other, fixed in (("user_id", "item_id", prev_q),
-                                   ("item_id", "user_id", f"{p}p{it}")):
-            name = f"{p}{'p' if side == 'user_id' else 'q'}{it}"
-            c[name] = _half_step(f"{p}res", side, other, fixed)
-            _KNOWN[name] = [f"{p}res", fixed]
-        prev_q = f"{p}q{it}"
+    for n in {1, iters}:
+        c[f"{p}als{n}"] = _training(p, n)
+        c[f"{p}p{n}"] = f"SELECT me AS user_id, n, {_LIST} FROM {p}als{n} WHERE step = {2 * n - 1}"
+        c[f"{p}q{n}"] = f"SELECT me AS item_id, n, {_LIST} FROM {p}als{n} WHERE step = {2 * n}"
     c[f"{p}ufac"] = f"""SELECT u.user_id, u.b_u AS bias, u.n, p.f FROM {p}ub u
         JOIN {p}p{iters} p USING (user_id)"""
     c[f"{p}ifac"] = f"""SELECT i.item_id, i.b_i AS bias, i.n, q.f FROM {p}ib i
@@ -137,7 +150,6 @@ def _model_ctes(prefix: str, ratings: str, iters: int = ITERS) -> dict:
     return c
 
 
-_KNOWN: dict[str, list[str]] = {}
 MODEL = _model_ctes("", "merged")
 FBMODEL = _model_ctes("fb_", "fbmerged")
 
@@ -152,7 +164,7 @@ def _names(text: str) -> list[str]:
 
 @lru_cache(None)
 def _needs(name: str) -> tuple[str, ...]:
-    return tuple(_KNOWN.get(name) or [n for n in _names(_ALL[name]) if n != name])
+    return tuple(n for n in _names(_ALL[name]) if n != name)
 
 
 def _deps(name: str, seen: list) -> None:
@@ -162,28 +174,30 @@ def _deps(name: str, seen: list) -> None:
         seen.append(name)
 
 
-def sql(final: str, *ctes: str) -> str:
+def sql(final: str) -> str:
     order: list = []
-    for name in [*_names(final), *ctes]:
+    for name in _names(final):
         _deps(name, order)
     if not order:
         return final
-    kind = {n: " AS MATERIALIZED " for n in order if n in _KNOWN or n.endswith(("res", "fac"))}
-    return "WITH " + ",\n".join(f"{n}{kind.get(n, ' AS ')}({_ALL[n]})" for n in order) + "\n" + final
+    kept = ("res", "fac", "edges", "merged", "cat")
+    trained = [n for n in order if re.search(r"als\d+$", n)]
+    kind = {n: " AS MATERIALIZED " for n in order if n.endswith(kept)}
+    return (f"WITH {'RECURSIVE ' if trained else ''}"
+            + ",\n".join(f"{n}{kind.get(n, ' AS ')}({_ALL[n]})" for n in order) + "\n" + final)
 
 
 def _hist() -> str:
-    parts = []
-    for it in range(1, ITERS + 1):
-        parts.append(f"""SELECT CAST({it} AS INTEGER) AS iteration,
-            round(sqrt(avg(pow(r.rating - greatest(0.5, least(5.0,
-              (SELECT mu FROM mu) + r.b_u + r.b_i + (list_dot_product(p.f, q.f)))), 2))), 6)
-              AS train_rmse,
-            round(sum(pow(r.y - (list_dot_product(p.f, q.f)), 2)
-              + {REG} * (list_dot_product(p.f, p.f) + list_dot_product(q.f, q.f))), 4)
-              AS objective
-          FROM res r JOIN p{it} p USING (user_id) JOIN q{it} q USING (item_id)""")
-    return "\nUNION ALL\n".join(parts)
+    k = range(1, RANK + 1)
+    dot = " + ".join(f"p.f{i} * q.f{i}" for i in k)
+    square = " + ".join(f"p.f{i} * p.f{i} + q.f{i} * q.f{i}" for i in k)
+    return f"""SELECT CAST(q.step // 2 AS INTEGER) AS iteration,
+          round(sqrt(avg(pow(r.rating - greatest(0.5, least(5.0,
+            (SELECT mu FROM mu) + r.b_u + r.b_i + ({dot}))), 2))), 6) AS train_rmse,
+          round(sum(pow(r.y - ({dot}), 2) + {REG} * ({square})), 4) AS objective
+        FROM res r JOIN als{ITERS} p ON p.me = r.user_id AND p.step % 2 = 1
+          JOIN als{ITERS} q ON q.me = r.item_id AND q.step = p.step + 1
+        GROUP BY q.step"""
 
 
 def _factors(alias: str = "f") -> str:
@@ -234,8 +248,7 @@ def oracle_sql() -> dict[str, str]:
     "als_item_half_step": sql(f"SELECT item_id, n, {_factors()} FROM q1"),
     "als_fit": sql(f"""SELECT item_id, round(b_i, 6) AS bias, n, CAST({RANK} AS INTEGER) AS rank,
         true AS solved FROM ib"""),
-    "als_training_history": sql(_hist(), *[f"{s}{i}" for i in range(1, ITERS + 1)
-                                           for s in ("p", "q")]),
+    "als_training_history": sql(_hist()),
     "model_reload": sql(f"""SELECT item_id, round(bias, 6) AS bias, n, {_factors()}
         FROM ifac"""),
     "predict_pairs": sql("""SELECT h.user_id, h.item_id, round(raw, 6) AS raw,
