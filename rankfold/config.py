@@ -33,9 +33,16 @@ PRIORITY_STREAM = 2
 # partial normal equations are summed before the solve.
 MAX_ROWS_PER_SOLVE_GROUP = 200_000
 
-# Rows of a query block and of an item block of the scorer: what one task holds.
+# Queries and items that are scored against each other at once.
 QUERY_BLOCK = 4096
-ITEM_BLOCK = 32768
+ITEM_BLOCK = 4096
+
+# Largest part of the item factors, in bytes, that is broadcast to score users by.
+ITEM_PART_BYTES = 128 * 1024 * 1024
+
+# Nearest neighbours: most pivots, and rows that a pivot's cell should have.
+MAX_PIVOTS = 1024
+CELL_ROWS = 1024
 
 # Upper bound, in bytes, for broadcasting the fixed factor table in a
 # least-squares half step (above it the rows are shuffled to the factors).
