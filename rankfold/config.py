@@ -33,6 +33,11 @@ PRIORITY_STREAM = 2
 # partial normal equations are summed before the solve.
 MAX_ROWS_PER_SOLVE_GROUP = 200_000
 
+# Ratings in a block of the routing tables, which is what one task of a routed half step
+# holds, and rows whose normal equations it forms at once.
+ROUTING_BLOCK_ROWS = 500_000
+ROUTING_STEP_ROWS = 10_000
+
 # Queries and items that are scored against each other at once.
 QUERY_BLOCK = 4096
 ITEM_BLOCK = 4096

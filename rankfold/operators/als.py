@@ -22,9 +22,11 @@ Two solvers reach the same objective:
 from __future__ import annotations
 
 import time
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -176,6 +178,89 @@ def layout(rows: DataFrame, side: str, max_rows: int = config.MAX_ROWS_PER_SOLVE
             .repartition(me, "_salt").sortWithinPartitions(me, "_salt"))
 
 
+@dataclass
+class Routing:
+    """Ratings of one side in blocks, and which block needs which factor.
+
+    ``ratings`` has the rows of every entity (and salt) in one block, partitioned by block;
+    ``routes`` has each pair (other entity, block) once.  Both are written once per fit.
+    """
+
+    ratings: DataFrame
+    routes: DataFrame
+
+
+def _partitioned_checkpoint(df: DataFrame) -> DataFrame:
+    """A checkpoint that still says how its rows are partitioned; a plan that adapts while
+    it runs does not promise that."""
+    conf, key = df.sparkSession.conf, "spark.sql.adaptive.enabled"
+    before = conf.get(key)
+    conf.set(key, "false")
+    try:
+        return df.select("*").checkpoint(eager=True)  # planned anew, under this setting
+    finally:
+        conf.set(key, before)
+
+
+def routing(rows: DataFrame, side: str, max_rows: int = config.MAX_ROWS_PER_SOLVE_GROUP,
+            block_rows: int = config.ROUTING_BLOCK_ROWS) -> Routing:
+    """The routing tables of one side, for factors too large to broadcast.
+
+    A half step then sends a factor once to every block that holds ratings of it, however
+    many those are; the ratings stay where they are.
+    """
+    me, other, ncol = SIDES[side]
+    blocks = max(1, -(-rows.count() // block_rows))
+    ns = F.greatest(F.lit(1), F.ceil(F.col(ncol) / F.lit(max_rows))).cast("long")
+    ratings = (rows.select(me, other, "y", ncol).withColumn("_ns", ns)
+               .withColumn("_salt", F.pmod(F.xxhash64(other), F.col("_ns")))
+               .withColumn("_block", F.pmod(F.xxhash64(me, "_salt"), F.lit(blocks)).cast("int"))
+               .select("_block", me, other, "_salt", "_ns", "y")
+               .repartition("_block"))
+    ratings = _partitioned_checkpoint(ratings)
+    routes = ratings.select(F.col("_block").alias("_block"), F.col(other).alias(other)).distinct()
+    return Routing(ratings, _checkpoint(routes))
+
+
+def routed_factors(fixed: DataFrame, r: Routing, other: str) -> DataFrame:
+    """``_block, other, factors``: every factor once for each block that needs it."""
+    fx = fixed.select(F.col(fixed.columns[0]).alias(other), "factors")
+    return r.routes.join(fx, other).select("_block", other, "factors")
+
+
+def _routed_stage(r: Routing, fixed: DataFrame, side: str, rank: int, reg: float,
+                  solve: bool) -> DataFrame:
+    me, other, _ = SIDES[side]
+    ship_package(fixed.sparkSession)
+    reduce, step = _group_reduce(me, rank, reg, solve), config.ROUTING_STEP_ROWS
+    schema = _STAGE_SCHEMA.format(me=me)
+    kinds = pa.schema([(me, pa.int64()), ("_salt", pa.int64()), ("_ns", pa.int64()),
+                       ("kind", pa.int32()), ("n", pa.int64()),
+                       *[(c, pa.list_(pa.float64())) for c in ("xtx", "xty", "factors")]])
+
+    def block(ratings: pa.Table, vectors: pa.Table) -> pa.Table:
+        if not ratings.num_rows or not vectors.num_rows:
+            return kinds.empty_table()
+        vectors = vectors.sort_by(other)
+        known = vectors[other].to_numpy()
+        x = vectors["factors"].combine_chunks().flatten().to_numpy().reshape(len(known), -1)
+        ratings = ratings.sort_by([(me, "ascending"), ("_salt", "ascending")])
+        at = np.minimum(np.searchsorted(known, ratings[other].to_numpy()), len(known) - 1)
+        ratings = ratings.append_column("_at", pa.array(at)).filter(
+            pa.array(known[at] == ratings[other].to_numpy()))
+
+        def parts():
+            for i in range(0, ratings.num_rows, step):
+                part = ratings.slice(i, step).to_pandas()
+                yield part.assign(factors=list(x[part["_at"].to_numpy()]))
+        out = [pa.Table.from_pandas(f[kinds.names], kinds, preserve_index=False)
+               for f in reduce(parts())]
+        return pa.concat_tables(out) if out else kinds.empty_table()
+    vectors = routed_factors(fixed, r, other)
+    return r.ratings.groupBy("_block").cogroup(vectors.groupBy("_block")).applyInArrow(
+        block, schema)
+
+
 def factor_bytes(n: int, rank: int) -> int:
     return n * (8 * rank + 48)
 
@@ -229,20 +314,22 @@ def normal_equations(rows: DataFrame, fixed: DataFrame, side: str, rank: int,
 def half_step(rows: DataFrame, fixed: DataFrame, side: str, rank: int,
               reg: float = config.REG,
               max_rows: int = config.MAX_ROWS_PER_SOLVE_GROUP,
-              laid_out: DataFrame | None = None) -> DataFrame:
+              laid_out: "DataFrame | Routing | None" = None) -> DataFrame:
     """Solve ``(X^T X + reg * n * I) f = X^T y`` for every entity of ``side``.
 
     Returns ``(<side>_id, n, factors)``.  Entities with one salt are solved
     inside the sorted reduce; split (hot) entities have their partial sums
-    added per entity and are solved there.  ``laid_out`` (from ``layout``,
-    only when the fixed factors passed a broadcast size check) skips the
-    shuffle of the rating rows.
+    added per entity and are solved there.  ``laid_out`` skips the shuffle of the
+    rating rows: from ``layout``, only when the fixed factors passed a broadcast size
+    check, or from ``routing``, whatever their size.
     """
     if reg <= 0:
         raise ValueError("reg must be positive (the system is then positive definite)")
     me = SIDES[side][0]
     # written once: both branches below read it, and a lost executor cannot undo it
-    st = _stage(rows, fixed, side, rank, reg, True, max_rows, laid_out).checkpoint(eager=True)
+    st = (_routed_stage(laid_out, fixed, side, rank, reg, True)
+          if isinstance(laid_out, Routing) else
+          _stage(rows, fixed, side, rank, reg, True, max_rows, laid_out)).checkpoint(eager=True)
     done = st.filter("kind = 0").select(me, "n", "factors")
     hot = (st.filter("kind = 1").select(me, "n", "xtx", "xty")
            .groupBy(me).applyInPandas(_sum_partials(me, rank, reg),
@@ -316,13 +403,12 @@ def fit_exact(train: DataFrame, rank: int = config.RANK,
     ib = _checkpoint(bias_ops.item_bias(train, mu, ub, bias_reg))
     rows = _checkpoint(bias_ops.residuals(train, mu, ub, ib))
     q = _checkpoint(init_factors(ib.select("item_id"), "item_id", rank))
-    # in-place layouts when the other side's factors pass the broadcast bound
+    # in-place layouts: factors come by broadcast if they pass its bound, else by routing
     n_users, n_items = ub.count(), ib.count()
     lim = config.MAX_FACTOR_BROADCAST_BYTES
-    by_user = (_checkpoint(layout(rows, "user", max_rows))
-               if factor_bytes(n_items, rank) <= lim else None)
-    by_item = (_checkpoint(layout(rows, "item", max_rows))
-               if factor_bytes(n_users, rank) <= lim else None)
+    small = {"user": factor_bytes(n_items, rank) <= lim, "item": factor_bytes(n_users, rank) <= lim}
+    by_user, by_item = (_checkpoint(layout(rows, side, max_rows)) if small[side]
+                        else routing(rows, side, max_rows) for side in ("user", "item"))
     hist = []
     p = None
     for it in range(1, iterations + 1):
@@ -332,8 +418,9 @@ def fit_exact(train: DataFrame, rank: int = config.RANK,
         q = _checkpoint(half_step(rows, p, "item", rank, reg, max_rows, by_item)
                         .select("item_id", "factors"))
         if history:
+            # the bound holds for both tables together
             m = train_metrics(rows, mu, p, q, reg,
-                              by_user is not None and by_item is not None).first()
+                              factor_bytes(n_users + n_items, rank) <= lim).first()
             hist.append((it, float(m["train_rmse"]), float(m["objective"]),
                          round(time.time() - t0, 3)))
     uf = ub.join(p, "user_id").select("user_id", "bias", "n", "factors")

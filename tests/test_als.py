@@ -49,6 +49,57 @@ def test_half_step_matches_numpy_and_salting_is_exact(spark, max_rows):
         np.testing.assert_allclose(got[k], want[k], rtol=1e-9, atol=1e-12)
 
 
+@pytest.mark.parametrize("max_rows", [200_000, 5])
+@pytest.mark.parametrize("side", ["user", "item"])
+def test_routed_half_step_equals_the_shuffled_one(spark, side, max_rows):
+    tr = _synthetic(spark, n=900)
+    _, ub, ib, rows = _residual_rows(tr)
+    me, other = als.SIDES[side][:2]
+    ids = ib if side == "user" else ub
+    fixed = als.init_factors(ids.select(other), other, 3)
+    want = {r[me]: (r.n, np.array(r.factors)) for r in als.half_step(
+        rows, fixed, side, 3, 0.1, max_rows=max_rows).collect()}
+    r = als.routing(rows, side, max_rows, block_rows=200)
+    assert r.ratings.select("_block").distinct().count() > 2
+    got = {x[me]: (x.n, np.array(x.factors)) for x in als.half_step(
+        rows, fixed, side, 3, 0.1, max_rows, r).collect()}
+    assert got.keys() == want.keys()
+    for k in want:
+        assert got[k][0] == want[k][0]
+        np.testing.assert_allclose(got[k][1], want[k][1], rtol=1e-9, atol=1e-12)
+
+
+def test_routing_sends_a_factor_once_per_block_and_no_ratings(spark):
+    tr = _synthetic(spark, users=60, items=12, n=700)
+    _, ub, ib, rows = _residual_rows(tr)
+    r = als.routing(rows, "user", block_rows=200)
+    pairs = r.ratings.select("_block", "item_id").distinct().count()
+    fixed = als.init_factors(ib.select("item_id"), "item_id", 3)
+    assert als.routed_factors(fixed, r, "item_id").count() == pairs == r.routes.count() < 60
+    stage = als._routed_stage(r, fixed, "user", 3, 0.1, True)
+    plan = stage._jdf.queryExecution().executedPlan().toString().split("\n")
+    # the ratings (the rows with y) are read in place: no exchange above their scan
+    scan = next(i for i, line in enumerate(plan) if "Scan" in line and " y#" in line.replace(",", " "))
+    depth = len(plan[scan]) - len(plan[scan].lstrip(" :+-"))
+    above = [line for line in plan[:scan]
+             if len(line) - len(line.lstrip(" :+-")) < depth and "Exchange" in line]
+    assert not above
+
+
+def test_fit_by_routing_equals_fit_by_broadcast(spark, monkeypatch):
+    tr = _synthetic(spark, n=500)
+    a = als.fit_exact(tr, rank=2, iterations=2)
+    monkeypatch.setattr(als.config, "MAX_FACTOR_BROADCAST_BYTES", 0)
+    b = als.fit_exact(tr, rank=2, iterations=2)
+    x = {r.item_id: np.array(r.factors) for r in a.item_factors.collect()}
+    y = {r.item_id: np.array(r.factors) for r in b.item_factors.collect()}
+    assert x.keys() == y.keys()
+    for k in x:
+        np.testing.assert_allclose(x[k], y[k], rtol=1e-8, atol=1e-10)
+    assert [r.train_rmse for r in a.history.collect()] == pytest.approx(
+        [r.train_rmse for r in b.history.collect()])
+
+
 def test_normal_equations_partials_sum(spark):
     tr = _synthetic(spark, n=300)
     _, _, ib, rows = _residual_rows(tr)
