@@ -33,6 +33,12 @@ PRIORITY_STREAM = 2
 # partial normal equations are summed before the solve.
 MAX_ROWS_PER_SOLVE_GROUP = 200_000
 
+# Longest list of ratings in one row of the interaction lists.
+LIST_ROWS = 32
+
+# Added to the diagonal of a singular system that has no regularisation.
+SINGULAR_REG = 0.01
+
 # Ratings in a block of the routing tables, which is what one task of a routed half step
 # holds, and rows whose normal equations it forms at once.
 ROUTING_BLOCK_ROWS = 500_000

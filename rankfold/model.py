@@ -4,7 +4,7 @@ A model is three tables: ``user_factors(user_id, bias, n, factors)``,
 ``item_factors(item_id, bias, n, factors)`` and a one-row ``meta`` table
 (mu, rank, reg, bias_reg, iterations, solver, trained_at, and the holdout
 metrics when known).  Saved models live in a version folder; a ``current``
-pointer table names the promoted version.
+pointer names the promoted one.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import datetime as _dt
 import os
 import uuid
 from dataclasses import dataclass
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -142,15 +143,44 @@ def retrain(base: DataFrame | None, feedback: DataFrame | None, out: str,
         "new_rmse double, old_mae double, new_mae double, promote boolean")
 
 
+# Pointers that stay after newer ones, for readers that list the folder meanwhile.
+POINTERS_KEPT = 10
+
+
+def _pointers(spark: SparkSession, root: str):
+    """File system, folder, and the pointers in it as (number, version, path), oldest first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(root, "current"))
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for status in fs.listStatus(folder) if fs.exists(folder) else []:
+        number, _, version = status.getPath().getName().partition("=")
+        if number.isdigit():
+            found.append((int(number), unquote(version), status.getPath()))
+    return fs, folder, sorted(found, key=lambda p: p[:2])
+
+
 def write_current_pointer(spark: SparkSession, root: str, version: str) -> None:
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode(
-        "overwrite").parquet(os.path.join(root, "current"))
+    """Make ``version`` the current one.
+
+    A pointer is an empty file whose name has a number and the version; the largest number
+    counts.  It comes into being by one rename, next to the pointers before it, of which the
+    last ones stay; so a reader finds the old version or the new one, never neither.
+    """
+    fs, folder, before = _pointers(spark, root)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    number = before[-1][0] + 1 if before else 0
+    fs.mkdirs(folder)
+    aside = path(folder, f".{uuid.uuid4().hex}")
+    fs.create(aside, True).close()
+    if not fs.rename(aside, path(folder, f"{number:012d}={quote(version, safe='')}")):
+        raise OSError(f"the pointer below {root} could not be moved")
+    for _, _, old in before[:-POINTERS_KEPT]:
+        fs.delete(old, False)
 
 
 def read_current_pointer(spark: SparkSession, root: str) -> str | None:
-    path = os.path.join(root, "current")
-    row = spark.read.parquet(path).first() if _exists(spark, path) else None
-    return row["version"] if row else None
+    found = _pointers(spark, root)[2]
+    return found[-1][1] if found else None
 
 
 def retrain_due(ratings: DataFrame, trained_at, min_new: int = 1000) -> DataFrame:

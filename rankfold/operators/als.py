@@ -75,13 +75,32 @@ def _unpack(tri_vals: np.ndarray, rank: int) -> np.ndarray:
 def _solve(xtx_tri: np.ndarray, xty: np.ndarray, n: np.ndarray, rank: int,
            reg: float) -> np.ndarray:
     a = _unpack(xtx_tri, rank)
-    # reg > 0 makes the systems positive definite, so only bad input can fail
     if not (np.isfinite(a).all() and np.isfinite(xty).all()):
         raise ValueError("non-finite ratings or factors")
+    if reg == 0:
+        return _solve_unregularised(a, xty)
+    # reg > 0 makes the systems positive definite, so only bad input can fail
     a[:, np.arange(rank), np.arange(rank)] += (reg * n)[:, None]
     return np.linalg.solve(a, xty[..., None])[..., 0]
 
 
+def deficient(a: np.ndarray) -> np.ndarray:
+    """Which of the symmetric systems ``a`` are singular to rounding, by their eigenvalues."""
+    e = np.linalg.eigvalsh(a)
+    return e[:, 0] <= np.finfo(float).eps * a.shape[1] * np.maximum(e[:, -1], 0)
+
+
+def _solve_unregularised(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Solutions of ``a x = b``; a singular system gets ``config.SINGULAR_REG`` on its diagonal,
+    and zeros if that does not give finite numbers.  The others are solved as they are."""
+    a, rank = a.copy(), a.shape[1]
+    weak = np.flatnonzero(deficient(a))
+    a[weak[:, None], np.arange(rank), np.arange(rank)] += config.SINGULAR_REG
+    x = np.linalg.solve(a, b[..., None])[..., 0]
+    x[~np.isfinite(x).all(1)] = 0.0
+    return x
+
+
 def _group_reduce(me: str, rank: int, reg: float, solve: bool):
     """mapInPandas function over rows sorted by (me, _salt) within a partition.
 
@@ -317,14 +336,17 @@ def half_step(rows: DataFrame, fixed: DataFrame, side: str, rank: int,
               laid_out: "DataFrame | Routing | None" = None) -> DataFrame:
     """Solve ``(X^T X + reg * n * I) f = X^T y`` for every entity of ``side``.
 
+    ``reg`` may be 0: entities whose system is singular (too few ratings for the rank) then
+    take the fallback of ``_solve_unregularised``, the others are solved as they are.
+
     Returns ``(<side>_id, n, factors)``.  Entities with one salt are solved
     inside the sorted reduce; split (hot) entities have their partial sums
     added per entity and are solved there.  ``laid_out`` skips the shuffle of the
     rating rows: from ``layout``, only when the fixed factors passed a broadcast size
     check, or from ``routing``, whatever their size.
     """
-    if reg <= 0:
-        raise ValueError("reg must be positive (the system is then positive definite)")
+    if reg < 0:
+        raise ValueError("reg must not be negative")
     me = SIDES[side][0]
     # written once: both branches below read it, and a lost executor cannot undo it
     st = (_routed_stage(laid_out, fixed, side, rank, reg, True)
@@ -337,6 +359,31 @@ def half_step(rows: DataFrame, fixed: DataFrame, side: str, rank: int,
     return done.unionByName(hot)
 
 
+def unregularised_check(equations: DataFrame, factors: DataFrame, side: str, rank: int
+                        ) -> DataFrame:
+    """Per entity of an unregularised half step: whether its system is singular, and the
+    largest error of the one that was solved (with the fallback's diagonal if singular).
+
+    ``equations`` comes from ``normal_equations``.  Output: ``<side>_id, n, deficient,
+    max_error``.
+    """
+    me = SIDES[side][0]
+    ship_package(equations.sparkSession)
+
+    def check(frames):
+        for f in frames:
+            if not len(f):
+                continue
+            a = _unpack(np.stack(f["xtx"].to_numpy()), rank)
+            weak = deficient(a)
+            x, b = np.stack(f["factors"].to_numpy()), np.stack(f["xty"].to_numpy())
+            error = np.einsum("gij,gj->gi", a, x) + config.SINGULAR_REG * weak[:, None] * x - b
+            yield pd.DataFrame({me: f[me], "n": f["n"], "deficient": weak,
+                                "max_error": np.abs(error).max(1)})
+    return equations.join(factors.select(me, "factors"), me).mapInPandas(
+        check, f"{me} long, n long, deficient boolean, max_error double")
+
+
 def optimality(rows: DataFrame, p: DataFrame, q: DataFrame, side: str, rank: int,
                reg: float = config.REG) -> DataFrame:
     """Per entity of ``side``: the largest error of its weighted normal equations.

@@ -4,8 +4,8 @@ Each query reads the given tables through ``sources.testdata`` (which only
 re-shapes them) and runs the library's operators on the whole tables.
 Numeric outputs are rounded (6 decimals; 4 where the reference prints 4) so
 that results compare across engines.  Models are trained at the reference's
-constants (rank 20, 20 iterations), once per data folder and session, and
-reused by the serving queries.
+constants (rank 20, 20 iterations), once per session and state of the data
+folder, and reused by the serving queries.
 """
 
 from __future__ import annotations
@@ -34,8 +34,17 @@ LOOKUP_ITEM = 42
 _MEMO: dict = {}
 
 
+def _stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the tables in a folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime())
+                        for f in found))
+
+
 def _memo(spark: SparkSession, sf_dir: str, name: str, fn):
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    """``fn()``, once per session as long as the tables stay as they are."""
+    key = (spark.sparkContext.applicationId, sf_dir, _stamp(spark, sf_dir), name)
     if key not in _MEMO:
         _MEMO[key] = fn()
     return _MEMO[key]
@@ -213,6 +222,27 @@ def q_als_item_half_step(spark, d):
     return q.select("item_id", "n", *_factors())
 
 
+def q_half_step_unregularised(spark, d):
+    """A user half step without regularisation: users with too few ratings for the rank have
+    singular systems, which take the fallback."""
+    rows, q0 = _rows_and_start(spark, d)
+    ne = als.normal_equations(rows, q0, "user", config.RANK)
+    p = als.half_step(rows, q0, "user", config.RANK, 0.0)
+    c = als.unregularised_check(ne, p, "user", config.RANK)
+    return c.select("user_id", "n", "deficient", (F.col("max_error") < 1e-6).alias("solved"))
+
+
+def q_interaction_lists(spark, d):
+    """The chunked lists of both sides, entry by entry."""
+    def side(name, other):
+        c = profile.interaction_lists(merged(spark, d), name)
+        return c.select(F.lit(name).alias("side"), F.col(f"{name}_id").alias("id"), "chunk", "n",
+                        F.posexplode("ratings").alias("place", "r")).select(
+            "side", "id", "chunk", "n", F.col("place").cast("long").alias("place"),
+            F.col(f"r.{other}").alias("other"), F.col("r.rating").alias("rating"))
+    return side("user", "item_id").unionByName(side("item", "user_id"))
+
+
 def q_als_training_history(spark, d):
     h = serving_model(spark, d).history
     return h.select("iteration", r6("train_rmse").alias("train_rmse"),
@@ -364,6 +394,15 @@ def q_movie_detail(spark, d):
                       "similar_id", "similar_title", r6("cosine").alias("cosine"))
 
 
+def q_movie_detail_nested(spark, d):
+    """The same as one answer per movie: its record and the array of similar records."""
+    sim = scoring.similar_items(feedback_model(spark, d).item_factors, config.SIMILAR_N)
+    rounded = movies_catalogue(spark, d).withColumn("avg_rating", r6("avg_rating"))
+    a = catalogue.movie_answer(rounded, sim.withColumn("cosine", r6("cosine")))
+    return a.select("item_id", F.to_json(F.struct("movie", "similar")).alias("answer"),
+                    F.size("similar").alias("n_similar"))
+
+
 def q_rating_upsert(spark, d):
     snap = merged(spark, d).select("user_id", "item_id", "rating", "ts", "seq")
     _, touched = catalogue.rating_upsert(snap, td.rating_events(spark, d),
@@ -466,6 +505,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normal_equations": q_normal_equations,
     "als_user_half_step": q_als_user_half_step,
     "als_item_half_step": q_als_item_half_step,
+    "half_step_unregularised": q_half_step_unregularised,
+    "interaction_lists": q_interaction_lists,
     "als_training_history": q_als_training_history,
     "als_fit": q_als_fit,
     "model_reload": q_model_reload,
@@ -487,6 +528,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "catalogue_card": q_catalogue_card,
     "my_ratings": q_my_ratings,
     "movie_detail": q_movie_detail,
+    "movie_detail_nested": q_movie_detail_nested,
     "rating_upsert": q_rating_upsert,
     "movie_stats_stream": q_movie_stats_stream,
     "ratings_snapshot_stream": q_ratings_snapshot_stream,

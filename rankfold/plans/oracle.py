@@ -180,6 +180,7 @@ def sql(final: str) -> str:
         _deps(name, order)
     if not order:
         return final
+    final = re.sub(r"^WITH ", ", ", final)  # tables of its own go on the list
     kept = ("res", "fac", "edges", "merged", "cat")
     trained = [n for n in order if re.search(r"als\d+$", n)]
     kind = {n: " AS MATERIALIZED " for n in order if n.endswith(kept)}
@@ -246,6 +247,15 @@ def oracle_sql() -> dict[str, str]:
         + " FROM res r JOIN q0 x USING (item_id) GROUP BY user_id"),
     "als_user_half_step": sql(f"SELECT user_id, n, {_factors()} FROM p1"),
     "als_item_half_step": sql(f"SELECT item_id, n, {_factors()} FROM q1"),
+    "half_step_unregularised": sql(f"""SELECT user_id, n, n < {RANK} AS deficient,
+        true AS solved FROM ub"""),
+    "interaction_lists": sql(" UNION ALL ".join(f"""SELECT '{s}' AS side, {me} AS id,
+        CAST((k - 1) // {config.LIST_ROWS} AS BIGINT) AS chunk, least({config.LIST_ROWS},
+          c - (k - 1) // {config.LIST_ROWS} * {config.LIST_ROWS}) AS n,
+        CAST((k - 1) % {config.LIST_ROWS} AS BIGINT) AS place, {other} AS other, rating
+        FROM (SELECT *, row_number() OVER (PARTITION BY {me} ORDER BY {other}) AS k,
+                count(*) OVER (PARTITION BY {me}) AS c FROM merged)""" for s, me, other in (
+                    ("user", "user_id", "item_id"), ("item", "item_id", "user_id")))),
     "als_fit": sql(f"""SELECT item_id, round(b_i, 6) AS bias, n, CAST({RANK} AS INTEGER) AS rank,
         true AS solved FROM ib"""),
     "als_training_history": sql(_hist()),
@@ -320,6 +330,17 @@ def oracle_sql() -> dict[str, str]:
         c2.title AS similar_title, round(s.cosine, 6) AS cosine
         FROM cat c LEFT JOIN (fb_sim s JOIN cat c2 ON c2.item_id = s.similar_id)
           ON s.item_id = c.item_id"""),
+    "movie_detail_nested": sql("""WITH r AS (SELECT item_id, title,
+          round(avg_rating, 6) AS avg_rating, rating_count FROM cat),
+        l AS (SELECT s.item_id, list({'rank': s.rank, 'item_id': r.item_id, 'title': r.title,
+            'avg_rating': r.avg_rating, 'rating_count': r.rating_count,
+            'cosine': round(s.cosine, 6)} ORDER BY s.rank) AS l
+          FROM fb_sim s JOIN r ON r.item_id = s.similar_id GROUP BY s.item_id)
+        SELECT r.item_id, CAST(to_json({'movie': {'item_id': r.item_id, 'title': r.title,
+            'avg_rating': r.avg_rating, 'rating_count': r.rating_count},
+            'similar': coalesce(l, [])}) AS VARCHAR) AS answer,
+          CAST(coalesce(len(l), 0) AS INTEGER) AS n_similar
+        FROM r LEFT JOIN l USING (item_id)"""),
     "catalogue_after": sql("""SELECT item_id, title, round(avg_rating, 6) AS avg_rating,
         rating_count FROM cat WHERE item_id > 59 ORDER BY item_id LIMIT 20"""),
     "movie_lookup": sql("""SELECT item_id, title, round(avg_rating, 6) AS avg_rating,

@@ -113,14 +113,6 @@ def test_normal_equations_partials_sum(spark):
         np.testing.assert_allclose(a[k][2], b[k][2], rtol=1e-12, atol=1e-15)
 
 
-def test_reg_must_be_positive(spark):
-    tr = _synthetic(spark, n=50)
-    _, _, ib, rows = _residual_rows(tr)
-    q0 = als.init_factors(ib.select("item_id"), "item_id", 2)
-    with pytest.raises(ValueError):
-        als.half_step(rows, q0, "user", 2, 0.0)
-
-
 def test_exact_objective_never_rises_and_beats_bias_only(spark):
     df = _synthetic(spark, seed=1)
     tr, ho = split.train_holdout(df, method="xxhash")
@@ -207,3 +199,27 @@ def test_laid_out_half_step_moves_no_rating_rows(spark):
     assert a.keys() == b.keys()
     for k in a:
         np.testing.assert_allclose(a[k], b[k], rtol=1e-12, atol=1e-15)
+
+
+def test_singular_systems_fall_back_and_others_do_not(spark):
+    """Without regularisation: plain solution where there is one, else 0.01 on the diagonal."""
+    tr = _synthetic(spark, users=40, items=30, n=220)
+    _, _, ib, rows = _residual_rows(tr)
+    q0 = als.init_factors(ib.select("item_id"), "item_id", 6)
+    fixed = {r.item_id: np.array(r.factors) for r in q0.collect()}
+    got = {r.user_id: np.array(r.factors)
+           for r in als.half_step(rows, q0, "user", 6, 0.0, max_rows=4).collect()}
+    weak = 0
+    for u, g in rows.toPandas().groupby("user_id"):
+        x = np.stack([fixed[i] for i in g["item_id"]])
+        short = np.linalg.matrix_rank(x) < 6
+        weak += short
+        a = x.T @ x + (0.01 * np.eye(6) if short else 0)
+        np.testing.assert_allclose(a @ got[u], x.T @ g["y"].to_numpy(), atol=1e-9)
+    assert 5 < weak < len(got)
+    zero = als._solve_unregularised(np.zeros((2, 3, 3)), np.zeros((2, 3)))
+    assert (zero == 0).all()
+    huge = als._solve_unregularised(np.array([np.eye(2) * 1e-320]), np.array([[1e300, 1.0]]))
+    assert np.isfinite(huge).all()
+    with pytest.raises(ValueError):
+        als.half_step(rows, q0, "user", 6, -0.1)

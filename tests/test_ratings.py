@@ -1,10 +1,12 @@
 """Validation, merge, split and bias operators on hand-made rows."""
 
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import EVENT_SCHEMA, RATING_SCHEMA, ts
-from rankfold.operators import bias, clean, merge, split
+from rankfold.operators import bias, clean, merge, profile, split
 
 
 def test_nulls_and_range_rejected(spark):
@@ -110,3 +112,48 @@ def test_late_event_does_not_replace_a_newer_row(spark):
     ev = spark.createDataFrame([(9, 1, 7, 1.0, ts(50)), (10, 2, 7, 2.0, ts(50))], EVENT_SCHEMA)
     got = {(r.user_id, r.rating) for r in merge.upsert(snap, ev).collect()}
     assert got == {(1, 4.0), (2, 2.0)}
+
+
+@pytest.mark.parametrize("side,other", [("user", "item_id"), ("item", "user_id")])
+def test_interaction_lists_are_bounded_whoever_is_hot(spark, side, other):
+    """One user with most rows, spread over partitions; every array at most as long as asked."""
+    rows = [(1, i, float(1 + i % 5)) for i in range(500)]
+    rows += [(u, u * 3 % 40, 2.0) for u in range(2, 90)] + [(None, 5, 1.0), (3, None, 4.0)]
+    df = spark.createDataFrame(rows, "user_id long, item_id long, rating double").repartition(7)
+    got = profile.interaction_lists(df, side, 16).collect()
+    me = f"{side}_id"
+    lists = {}
+    for r in sorted(got, key=lambda r: (repr(r[me]), r.chunk)):
+        assert len(r.ratings) == r.n <= 16
+        assert r.chunk == len(lists.setdefault(r[me], [])) // 16
+        lists[r[me]] += [tuple(x) for x in r.ratings]
+    want = {}
+    for u, i, x in rows:
+        a, b = (u, i) if side == "user" else (i, u)
+        want.setdefault(a, []).append((b, x))
+    assert {k: sorted(v, key=lambda t: (t[0] is not None, t)) for k, v in want.items()} == lists
+    assert profile.interaction_lists(df.limit(0), side).count() == 0
+
+
+def test_readers_of_the_pointer_never_see_a_gap(spark, tmp_path):
+    from rankfold.model import read_current_pointer, write_current_pointer
+    root = str(tmp_path)
+    assert read_current_pointer(spark, root) is None
+    write_current_pointer(spark, root, "v0")
+    seen, done = [], threading.Event()
+
+    def look():
+        while not done.is_set():
+            seen.append(read_current_pointer(spark, root))
+    reader = threading.Thread(target=look)
+    reader.start()
+    for n in range(40):
+        write_current_pointer(spark, root, f"v{n}")
+    done.set()
+    reader.join()
+    assert read_current_pointer(spark, root) == "v39"
+    assert len(seen) > 20 and all(v and v.startswith("v") for v in seen)
+    write_current_pointer(spark, root, "a/b=c d")
+    assert read_current_pointer(spark, root) == "a/b=c d"
+    kept = [f for f in (tmp_path / "current").iterdir() if not f.name.startswith(".")]
+    assert len(kept) <= 12
