@@ -33,6 +33,9 @@ PRIORITY_STREAM = 2
 # partial normal equations are summed before the solve.
 MAX_ROWS_PER_SOLVE_GROUP = 200_000
 
+# Partitions of a store of ratings by a hash of the item.
+STORE_BUCKETS = 64
+
 # Longest list of ratings in one row of the interaction lists.
 LIST_ROWS = 32
 

@@ -21,6 +21,7 @@ from rankfold.model import (load_model, promote_decision, read_current_pointer,
 from rankfold.operators import als, bias, catalogue, clean, evaluate, merge, profile
 from rankfold.operators import scoring, split
 from rankfold.session import ensure_checkpoint_dir, scratch_path
+from rankfold.sources import store
 from rankfold.sources import testdata as td
 from rankfold.streaming import item_stats as live
 
@@ -404,11 +405,12 @@ def q_movie_detail_nested(spark, d):
 
 
 def q_rating_upsert(spark, d):
-    snap = merged(spark, d).select("user_id", "item_id", "rating", "ts", "seq")
-    _, touched = catalogue.rating_upsert(snap, td.rating_events(spark, d),
-                                         movies_catalogue(spark, d))
-    return touched.select("item_id", "title", r6("avg_rating").alias("avg_rating"),
-                          "rating_count")
+    """Every event applied to a store of the merged ratings; what it gives for the movies that
+    got one."""
+    path = store.create_store(merged(spark, d), scratch_path(spark, "store"))
+    touched = store.upsert_store(td.rating_events(spark, d), path)
+    return td.movies(spark, d).select("item_id", "title").join(touched, "item_id").select(
+        "item_id", "title", r6("avg_rating").alias("avg_rating"), "rating_count")
 
 
 def _as_stream(spark, table: DataFrame) -> DataFrame:
