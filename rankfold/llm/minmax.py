@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from rankfold.llm import hashing
 from rankfold.llm.components import components
-from rankfold.llm.text import fresh, kept_table, written_table
+from rankfold.llm.text import discard, fresh, kept_table, release, written_table
 from rankfold.session import ship_package
 
 # Production parameters.
@@ -209,7 +209,7 @@ def _blocks(batches, percent: int):
 
 def _rest(spots: DataFrame, labels: DataFrame, docs: DataFrame, reps: DataFrame,
           percent: int) -> DataFrame:
-    """Links within the buckets that still hold several components."""
+    """Links within the buckets that still hold several components, as a written table."""
     named = spots.join(labels, F.col("doc_id") == F.col("node"), "left").select(
         "key", "doc_id", F.coalesce("component", "doc_id").alias("comp"))
     several = named.groupBy("key").agg(
@@ -246,10 +246,15 @@ def _rest(spots: DataFrame, labels: DataFrame, docs: DataFrame, reps: DataFrame,
     rows = rows.select("key", "doc_id", F.inline("jobs")).select(
         F.concat_ws("/", "key", "i", "j").alias("job"), "at", "doc_id")
     want = placed.select("doc_id").distinct().join(reps, "doc_id")
-    loaded = rows.join(written_table(_sets(docs, want), "sets"), "doc_id")
-    return (loaded.repartition("job").sortWithinPartitions("job", "at", "doc_id")
+    sets = written_table(_sets(docs, want), "sets")
+    loaded = rows.join(sets, "doc_id")
+    links = kept_table(loaded.repartition("job").sortWithinPartitions("job", "at", "doc_id")
             .select("job", "at", "doc_id", "set").mapInArrow(
                 lambda batches: _blocks(batches, percent), "a long, b long"))
+    discard(sets)
+    discard(placed)
+    release(docs.sparkSession)
+    return links
 
 
 def classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -273,13 +278,18 @@ def _judged(docs: DataFrame, percent: int) -> DataFrame:
     ends = pairs.select(F.col("a").alias("doc_id")).unionByName(
         pairs.select(F.col("b").alias("doc_id"))).distinct().join(reps, "doc_id")
     sets = written_table(_sets(docs, ends), "sets")
+    release(docs.sparkSession)
     links = kept_table(
         pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("sb")), "b")
         .join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("sa")), "a")
         .select("a", "b", "sa", "sb").mapInArrow(
             lambda batches: _confirm(batches, percent), "a long, b long"))
+    discard(sets)
+    discard(pairs)
+    release(docs.sparkSession)
     labels = components(links)
-    more = kept_table(_rest(spots.select("key", "doc_id"), labels, docs, reps, percent))
+    more = _rest(spots.select("key", "doc_id"), labels, docs, reps, percent)
+    discard(spots)
     if not more.isEmpty():
         labels = components(links.unionByName(more))
     named = reps.join(labels, F.col("doc_id") == F.col("node"), "left").select(

@@ -10,9 +10,10 @@ with four digits or an @, without outer punctuation).  Its lexical patterns are
 the two words before it, and the word before with the word after it.  Patterns
 and mentioned strings form a graph that Spark scores for ``ITERATIONS`` rounds:
 
-* a pattern's confidence is the sum of the scores of the strings it surrounds,
-  over all places of the corpus where the pattern occurs, whatever stands there;
-  it is used if that is ``MIN_CONFIDENCE`` or more and ``MIN_SUPPORT`` different
+* a pattern's confidence is the sum of the scores of the strings it surrounds, over
+  the places of the corpus where it occurs: those with any other word count in full
+  against it, those with a string that looks like an identifier and is not known to be
+  one by ``UNKNOWN``, since that is just what is looked for.  A pattern is used if that is ``MIN_CONFIDENCE`` or more and ``MIN_SUPPORT`` different
   strings of score one half or more support it;
 * a string's score is 1 for a seed, else ``1 - prod(1 - confidence)`` over its
   used patterns.
@@ -47,6 +48,7 @@ MIN_SUPPORT = 3
 MIN_CONFIDENCE = 0.8
 MIN_SCORE = 0.8
 MIN_LENGTH = 6
+UNKNOWN = 0.25
 
 # Fixed values of the base, by kind in order.
 KINDS = ("email", "ip", "card", "phone", "context")
@@ -206,9 +208,11 @@ def score(edges: DataFrame, total: DataFrame, iterations: int = ITERATIONS) -> D
     first = F.when(F.col("seed"), 1.0).otherwise(0.0)
     scored = graph.withColumn("score", first)
     for _ in range(iterations):
+        good = F.sum(F.col("score") * F.col("n"))
+        open_ = F.sum((1 - F.col("score")) * F.col("n")) * UNKNOWN
+        other = F.greatest(F.max("of") - F.sum("n"), F.lit(0))
         patterns = scored.groupBy("pattern").agg(
-            F.least(F.sum(F.col("score") * F.col("n")) / F.greatest(F.max("of"), F.sum("n")),
-                    F.lit(1.0)).alias("confidence"),
+            F.coalesce(F.try_divide(good, good + open_ + other), F.lit(0.0)).alias("confidence"),
             F.sum((F.col("score") >= 0.5).cast("long")).alias("support")).filter(
             (F.col("support") >= MIN_SUPPORT) & (F.col("confidence") >= MIN_CONFIDENCE))
         strings = kept_table(graph.filter(~F.col("seed")).join(patterns, "pattern")

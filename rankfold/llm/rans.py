@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankfold.llm import hashing
-from rankfold.llm.text import written_table
+from rankfold.llm.text import discard, release, written_table
 from rankfold.session import ship_package
 
 # Production parameters.
@@ -302,6 +302,9 @@ def write(docs: DataFrame, tokenizer_path: str, path: str) -> None:
      .repartitionByRange(parts, *order).sortWithinPartitions(*order)
      .select(F.spark_partition_id().alias("part"), "doc_id", "ids")
      .mapInArrow(encode, BLOCKS).write.parquet(f"{path}/blocks"))
+    model.destroy()
+    discard(tokens)
+    release(spark)
 
 
 class _Writer:

@@ -106,6 +106,24 @@ def test_contexts_find_unseen_identifiers(spark):
     assert all(got[60 + i].spans == "" for i in range(20))
 
 
+def test_many_unseen_identifiers_do_not_hide_each_other(spark):
+    """8 of 28 places of one context hold strings that no pattern of the base knows."""
+    docs = [(i, f"some words w{i} then reach me at user{i}@mail.example.com whenever", "en", "s", 1)
+            for i in range(20)]
+    docs += [(50 + i, f"other words w{i} then reach me at user{i}(at)mail901{i}.example whenever",
+              "en", "s", 1) for i in range(8)]
+    # contexts that mostly hold ordinary words, and numbers in a context of their own
+    docs += [(100 + i, f"we met at {w} whenever w{i}", "en", "s", 1)
+             for i, w in enumerate(["noon", "home", "work", "12345678", "sea", "night"] * 5)]
+    docs += [(200 + i, f"part number {70000 + i} is on the shelf", "en", "s", 1) for i in range(30)]
+    got = {r.doc_id: r.spans for r in pii.detect(spark.createDataFrame(docs, DOCS)).collect()}
+    for i in range(8):
+        text = docs[20 + i][1]
+        a = text.index("user")
+        assert got[50 + i] == f"context:{a}:{a + len(f'user{i}(at)mail901{i}.example')}"
+    assert all(got[d] == "" for d in got if d >= 100)
+
+
 def score_brute(edges, total, iterations):
     seed = {i for _, i, s, _ in edges if s}
     score = {i: float(i in seed) for _, i, _, _ in edges}
@@ -113,7 +131,10 @@ def score_brute(edges, total, iterations):
         conf = {}
         for p in total:
             own = [(i, n) for q, i, _, n in edges if q == p]
-            c = min(1, sum(score[i] * n for i, n in own) / max(total[p], sum(n for _, n in own)))
+            good = sum(score[i] * n for i, n in own)
+            open_ = sum((1 - score[i]) * n for i, n in own) * pii.UNKNOWN
+            other = max(total[p] - sum(n for _, n in own), 0)
+            c = good / (good + open_ + other) if good + open_ + other else 0.0
             if sum(score[i] >= 0.5 for i, _ in own) >= pii.MIN_SUPPORT and c >= pii.MIN_CONFIDENCE:
                 conf[p] = c
         new = {}
