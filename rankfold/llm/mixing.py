@@ -44,26 +44,26 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REP
     """One row per source: ``source``, ``source_size``, ``weight``, ``target``.
 
     ``sizes`` has one row per source, so a window over it holds sources, not
-    documents.  Each round of resharing is one aggregate over the sources; every
-    round but the last sets at least one source to its limit.
+    documents.  Targets are ``weight * unit`` or the limit, and the sources at their
+    limit are those with the least limit per weight.  So in that order the unit is what
+    the sources before leave of all words, per weight not theirs, at the first source
+    that stays below its limit with it.
     """
     order = Window.orderBy(F.col("source").asc_nulls_last())
     w = F.array(*[F.lit(float(x)) for x in weights])
     src = kept_table(sizes.select("source", "source_size").withColumn(
         "weight", F.element_at(w, ((F.row_number().over(order) - 1) % len(weights) + 1))))
     limit = F.col("source_size").cast("double") * max_repeats
-    total = src.agg(F.sum("source_size")).first()[0] or 0
-    unit = 0.0
-    capped = -1
-    while True:
-        full = limit <= F.col("weight") * F.lit(unit)
-        got = src.agg(F.sum(F.when(full, limit).otherwise(0.0)),
-                      F.sum(F.when(full, 0.0).otherwise(F.col("weight"))),
-                      F.sum(full.cast("long"))).first()
-        if not got[1] or got[2] == capped:
-            break
-        capped, unit = got[2], (total - got[0]) / got[1]
-    return src.withColumn("target", F.least(limit, F.col("weight") * F.lit(unit)))
+    rise = Window.orderBy(limit / F.col("weight"), F.col("source").asc_nulls_last())
+    before = rise.rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy(F.lit(0))
+    left = (F.sum("source_size").over(every) - F.coalesce(F.sum(limit).over(before), F.lit(0.0)))
+    weight = F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
+    own = src.withColumns({"_nth": F.row_number().over(rise), "_unit": left / weight})
+    unit = F.min(F.when(limit > F.col("weight") * F.col("_unit"),
+                        F.struct("_nth", "_unit"))).over(every)["_unit"]
+    return own.withColumn("target", F.coalesce(F.least(limit, F.col("weight") * unit), limit)
+                          ).drop("_nth", "_unit")
 
 
 def uniform(doc_id: Column, seed: int) -> Column:

@@ -251,6 +251,28 @@ def test_mix_reaches_targets(spark, edge_docs, clash_docs, no_docs):
     assert copies == {r.doc_id: r.copies for r in got if r.copies}
 
 
+def test_targets_match_resharing_in_rounds(spark):
+    """The closed form against sharing the excess again and again."""
+    rng = random.Random(6)
+    for n in (1, 2, 3, 7, 20):
+        sizes = [rng.choice([0, 1, 5, 40, 1000, 90000]) for _ in range(n)]
+        weights = [mixing.WEIGHTS[i % 3] for i in range(n)]
+        total, capped = sum(sizes), set()
+        while True:
+            free = [i for i in range(n) if i not in capped]
+            rest = total - sum(3 * sizes[i] for i in capped)
+            unit = rest / sum(weights[i] for i in free) if free else 0
+            over = {i for i in free if weights[i] * unit > 3 * sizes[i]}
+            if not over:
+                break
+            capped |= over
+        want = [3 * sizes[i] if i in capped else weights[i] * unit for i in range(n)]
+        df = spark.createDataFrame([(f"s{i:02d}", s) for i, s in enumerate(sizes)],
+                                   "source string, source_size long")
+        got = {r.source: r.target for r in mixing.source_targets(df).collect()}
+        assert [got[f"s{i:02d}"] for i in range(n)] == pytest.approx(want, rel=1e-12, abs=1e-9)
+
+
 def test_mix_importance_is_unequal_probability(spark):
     docs = [(i, "w " * 10, "en", "abc"[i % 3], float(1 + i % 2)) for i in range(6000)]
     d = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, p double")
