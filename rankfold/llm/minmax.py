@@ -34,11 +34,13 @@ columns are ignored by ``classes`` and kept by ``keep_one``.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankfold.llm import hashing
+from rankfold.llm.bits import filter_bits, passes
 from rankfold.llm.components import components
 from rankfold.llm.text import discard, fresh, kept_table, release, written_table
 from rankfold.session import ship_package
@@ -306,9 +308,26 @@ def _judged(docs: DataFrame, percent: int) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The documents with one of each component, the smallest ``doc_id``, kept."""
+    """The documents with one of each component, the smallest ``doc_id``, kept.
+
+    Whole rows are joined with the rows that go only where a filter of these rows' keys
+    lets them pass; the others stay where they were read.
+    """
+    spark = docs.sparkSession
     name, tie = (fresh(docs, x) for x in ("_gone", "_tie"))
-    gone = _judged(docs, percent).filter("not kept").select(
-        F.col("doc_id").alias(name), F.col("tie").alias(tie)).distinct()
-    return docs.join(gone, (docs["doc_id"].cast("long") == F.col(name))
-                     & (F.xxhash64(docs["text"]) == F.col(tie)), "left_anti")
+    gone = kept_table(_judged(docs, percent).filter("not kept").select(
+        F.col("doc_id").alias(name), F.col("tie").alias(tie)).distinct())
+    release(spark)
+    bits = spark.sparkContext.broadcast(filter_bits(gone.select(
+        F.xxhash64(name, tie).alias("key"))))
+
+    @F.pandas_udf("boolean")
+    def may_go(key: pd.Series) -> pd.Series:
+        out = np.zeros(len(key), bool)
+        out[passes(bits.value, key.to_numpy().view(U))] = True
+        return pd.Series(out)
+    own, text = docs["doc_id"].cast("long"), F.xxhash64(docs["text"])
+    suspect = may_go(F.xxhash64(own, text))
+    checked = docs.filter(suspect).join(
+        gone, (own == F.col(name)) & (text == F.col(tie)), "left_anti")
+    return docs.filter(~suspect).unionByName(checked)
