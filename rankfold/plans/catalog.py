@@ -21,7 +21,7 @@ from rankfold.model import (load_model, promote_decision, read_current_pointer,
 from rankfold.operators import als, bias, catalogue, clean, evaluate, merge, profile
 from rankfold.operators import scoring, split
 from rankfold.session import ensure_checkpoint_dir, scratch_path
-from rankfold.sources import store
+from rankfold.sources import documents, store
 from rankfold.sources import testdata as td
 from rankfold.streaming import item_stats as live
 
@@ -143,6 +143,26 @@ def q_ratings_feedback_only(spark, d):
                                                           "seq")
 
 
+def feedback_documents(spark, d) -> str:
+    """The feedback ratings as a store of schemaless documents, written once per data folder."""
+    return _memo(spark, d, "documents", lambda: documents.write_documents(
+        td.feedback_ratings(spark, d), scratch_path(spark, "documents")))
+
+
+def q_ratings_documents(spark, d):
+    """Feedback only, scanned from documents."""
+    fb = documents.read_documents(spark, feedback_documents(spark, d))
+    return merge.merge_ratings(None, fb, feedback_only=True).select(
+        "user_id", "item_id", "rating", "ts", "seq")
+
+
+def q_documents_user(spark, d):
+    """One user's feedback, from the one folder of documents that may hold it."""
+    fb = documents.read_documents(spark, feedback_documents(spark, d), LOOKUP_USER)
+    return merge.merge_ratings(None, fb, feedback_only=True).select(
+        "user_id", "item_id", "rating", "ts", "seq")
+
+
 def q_ratings_profile(spark, d):
     return profile.ratings_profile(merged(spark, d)).select(
         "n_ratings", "n_users", "n_items", r6("mean_rating").alias("mean_rating"))
@@ -496,6 +516,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rating_rejects": q_rating_rejects,
     "ratings_merged": q_ratings_merged,
     "ratings_feedback_only": q_ratings_feedback_only,
+    "ratings_documents": q_ratings_documents,
+    "documents_user": q_documents_user,
     "ratings_profile": q_ratings_profile,
     "train_val_split": q_train_val_split,
     "id_index": q_id_index,

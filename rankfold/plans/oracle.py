@@ -220,6 +220,9 @@ def oracle_sql() -> dict[str, str]:
                           "OR rating IS NULL"),
     "ratings_merged": sql("SELECT user_id, item_id, rating, seq, source FROM merged"),
     "ratings_feedback_only": sql("SELECT user_id, item_id, rating, seq FROM fbmerged"),
+    "ratings_documents": sql("SELECT user_id, item_id, rating, ts, seq FROM fbmerged"),
+    "documents_user": sql(
+        "SELECT user_id, item_id, rating, ts, seq FROM fbmerged WHERE user_id = 7"),
     "ratings_profile": sql("""SELECT count(*) AS n_ratings, count(DISTINCT user_id) AS n_users,
         count(DISTINCT item_id) AS n_items, round(avg(rating), 6) AS mean_rating FROM merged"""),
     "train_val_split": sql("SELECT user_id, item_id, rating, is_holdout FROM split"),
