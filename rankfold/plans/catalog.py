@@ -487,13 +487,15 @@ def q_promote_decision(spark, d):
 
 
 def q_retrain(spark, d):
-    """Two retrainings into one folder: both sources, then feedback only.
+    """Two retrainings into one folder: both sources, then feedback only; feedback is read
+    from documents.
 
     The second is promoted only if it is no worse on its own holdout; the last column
     says which version the pointer names afterwards.
     """
     out = scratch_path(spark, "versions")
-    base, fb = td.base_ratings(spark, d), td.feedback_ratings(spark, d)
+    base = td.base_ratings(spark, d)
+    fb = documents.read_documents(spark, feedback_documents(spark, d))
     a = retrain(base, fb, out, version="all", method=SPLIT)
     b = retrain(base, fb, out, feedback_only=True, version="feedback", method=SPLIT)
     rows = a.unionByName(b)
