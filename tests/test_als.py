@@ -223,3 +223,26 @@ def test_singular_systems_fall_back_and_others_do_not(spark):
     assert np.isfinite(huge).all()
     with pytest.raises(ValueError):
         als.half_step(rows, q0, "user", 6, -0.1)
+
+
+def test_errors_from_the_blocks_equal_those_of_joined_rows(spark, monkeypatch):
+    """The history, whether or not items are split, without a join of all rows to factors."""
+    tr = _synthetic(spark, n=600)
+    want = als.fit_exact(tr, rank=2, iterations=2).history.collect()
+    monkeypatch.setattr(als.config, "MAX_FACTOR_BROADCAST_BYTES", 0)
+    monkeypatch.setattr(als, "routing", lambda rows, side, max_rows, make=als.routing: make(
+        rows, side, max_rows, block_rows=150))
+    joined = []
+    monkeypatch.setattr(als, "train_errors", lambda rows, *a, make=als.train_errors, **k: (
+        joined.append(rows.count()), make(rows, *a, **k))[1])
+    for max_rows in (200_000, 12):
+        got = als.fit_exact(tr, rank=2, iterations=2, max_rows=max_rows).history.collect()
+        for c in ("train_rmse", "objective"):
+            assert [r[c] for r in got] == pytest.approx([r[c] for r in want], rel=1e-9)
+        # only ratings of split items are joined
+        assert (not joined) if max_rows > 600 else 0 < max(joined) < 600
+
+
+def test_factors_of_two_million_entities_are_not_broadcast(spark):
+    n = 900_000 + 1_200_000
+    assert als.factor_bytes(n, 20) > als.config.MAX_FACTOR_BROADCAST_BYTES
