@@ -246,3 +246,17 @@ def test_errors_from_the_blocks_equal_those_of_joined_rows(spark, monkeypatch):
 def test_factors_of_two_million_entities_are_not_broadcast(spark):
     n = 900_000 + 1_200_000
     assert als.factor_bytes(n, 20) > als.config.MAX_FACTOR_BROADCAST_BYTES
+
+
+def test_start_factors_do_not_travel(spark):
+    tr = _synthetic(spark, n=300)
+    _, _, ib, rows = _residual_rows(tr)
+    q0 = als.init_factors(ib.select("item_id"), "item_id", 3)
+    plan = als._stage(rows, None, "user", 3, 0.1, True, 200_000)._jdf.queryExecution(
+        ).optimizedPlan().toString()
+    assert "factors" not in plan[plan.index("RepartitionByExpression"):]
+    want = {r.user_id: r.factors for r in als.half_step(rows, q0, "user", 3).collect()}
+    got = {r.user_id: r.factors for r in als.half_step(rows, None, "user", 3).collect()}
+    assert got.keys() == want.keys()
+    for k in want:
+        np.testing.assert_allclose(got[k], want[k], rtol=1e-9, atol=1e-12)
