@@ -260,3 +260,19 @@ def test_start_factors_do_not_travel(spark):
     assert got.keys() == want.keys()
     for k in want:
         np.testing.assert_allclose(got[k], want[k], rtol=1e-9, atol=1e-12)
+
+
+def test_mllib_blocks_follow_the_ratings_not_the_session(spark, monkeypatch):
+    from pyspark.ml import recommendation
+    made, fit = [], recommendation.ALS.fit
+    monkeypatch.setattr(recommendation.ALS, "fit", lambda self, rows: (
+        made.append((self.getNumUserBlocks(), self.getNumItemBlocks())), fit(self, rows))[1])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        als.fit_mllib(_synthetic(spark, n=200), rank=2, iterations=1)
+        monkeypatch.setattr(als.config, "MLLIB_BLOCK_ROWS", 15)
+        als.fit_mllib(_synthetic(spark, n=200), rank=2, iterations=1)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert made == [(10, 10), (14, 14)]
