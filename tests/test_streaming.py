@@ -146,6 +146,29 @@ def test_restart_from_the_checkpoint_goes_on_where_it_stopped(spark):
     assert _stats(spark, checkpoint) == _stats(spark, whole)
 
 
+def test_pairs_of_a_bucket_take_one_state_call(spark, monkeypatch):
+    """The state has a key per bucket, not one per pair, and nothing of a pair is lost."""
+    monkeypatch.setattr(item_stats.config, "LIVE_BUCKETS", 3)
+    rnd = random.Random(5)
+    events = [(e, rnd.randrange(12), rnd.randrange(9), rnd.choice([0.5, 2.0, 3.5]),
+               ts(2, rnd.randrange(30))) for e in range(150)]
+    base = [(u, i, 4.0, ts(2, 10), 2 ** 60 + u) for u in range(15) for i in range(5)]
+    base[7] = (*base[7][:3], None, None)  # before all that has a time
+    checkpoint = _store(spark, [events[:70], events[70:]], base)
+    want = merge.upsert(spark.createDataFrame(base, RATING_SCHEMA),
+                        spark.createDataFrame(events, EVENT_SCHEMA))
+    columns = ["user_id", "item_id", "rating", "ts", "seq"]
+    got = item_stats.live_ratings(spark, checkpoint)
+    assert dict(got.dtypes)["ts"] == "timestamp_ntz"
+    assert sorted(map(repr, got.select(columns).collect())) == sorted(
+        map(repr, want.select(columns).collect()))
+    assert _stats(spark, checkpoint) == {
+        r.item_id: (round(r.avg_rating, 9), r.rating_count)
+        for r in catalogue.movie_stats(want).collect()}
+    assert item_stats._state(spark, checkpoint, item_stats.PAIRS,
+                             stateVarName="latest").count() <= 3
+
+
 def test_deltas_take_the_old_value_out_and_the_new_one_in(spark):
     src, checkpoint = tempfile.mkdtemp(prefix="rf-src-"), scratch_path(spark, "t", "ck")
     for n, rows in enumerate([[(1, 1, 7, 4.0, ts(0)), (2, 2, 8, 2.0, ts(0))],
