@@ -85,7 +85,9 @@ class _Pieces(dict):
     LOWER = "a-z\u00df-\u00f6\u00f8-\u00ff"
     PLAIN_WORD = re.compile(f"[!-~{LETTERS}]+").fullmatch
     PLAIN_TEXT = re.compile(f"[ \t-\r!-~{LETTERS}]*").fullmatch
-    PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LOWER}]+|[0-9]|[^ \t-\r{LOWER}0-9]+").findall
+    PLAIN_ASCII = bytes([*range(9, 14), *range(32, 127)])
+    # letters first: no other alternative begins with one
+    PIECES = re.compile(f"[{LOWER}]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^ \t-\r{LOWER}0-9]+").findall
 
     def __init__(self, tok, code: str):
         super().__init__()
@@ -97,7 +99,11 @@ class _Pieces(dict):
                       for c in [*range(33, 127), *range(0xC0, 0x100)]}
 
     def _plain(self, text: str) -> bool:
-        return "<|" not in text and self.PLAIN_TEXT(text) is not None
+        if "<|" in text:
+            return False
+        if text.isascii():
+            return not text.encode().translate(None, self.PLAIN_ASCII)
+        return self.PLAIN_TEXT(text) is not None
 
     def _words(self, text: str) -> bytes:
         """Ids of a text with words that only the whole tokenizer knows to treat."""
@@ -184,16 +190,26 @@ def token_table(docs: DataFrame, tokenizer_path: str) -> tuple[DataFrame, str]:
 
 
 # ---------------------------------------------------------------- frequencies
+def joined_ids(column: pa.Array, width: str) -> np.ndarray:
+    """The ids of all rows of a column of ``ids``, one after the other."""
+    _, where, data = column.buffers()
+    off = np.frombuffer(where, np.int32)[column.offset:column.offset + len(column) + 1]
+    if data is None:
+        return np.empty(0, width)
+    return np.frombuffer(memoryview(data)[off[0]:off[-1]], width)
+
+
 def frequencies(tokens: DataFrame, width: str) -> DataFrame:
     """(id, freq), with frequencies proportional to counts that sum to ``2 ** SCALE``."""
     def count(batches):
         total = np.zeros(0, np.int64)
         for b in batches:
-            for ids in b.column(0):
-                c = np.bincount(np.frombuffer(ids.as_buffer(), width))
-                if len(c) > len(total):
-                    total = np.concatenate([total, np.zeros(len(c) - len(total), np.int64)])
-                total[:len(c)] += c
+            if not b.num_rows:
+                continue
+            c = np.bincount(joined_ids(b.column(0), width))
+            if len(c) > len(total):
+                total = np.concatenate([total, np.zeros(len(c) - len(total), np.int64)])
+            total[:len(c)] += c
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["id", "c"])
     counts = (tokens.select("ids").mapInArrow(count, "id long, c long")

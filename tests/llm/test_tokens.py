@@ -1,6 +1,8 @@
 """Token files against the tokenizer itself, block coding, and the pipeline."""
 
 import os
+import random
+import re
 import uuid
 import zlib
 from collections import Counter, defaultdict
@@ -68,6 +70,25 @@ def path(spark):
     return f"{ensure_checkpoint_dir(spark)}/t-{uuid.uuid4().hex}"
 
 
+def test_ids_of_a_batch_are_one_array_and_pieces_are_cut_as_by_the_expression():
+    """Ids are counted a batch at a time; the order of the alternatives changes no piece."""
+    column = pa.array([b"\x01\x00\x02\x00", b"", b"\x03\x00"], pa.binary())
+    assert rans.joined_ids(column, "<u2").tolist() == [1, 2, 3]
+    assert rans.joined_ids(column[1:], "<u2").tolist() == [3]
+    assert rans.joined_ids(column[:0], "<u2").tolist() == []
+    lower = rans._Pieces.LOWER
+    by_contract = re.compile(
+        f"'s|'t|'re|'ve|'m|'ll|'d|[{lower}]+|[0-9]|[^ \t-\r{lower}0-9]+").findall
+    rnd = random.Random(1)
+    for _ in range(5000):
+        text = "".join(rnd.choices("'streveml d09.,-\t\n\u00e9\u00ff!ab''", k=rnd.randrange(25)))
+        assert rans._Pieces.PIECES(text) == by_contract(text)
+    own = rans._Pieces.__new__(rans._Pieces)
+    for text in ("plain 'text\t", "\x00", "a\x7f", "caf\u00e9", "\u0142", "a <| b", ""):
+        assert own._plain(text) == (
+            "<|" not in text and rans._Pieces.PLAIN_TEXT(text) is not None), text
+
+
 @pytest.mark.parametrize("block", [1 << 17, 700])
 def test_files_round_trip(spark, tokenizer, monkeypatch, block):
     monkeypatch.setattr(rans, "BLOCK", block)
