@@ -6,6 +6,7 @@ values, read off prefix sums, then mixed; equal words hash alike in every task.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,15 @@ ODD = _RNG.integers(1, 1 << 63, 64, dtype=np.uint64) * U(2) + U(1)
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+def hand_back() -> None:
+    """Return memory that is free in this process to the system, at the end of a task: a worker
+    that is used again would hold what its largest task took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
     x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)

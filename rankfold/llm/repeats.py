@@ -75,6 +75,7 @@ def anchors(docs: DataFrame, scan: Scan) -> DataFrame:
         for b in batches:
             for _, _, data, off in hashing.slices(b.column(0)):
                 yield pa.RecordBatch.from_arrays([_signed(scan(data, off).key)], names=["key"])
+        hashing.hand_back()
     return docs.select("text").mapInArrow(keys, "key long")
 
 
@@ -99,6 +100,8 @@ def runs(docs: DataFrame, scan: Scan, bits, content: bool = False) -> DataFrame:
                              "first": pa.array(first.astype(np.int32)),
                              "n": pa.array(n.astype(np.int32))}
                 yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+                del r, k, cols  # before the next slice's
+        hashing.hand_back()
     return docs.select("doc", "tie", "text").mapInArrow(
         chosen, "key int, run long, content binary" if content
         else "key int, run long, doc long, tie long, first int, n int")

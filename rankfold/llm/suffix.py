@@ -437,6 +437,8 @@ def _sort_shards(batches):
             size += len(row[5])
     if held:
         yield resolved()
+        held = []
+    hashing.hand_back()
 
 
 _PART_TYPE = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
@@ -489,6 +491,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                             "kept_sha256": hashlib.sha256(kept).hexdigest(), "kept": kept,
                             "spans": ranges})
             yield pa.RecordBatch.from_pylist(out, _SCHEMA)
+        hashing.hand_back()
     return (own.join(cuts, (F.col("doc") == F.col("_d")) & (F.col("tie") == F.col("_t")), "left")
             .select("doc_id", "text", "cuts").mapInArrow(apply, RESULT))
 

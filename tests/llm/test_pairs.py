@@ -406,3 +406,17 @@ def test_overlap_edges(spark, edge_docs, clash_docs, no_docs):
     none = bench.filter("item_id > 100")
     assert spaced.contaminated(edge_docs, none).count() == 0
     assert spaced.keep_clean(edge_docs, none).count() == len(rows())
+
+
+def test_a_worker_hands_back_what_a_task_took():
+    """Blocks below the size that the allocator maps one by one stay with a process otherwise."""
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+    hashing.hand_back()
+    before = resident()
+    held = [np.ones(12_000) for _ in range(1500)]  # 144 MB in blocks of 96 kB
+    pin = np.ones(12_000)
+    del held
+    hashing.hand_back()
+    assert resident() - before < 40e6 and len(pin)
