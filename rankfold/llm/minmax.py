@@ -116,7 +116,21 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(doc_id, set) of the documents in ``wanted`` (distinct ``doc_id``, ``set_a``,
-    ``set_b``), one row each."""
+    ``set_b``), one row each, as a written table.
+
+    Texts stay where they were read: sets are made of those that a filter of the wanted
+    ids lets pass, and only these are joined.
+    """
+    wanted = kept_table(wanted.select("doc_id", "set_a"))
+    bits = docs.sparkSession.sparkContext.broadcast(filter_bits(wanted.select(
+        F.xxhash64("doc_id").alias("key"))))
+
+    @F.pandas_udf("boolean")
+    def may_be(key: pd.Series) -> pd.Series:
+        out = np.zeros(len(key), bool)
+        out[passes(bits.value, key.to_numpy().view(U))] = True
+        return pd.Series(out)
+
     def load(batches):
         for b in batches:
             x = list(shingle_sets(b.column(1)))
@@ -125,11 +139,15 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                                         for s in x], pa.int64()),
                  pa.array([s.tobytes() for s in x], pa.binary())],
                 names=["doc_id", "set_a", "set"])
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
-        wanted.select("doc_id").distinct(), "doc_id", "left_semi")
-    return (texts.mapInArrow(load, "doc_id long, set_a long, set binary")
-            .join(wanted.select("doc_id", "set_a"), ["doc_id", "set_a"], "left_semi")
-            .dropDuplicates(["doc_id", "set_a"]).drop("set_a"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(
+        may_be(F.xxhash64("doc_id")))
+    sets = written_table(
+        texts.mapInArrow(load, "doc_id long, set_a long, set binary")
+        .join(wanted, ["doc_id", "set_a"], "left_semi")
+        .dropDuplicates(["doc_id", "set_a"]).drop("set_a"), "sets")
+    bits.destroy()
+    discard(wanted)
+    return sets
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -221,7 +239,8 @@ def _rest(spots: DataFrame, labels: DataFrame, docs: DataFrame, reps: DataFrame,
     # buckets of the same members ask for the same work once
     once = several.groupBy("n", "who").agg(F.min(F.struct("key", "main")).alias("k")).select(
         "k.key", "k.main")
-    members = named.join(once, "key").withColumn(
+    # a document of several sets may be in a bucket with each of them
+    members = named.join(once, "key").distinct().withColumn(
         "side", F.when(F.col("comp") == F.col("main"), 1).otherwise(0))
     counts = members.groupBy("key").agg(
         F.ceil(F.sum(F.when(F.col("side") == 0, 1).otherwise(0)) / BLOCK).alias("n0"),
@@ -248,7 +267,7 @@ def _rest(spots: DataFrame, labels: DataFrame, docs: DataFrame, reps: DataFrame,
     rows = rows.select("key", "doc_id", F.inline("jobs")).select(
         F.concat_ws("/", "key", "i", "j").alias("job"), "at", "doc_id")
     want = placed.select("doc_id").distinct().join(reps, "doc_id")
-    sets = written_table(_sets(docs, want), "sets")
+    sets = _sets(docs, want)
     loaded = rows.join(sets, "doc_id")
     links = kept_table(loaded.repartition("job").sortWithinPartitions("job", "at", "doc_id")
             .select("job", "at", "doc_id", "set").mapInArrow(
@@ -268,10 +287,11 @@ def _judged(docs: DataFrame, percent: int) -> DataFrame:
     """``classes`` with ``tie``, the hash of the row's text."""
     signed = written_table(signatures(docs), "signatures")
     full = signed.filter("n_shingles > 0 and doc_id is not null")
-    reps = kept_table(full.groupBy("set_a", "set_b", "n_shingles").agg(
-        F.min("doc_id").alias("doc_id")))
-    spots = full.join(reps, ["set_a", "set_b", "n_shingles", "doc_id"], "left_semi").select(
-        "doc_id", F.explode("keys").alias("key")).distinct()
+    # equal sets have equal keys
+    first = kept_table(full.groupBy("set_a", "set_b", "n_shingles").agg(
+        F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys")))
+    reps = first.drop("keys")
+    spots = first.select("doc_id", F.explode(F.array_distinct("keys")).alias("key"))
     shared = spots.groupBy("key").agg(F.min("doc_id").alias("first"),
                                       F.max("doc_id").alias("last")).filter("first <> last")
     spots = kept_table(spots.join(shared.select("key", "first"), "key"))
@@ -279,7 +299,7 @@ def _judged(docs: DataFrame, percent: int) -> DataFrame:
         F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct())
     ends = pairs.select(F.col("a").alias("doc_id")).unionByName(
         pairs.select(F.col("b").alias("doc_id"))).distinct().join(reps, "doc_id")
-    sets = written_table(_sets(docs, ends), "sets")
+    sets = _sets(docs, ends)
     release(docs.sparkSession)
     links = kept_table(
         pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("sb")), "b")
