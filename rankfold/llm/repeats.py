@@ -6,7 +6,8 @@ windows always have equal anchors, and a window whose anchor occurs once in the
 corpus occurs once.  Three passes over the documents follow, each a map:
 
 1. anchors are counted, and those that occur twice or more enter a filter of
-   fixed size (see ``bits``), which also lets some others through;
+   fixed size (see ``bits``), which also lets some others through; they travel
+   sorted, as one value for each range of anchors and some ``HELD`` of them;
 2. the runs of such anchors are grouped by (anchor, hash of all their windows):
    equal runs.  All but the first are repeats as a whole, so what many documents
    share is one row from here on;
@@ -26,11 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankfold.llm import hashing
-from rankfold.llm.bits import filter_bits, passes
+from rankfold.llm.bits import filter_bits, gathered, passes, words_of
 from rankfold.llm.text import discard, release, written_table
 from rankfold.session import ship_package
 
 U = np.uint64
+# Production parameter: anchors that a task of pass 1 holds before it hands them on.
+HELD = 1 << 20
 
 
 class Runs:
@@ -69,14 +72,49 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
-def anchors(docs: DataFrame, scan: Scan) -> DataFrame:
-    """Pass 1: one row per run, its anchor only."""
+def often(docs: DataFrame, scan: Scan) -> DataFrame:
+    """Pass 1: the filter's words (``w``, ``m``) of the anchors of two or more runs."""
+    # some ranges for each partition, so that these come out alike
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shift = U(64 - min(max((4 * parts - 1).bit_length(), 1), 16))
+
+    def packed(held: list[np.ndarray]) -> pa.RecordBatch:
+        key = np.sort(np.concatenate(held))
+        twice = np.ones(len(key), bool)  # two of a kind tell as much as more
+        twice[2:] = key[2:] != key[:-2]
+        key = key[twice]
+        at = key >> shift
+        cuts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(at[cuts].astype(np.int32)),
+             pa.array([x.tobytes() for x in np.split(key, cuts[1:])], pa.binary())],
+            names=["part", "keys"])
+
     def keys(batches):
+        held, n = [], 0
         for b in batches:
             for _, _, data, off in hashing.slices(b.column(0)):
-                yield pa.RecordBatch.from_arrays([_signed(scan(data, off).key)], names=["key"])
+                key = scan(data, off).key
+                if len(key):
+                    held.append(key)
+                    n += len(key)
+                if n >= HELD:
+                    yield packed(held)
+                    held, n = [], 0
+        if held:
+            yield packed(held)
+        held = []
+        hashing.hand_back()
+
+    def words(batches):
+        held = [np.frombuffer(k.as_buffer(), U) for b in batches for k in b.column(1)]
+        key = np.sort(np.concatenate([np.empty(0, U), *held]))
+        w, m = words_of(key[1:][key[1:] == key[:-1]])
+        yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(m)], names=["w", "m"])
+        del held, key
         hashing.hand_back()
-    return docs.select("text").mapInArrow(keys, "key long")
+    return (docs.select("text").mapInArrow(keys, "part int, keys binary")
+            .repartition("part").mapInArrow(words, "w long, m long"))
 
 
 def runs(docs: DataFrame, scan: Scan, bits, content: bool = False) -> DataFrame:
@@ -117,28 +155,29 @@ def repeated(docs: DataFrame, scan: Scan, width: int, order: list[str],
     ``width`` that also occur earlier, where ``order`` says what earlier means.
 
     ``docs`` comes from ``identified``.  ``resolve`` gets the different runs of anchors
-    that have several (key, run, m, content), ``m`` being the first place of each by
-    ``order``, and returns (key, run, part): the ranges of windows, counted from the
-    run's first, that also occur before ``m``.
+    that have several (key, run, m, of_key, content), ``m`` being the first place of each by
+    ``order`` and ``of_key`` the number of runs of its anchor, and returns (key, run,
+    part): the ranges of windows, counted from the run's first, that also occur before ``m``.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    often = anchors(docs, scan).groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    bits = spark.sparkContext.broadcast(filter_bits(often))
-    del often
+    bits = spark.sparkContext.broadcast(gathered(often(docs, scan)))
     release(spark)
     found = written_table(runs(docs, scan, bits), "runs")
     bits.destroy()
     kinds = written_table(found.groupBy("key", "run").agg(
         F.min(place(order)).alias("m"), F.count(F.lit(1)).alias("c")), "kinds")
     release(spark)
-    several = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    several = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("of_key")).filter("of_key > 1")
+    # written, so that neither the filter nor what ``resolve`` does with them counts again
+    several = written_table(kinds.drop("c").join(several, "key"), "several")
     bits = spark.sparkContext.broadcast(filter_bits(several.select(
         F.shiftleft(F.col("key").cast("long"), 32).alias("key"))))
     content = runs(docs, scan, bits, content=True).groupBy("key", "run").agg(
         F.first("content").alias("content"))
-    part = written_table(resolve(content.join(kinds.drop("c"), ["key", "run"])), "parts")
+    part = written_table(resolve(content.join(several, ["key", "run"])), "parts")
     bits.destroy()
+    discard(several)
     release(spark)
     # a run that occurs once, with no window found earlier, is of no further use; written, so
     # that the next join shuffles both sides and a frequent run's partition can be split
@@ -162,11 +201,22 @@ def repeated(docs: DataFrame, scan: Scan, width: int, order: list[str],
     return cuts
 
 
+def disjoint(row: np.ndarray, a: np.ndarray, b: np.ndarray
+             ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Disjoint spans (row, start, end), sorted, that cover the same places of each row."""
+    order = np.lexsort((a, row))
+    row, a, b = row[order], a[order].astype(np.int64), b[order].astype(np.int64)
+    if not len(row):
+        return row, a, b
+    # rows one after the other, with a place between them
+    width = int(b.max()) + 1
+    reach = np.maximum.accumulate(row * width + b)
+    new = np.flatnonzero(np.concatenate([[True], (row * width + a)[1:] > reach[:-1]]))
+    last = np.concatenate([new[1:] - 1, [len(a) - 1]])
+    return row[new], a[new], reach[last] - row[new] * width
+
+
 def merged(cuts) -> tuple[np.ndarray, np.ndarray]:
-    """Disjoint, sorted spans (starts, ends) covering the same places."""
-    a = np.array([c["a"] for c in cuts], np.int64)
-    b = np.array([c["b"] for c in cuts], np.int64)
-    order = np.argsort(a, kind="stable")
-    a, reach = a[order], np.maximum.accumulate(b[order])
-    new = np.flatnonzero(np.concatenate([[True], a[1:] > reach[:-1]]))
-    return a[new], reach[np.concatenate([new[1:] - 1, [len(a) - 1]])]
+    """``disjoint`` of one row's spans: their starts and ends."""
+    return disjoint(np.zeros(len(cuts), np.int64), np.array([c["a"] for c in cuts], np.int64),
+                    np.array([c["b"] for c in cuts], np.int64))[1:]

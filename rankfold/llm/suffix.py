@@ -33,11 +33,12 @@ import tempfile
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankfold.llm import hashing
-from rankfold.llm.repeats import Runs, identified, merged, repeated
+from rankfold.llm.repeats import Runs, disjoint, identified, repeated
 
 # Fixed value: bytes in a window.
 WINDOW = 50
@@ -445,15 +446,13 @@ _PART_TYPE = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 _PARTS = pa.schema([("key", pa.int32()), ("run", pa.int64()), ("part", _PART_TYPE)])
 
 
-def _resolve(kinds: DataFrame) -> DataFrame:
+def _resolve(rows: DataFrame) -> DataFrame:
     """Ranges of windows that also occur in an earlier document, by shards of anchors."""
-    many = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("_c"))
-    rows = kinds.join(many, "key").filter("_c > 1")
-    whole = rows.filter(F.col("_c") <= SPLIT).select(
+    whole = rows.filter(F.col("of_key") <= SPLIT).select(
         F.col("key").alias("shard"), "key", "run", F.lit(0).alias("at"),
         F.col("m").alias("doc"), "content")
     # an anchor with very many contexts is divided by the windows themselves
-    split = rows.filter(F.col("_c") > SPLIT).select(
+    split = rows.filter(F.col("of_key") > SPLIT).select(
         "key", "run", F.col("m").alias("doc"), "content",
         F.explode(F.sequence(F.lit(0), F.octet_length("content") - WINDOW)).alias("at")).select(
         "key", "run", "doc", "at", F.substring("content", F.col("at") + 1, F.lit(WINDOW))
@@ -477,25 +476,43 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     def apply(batches):
         for b in batches:
-            out = []
-            for doc_id, text, spans in zip(*(b.column(i).to_pylist() for i in range(3))):
-                raw = (text or "").encode()
-                kept, ranges = raw, []
-                if spans:
-                    a, z = merged(spans)
-                    ranges = [{"a": int(x), "b": int(y)} for x, y in zip(a, z)]
-                    edges = [0, *np.stack([a, z], 1).ravel().tolist(), len(raw)]
-                    kept = b"".join(raw[x:y] for x, y in zip(edges[::2], edges[1::2]))
-                out.append({"doc_id": doc_id, "n_bytes": len(raw),
-                            "n_removed": len(raw) - len(kept), "n_spans": len(ranges),
-                            "kept_sha256": hashlib.sha256(kept).hexdigest(), "kept": kept,
-                            "spans": ranges})
-            yield pa.RecordBatch.from_pylist(out, _SCHEMA)
+            for lo, hi, data, off in hashing.slices(b.column(1)):
+                yield _cut(b.column(0).slice(lo, hi - lo), data, off,
+                           b.column(2).slice(lo, hi - lo))
         hashing.hand_back()
     return (own.join(cuts, (F.col("doc") == F.col("_d")) & (F.col("tie") == F.col("_t")), "left")
             .select("doc_id", "text", "cuts").mapInArrow(apply, RESULT))
 
 
+def _cut(doc_id: pa.Array, data: np.ndarray, off: np.ndarray, cuts: pa.Array) -> pa.RecordBatch:
+    """The result's rows of a slice of texts and the spans to cut from each."""
+    n = len(off) - 1
+    ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(cuts), 0).to_numpy(
+        zero_copy_only=False).astype(np.int64))])
+    a, b = (x.to_numpy(zero_copy_only=False) for x in cuts.flatten().flatten())
+    row, a, b = disjoint(np.repeat(np.arange(n), np.diff(ends)), a, b)
+    edge = np.zeros(len(data) + 1, np.int8)
+    edge[off[row] + a] += 1
+    edge[off[row] + b] -= 1  # one row's last span may end where the next row's first begins
+    kept = data[np.cumsum(edge[:-1], dtype=np.int8) == 0]
+    gone = np.zeros(n, np.int64)
+    np.add.at(gone, row, b - a)
+    size = np.diff(off)
+    at = np.concatenate([[0], np.cumsum(size - gone)])
+    raw = kept.tobytes()
+    spans = np.bincount(row, minlength=n)
+    return pa.RecordBatch.from_arrays([
+        doc_id, pa.array(size, pa.int64()), pa.array(gone), pa.array(spans, pa.int64()),
+        pa.array([hashlib.sha256(raw[x:y]).hexdigest()
+                  for x, y in zip(at[:-1].tolist(), at[1:].tolist())], pa.string()),
+        pa.Array.from_buffers(pa.binary(), n, [
+            None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(raw)]),
+        pa.ListArray.from_arrays(
+            pa.array(np.concatenate([[0], np.cumsum(spans)]).astype(np.int32)),
+            pa.StructArray.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())],
+                                       names=["a", "b"]))], schema=_SCHEMA)
+
+
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
                      ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary()),
                      ("spans", pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))])
