@@ -110,6 +110,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(a, pa.int64()),
                  pa.array(c, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
                 names=["doc_id", "tie", "n_shingles", "set_a", "set_b", "keys"])
+        hashing.hand_back()
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.xxhash64("text").alias("tie"), "text").mapInArrow(sign, SIGNATURES)
 
@@ -139,6 +140,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                                         for s in x], pa.int64()),
                  pa.array([s.tobytes() for s in x], pa.binary())],
                 names=["doc_id", "set_a", "set"])
+        hashing.hand_back()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(
         may_be(F.xxhash64("doc_id")))
     sets = written_table(
@@ -166,6 +168,7 @@ def _confirm(batches, percent: int):
         ok = [linked(np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U), percent)
               for x, y in zip(b.column(2), b.column(3))]
         yield b.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+    hashing.hand_back()
 
 
 def forest(ids: list[int], sets: list[np.ndarray], left: int,
@@ -225,6 +228,8 @@ def _blocks(batches, percent: int):
             left += side == 0
     if job is not None:
         yield ended(ids, sets, left)
+    ids, sets = [], []
+    hashing.hand_back()
 
 
 def _rest(spots: DataFrame, labels: DataFrame, docs: DataFrame, reps: DataFrame,

@@ -184,6 +184,7 @@ def token_table(docs: DataFrame, tokenizer_path: str) -> tuple[DataFrame, str]:
                 ids = encode_texts(b.column(1), definition.value, width)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+        hashing.hand_back()
     tokens = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         encode, "doc_id long, ids binary")
     return written_table(tokens.withColumn("tie", F.xxhash64("ids")), "tokens"), width
@@ -313,6 +314,7 @@ def write(docs: DataFrame, tokenizer_path: str, path: str) -> None:
                 w.part = pid
                 yield from w.add(doc_id, np.frombuffer(ids.as_buffer(), width))
         yield from w.flush()
+        hashing.hand_back()
     # the last key only spreads equal rows over the parts
     (tokens.withColumn("_last", F.monotonically_increasing_id())
      .repartitionByRange(parts, *order).sortWithinPartitions(*order)
@@ -399,6 +401,7 @@ def read_pieces(spark: SparkSession, path: str) -> DataFrame:
                                 "crc": zlib.crc32(raw[4 * at:4 * (at + d["n"])])})
                     at += d["n"]
                 yield pa.RecordBatch.from_pylist(out, _PIECE_SCHEMA)
+        hashing.hand_back()
     return spark.read.schema(BLOCKS).parquet(f"{path}/blocks").mapInArrow(decode, PIECES)
 
 

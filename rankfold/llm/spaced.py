@@ -56,7 +56,7 @@ EVERY_MASK = tuple((m, WINDOW, 1 << 62) for m in MASKS) + SHORT_MASKS
 
 
 class Seeds:
-    """The seeds of one part of the benchmark, sorted, with a bitmap before them."""
+    """The seeds of one part of the benchmark, sorted, with a bitmap (2 MB) before them."""
 
     def __init__(self, ids: pa.Array, ties: pa.Array, texts: pa.Array):
         self.ids, self.ties = ids, ties
@@ -74,9 +74,9 @@ class Seeds:
             at = np.flatnonzero((np.arange(len(seed)) + len(m) <= self.first[1:][own])
                                 & (size[own] >= least) & (size[own] <= most))
             order = at[np.argsort(seed[at], kind="stable")]
-            seen = np.zeros(1 << FILTER_BITS if len(order) else 1, bool)
-            if len(order):
-                seen[seed[order] >> np.uint64(64 - FILTER_BITS)] = True
+            seen = np.zeros(1 << (FILTER_BITS - 6) if len(order) else 1, np.uint64)
+            place = seed[order] >> np.uint64(64 - FILTER_BITS)
+            np.bitwise_or.at(seen, place >> np.uint64(6), np.uint64(1) << (place & np.uint64(63)))
             self.masks.append((seed[order], order, seen))
 
 
@@ -100,7 +100,9 @@ def _alignments(h: np.ndarray, row: np.ndarray, last: np.ndarray, b: Seeds
         if not len(seeds):
             continue
         s = hashing.windows(h, care(m), k)
-        at = np.flatnonzero(seen[s >> np.uint64(64 - FILTER_BITS)])
+        place = s >> np.uint64(64 - FILTER_BITS)
+        at = np.flatnonzero((seen[place >> np.uint64(6)] >> (place & np.uint64(63)))
+                            & np.uint64(1))
         at = at[at + len(m) <= last[at]]
         if most <= WHOLE:
             at = at[size[at] <= most]
@@ -200,6 +202,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, part_words: int = PART_WORDS
                              first, n, eq],
                             names=["doc_id", "tie", "item_id", "item_tie", "first_word",
                                    "n_words", "n_equal"])
+            hashing.hand_back()
         out = out.unionByName(narrow.mapInArrow(find, SPANS))
     return out
 
@@ -228,5 +231,6 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, part_words: int = PART_WOR
                 for lo, _, data, off in hashing.slices(batch.column(at)):
                     keep[[lo + x[0] for x in _find(data, off, seeds.value)]] = False
                 yield batch.filter(pa.array(keep))
+            hashing.hand_back()
         docs = docs.mapInArrow(clean, docs.schema)
     return docs
