@@ -92,3 +92,27 @@ def test_a_large_fit_goes_by_blocks(spark, monkeypatch):
         used.append(p.ratings.count()), make(p, *a, **k))[1])
     als.fit_exact(_rows(spark), rank=2, iterations=1, history=False)
     assert len(used) == 2 and min(used) >= 8
+
+
+@pytest.mark.parametrize("max_rows", [200_000, 9])
+def test_second_half_step_shuffles_no_vector_per_rating(spark, max_rows, monkeypatch):
+    rows = _rows(spark)
+    p = als.half_step(rows, None, "user", 3, max_rows=max_rows)
+    want = {r.item_id: r for r in als.second_half_step(rows, p, "item", 3).collect()}
+    monkeypatch.setattr(als.config, "MAX_FACTOR_BROADCAST_BYTES", 0)
+    monkeypatch.setattr(als, "half_step", None)  # which joins the vectors to the ratings
+    got = {r.item_id: r for r in als.second_half_step(
+        rows, p, "item", 3, max_rows=max_rows).collect()}
+    assert got.keys() == want.keys()
+    for k, w in want.items():
+        assert got[k].n == w.n
+        np.testing.assert_allclose(got[k].factors, w.factors, rtol=1e-9, atol=1e-12)
+
+
+def test_a_rating_without_a_factor_is_an_error(spark):
+    rows = _rows(spark)
+    how, packed = _packed(spark, rows, "user", 200_000)
+    some = rows.filter("item_id > 0").select("item_id", F.col("n_i").alias("n")).distinct().select(
+        "item_id", "n", als._start("item_id", 3))
+    with pytest.raises(Exception, match="no factor"):
+        blocks.pieces(blocks.pack_factors(some, "item_id", how), packed, 3).collect()
